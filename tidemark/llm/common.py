@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows up to which a table of per-source or per-partition figures is broadcast.
 BROADCAST_ROWS = 20_000
+#: Texts that a Python worker gets at once.
+TEXTS = 1000
 #: Characters between words, as a Java/DuckDB/Python class body.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package even if the driver was started in another folder."""
+    """Let Python workers import this package even if the driver was started in another folder, and keep batches of whole texts small."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXTS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
