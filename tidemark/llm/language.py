@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +87,34 @@ def fit(labelled: DataFrame) -> dict:
     return {"langs": langs, "code": code.astype(np.float64), "weights": weights, "reliability": reliability}
 
 
+def decide(text: str | None, model: dict) -> tuple[str, float, bool]:
+    """(language, score, ambiguous) of a text."""
+    code = model["code"]
+    c = trigram_counts(text) if model["langs"] else None
+    if c is None:
+        return "und", 0.0, True
+    margins = np.clip(DAMPING * (c @ model["weights"]), -50, 50)
+    losses = np.logaddexp(0, -code * margins) @ model["reliability"] * code.shape[1]
+    p = np.exp(losses.min() - losses)
+    p /= p.sum()
+    first = int(np.argmax(p))
+    second = np.partition(p, -2)[-2] if len(p) > 1 else 0.0
+    return model["langs"][first], float(p[first]), bool(p[first] - second < MARGIN)
+
+
+def accepted(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs``, whatever its columns, whose text has a language that is not ambiguous."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not decide(x.as_py(), shared.value)[2] for x in batch.column(at)], type=pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """Add lang_pred, score and ambiguous to the columns doc_id and text of every row.
 
@@ -96,23 +125,9 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages and buckets bound its size
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        langs, code, weights, reliability = m["langs"], m["code"], m["weights"], m["reliability"]
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                c = trigram_counts(text) if langs else None
-                if c is None:
-                    out.append(("und", 0.0, True))
-                    continue
-                margins = np.clip(DAMPING * (c @ weights), -50, 50)
-                losses = np.logaddexp(0, -code * margins) @ reliability * code.shape[1]
-                p = np.exp(losses.min() - losses)
-                p /= p.sum()
-                first = int(np.argmax(p))
-                second = np.partition(p, -2)[-2] if len(p) > 1 else 0.0
-                out.append((langs[first], float(p[first]), bool(p[first] - second < MARGIN)))
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["lang_pred", "score", "ambiguous"])], axis=1)
+            out = pd.DataFrame([decide(text, shared.value) for text in batch["text"]], columns=["lang_pred", "score", "ambiguous"])
+            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
 
     return docs.select("doc_id", "text").mapInPandas(decode, "doc_id long, lang_pred string, score double, ambiguous boolean")
 

@@ -1,12 +1,13 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
-from tidemark.llm import exact_dedup, language, minhash, mixing, packing, quality, sharding, suffix_dedup, warc
+from tidemark.llm import classifier, exact_dedup, language, minhash, mixing, packing, quality, sharding, suffix_dedup, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1,
     "op2_quality_rules": quality.op2,
     "op3_sharding": sharding.op3,
     "op4_suffix_dedup": suffix_dedup.op4,
+    "op5_quality_classifier": classifier.op5,
     "op6_minhash_dedup": minhash.op6,
     "op7_exact_dedup": exact_dedup.op7,
     "op8_warc": warc.op8,
