@@ -1,26 +1,34 @@
-"""WARC archives: written by Spark's text writer, indexed by byte range, read back by coalesced ranges.
+"""WARC archives written with an index, and read back by coalesced byte ranges.
 
-The archive number and place of each record follow from page ids and record lengths alone, so the index (offset,
-length, URL, digest per record) is made before any payload moves. A record's bytes are one string that Spark's text
-writer ends with the two line ends that WARC asks for; task retries and commits are Spark's own. Readers sort the index
-rows of an archive by offset, join neighbouring ranges and fetch each stretch with one read.
+Which record is a response and which one revisits another follows from digests alone, so it is settled on a narrow
+table before payloads are read again. Every task then writes its records as gzip members, as .warc.gz files have them,
+to files of its own in the shared folder, and returns the index rows (archive, offset, length, URL, digest); those are
+committed as a table by Spark. A task that is run again writes new files under new names, and only files named in the
+committed index count, so a lost executor does no harm. Readers sort the index rows they were given by archive and
+offset, join neighbouring ranges and fetch each stretch with one read.
+
+Payloads are not shuffled, unless the table of repeated payloads is too large to be broadcast.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+import zlib
 from base64 import b32encode
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, shared_dir, ship
 
-#: An archive's size aimed at, the gap that one read may span, and a read's size aimed at, in bytes.
+#: Bytes after which a task starts another archive, gap that one read may span, and bytes that one read aims at.
 ARCHIVE_BYTES, GAP_BYTES, READ_BYTES = 64 << 20, 64 << 10, 8 << 20
-END = "\r\n\r\n"
+#: Repeated payloads (48 bytes each) up to which their table is broadcast.
+BROADCAST_REPEATS = 200_000
+END = b"\r\n\r\n"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -30,104 +38,134 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def plan_records(pages: DataFrame, min_bytes: int, archives: int, date: str) -> DataFrame:
-    """Records (archive, page_id, url, record_type, refers_to, payload_digest, payload_bytes, record) for (page_id, url, html).
+def with_references(pages: DataFrame, min_bytes: int) -> DataFrame:
+    """Add payload_bytes, payload_digest and refers_to to (page_id, url, html); html is never null afterwards.
 
     Of records with equal payloads (SHA-256) of at least ``min_bytes`` bytes, that with the largest page_id is the
-    response and the others revisit it; rows that repeat that page_id are responses, too. A null payload is empty,
-    a null URL becomes urn:page:<page_id>; control characters and blanks in URLs are percent-encoded.
+    response and the others refer to it; rows that repeat that page_id are responses, too. A null payload is empty.
     """
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), base32_sha1(html).alias("payload_digest"), F.sha2(html, 256).alias("_same"))
-    last = rows.groupBy("_same").agg(F.max("page_id").alias("_last"))
-    rows = rows.join(last, "_same")
-    first = (F.col("payload_bytes") < min_bytes) | F.col("page_id").eqNullSafe(F.col("_last"))
-    url = F.coalesce(F.col("url"), F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
-    for code in (0x20, 0x0D, 0x0A, 0x09, 0x0B, 0x0C):
-        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
-    rows = rows.withColumn("url", url).withColumn("refers_to", F.when(~first, F.col("_last")))
-    ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
-    block = F.concat(http, F.when(first, F.col("html")).otherwise(F.lit("")))
-    head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(first, F.lit("response")).otherwise(F.lit("revisit")),
-        F.lit("\r\nWARC-Record-ID: "), ident(F.col("page_id")), F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), F.col("url"),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
-        F.when(first, F.lit("")).otherwise(F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), ident(F.col("refers_to")))),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(END),
-    )
-    archive = F.pmod(F.xxhash64("page_id"), F.lit(archives)).cast("int").alias("archive")
-    return rows.select(archive, "page_id", "url", "payload_digest", "payload_bytes", F.concat(head, block).alias("record"))
-
-
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archives: int | None = None, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Write one archive per folder ``path/archive=N`` and return its index: archive, page_id, url, payload_digest, offset, length.
-
-    The archive count follows the bytes of the table, at least the number of shuffle partitions, so that no archive
-    outgrows a task. An empty table writes an empty index and no archive.
+    rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.unhex(F.sha2(html, 256)).alias("_same"))
+    groups = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("_same").agg(F.max("page_id").alias("_last"), F.count("*").alias("_n"))
+    repeated = materialize(groups.filter("_n > 1").drop("_n"), "warc-repeated")
+    if repeated.count() <= BROADCAST_REPEATS:
+        repeated = F.broadcast(repeated)
+    rows = rows.join(repeated, "_same", "left")
+    refers = F.when(F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last")), F.col("_last"))
+    return rows.select("page_id", "url", "html", "payload_bytes", base32_sha1(F.col("html")).alias("payload_digest"), refers.alias("refers_to"))
+
+
+def record(page_id, url: str | None, payload: bytes, digest: str, size: int, refers_to, date: str) -> bytes:
+    """A response with an HTTP head and the payload, or a revisit with the head alone.
+
+    A null URL becomes urn:page:<page_id>; blanks and control characters in URLs are percent-encoded.
     """
-    if archives is None:
-        total = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0)).alias("n")).first()["n"]
-        archives = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // ARCHIVE_BYTES))
-    # records are made once; the index and the archives are two readings of one table
-    records = materialize(plan_records(pages, min_bytes, archives, date), "warc-records", "zstd")
-    order = Window.partitionBy("archive").orderBy("page_id", "url", "payload_digest", "record_bytes")
-    sized = records.select("archive", "page_id", "url", "payload_digest", F.octet_length("record").alias("record_bytes"))
-    length = F.col("record_bytes") + len(END)
-    index = sized.withColumn("offset", F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, 0)) - length).withColumn("length", F.col("record_bytes").cast("long")).drop("record_bytes")
-    index = materialize(index.sortWithinPartitions("archive", "offset"), "warc-index")
-    sorted_rows = records.withColumn("_bytes", F.octet_length("record")).repartition(archives, "archive").sortWithinPartitions("archive", "page_id", "url", "payload_digest", "_bytes")
-    sorted_rows.select("archive", "record").write.partitionBy("archive").option("lineSep", END).option("compression", "none").text(path)
-    return index
+    name = f"urn:page:{page_id}"
+    target = name if url is None else "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}".encode() + END
+    block = http if refers_to is not None else http + payload
+    lines = [
+        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{name}>", f"WARC-Date: {date}",
+        f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}",
+        *([] if refers_to is None else ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]),
+        "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
+    ]
+    return "\r\n".join(lines).encode("utf-8", "surrogatepass") + END + block + END
 
 
 def parse_record(raw: bytes) -> dict:
     """Headers and payload of one record; a ValueError if it is not one whole record."""
-    head, sep, block = raw.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
-    if not sep or not lines[0].startswith("WARC/"):
-        raise ValueError("no WARC record starts here")
+    head, sep, block = raw.partition(END)
+    lines = head.decode("utf-8", "surrogatepass").split("\r\n")
+    if not sep or not lines[0].startswith("WARC/") or block[-4:] != END:
+        raise ValueError("this is not one WARC record")
     headers = dict(line.split(": ", 1) for line in lines[1:])
-    if int(headers["Content-Length"]) != len(block):
+    if int(headers["Content-Length"]) != len(block) - 4:
         raise ValueError("the record's block is not as long as its header says")
-    http, _, payload = block.partition(b"\r\n\r\n")
+    http, _, payload = block[:-4].partition(END)
     return headers | {"http": http.decode("latin-1"), "payload": payload}
 
 
-def _fetch(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+def _store(path: str):
     import pyarrow.fs as pafs
 
-    store, root = pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """Write all rows of (page_id, url, html) to archives below ``path`` and return the committed index.
+
+    Index: archive (file name), page_id, url, payload_digest, offset, length (of the gzip member). An empty table has
+    an empty index. Rows that repeat a page_id are records of their own. Further columns are ignored.
+    """
+    ship(pages.sparkSession)
+    store, root = _store(path)
+    store.create_dir(root, recursive=True)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = _store(path)
+        name, file, at = None, None, 0
+        try:
+            for batch in batches:
+                rows = []
+                for page_id, url, html, size, digest, refers in batch.itertuples(index=False):
+                    if file is None or at >= ARCHIVE_BYTES:
+                        if file is not None:
+                            file.close()
+                        name, at = f"{uuid.uuid4().hex}.warc.gz", 0
+                        file = store.open_output_stream(f"{root}/{name}", compression=None)
+                    page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
+                    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+                    raw = record(page_id, url, html.encode("utf-8", "surrogatepass"), digest, size, refers, date)
+                    member = packer.compress(raw) + packer.flush()
+                    file.write(member)
+                    rows.append((name, page_id, url, digest, at, len(member)))
+                    at += len(member)
+                frame = pd.DataFrame(rows, columns=["archive", "page_id", "url", "payload_digest", "offset", "length"])
+                yield frame.astype({"page_id": "Int64"})
+        finally:
+            if file is not None:
+                file.close()
+
+    schema = "archive string, page_id long, url string, payload_digest string, offset long, length long"
+    return materialize(with_references(pages, min_bytes).mapInPandas(write, schema), "warc-index")
+
+
+def stretches(rows: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = READ_BYTES) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, row after the last, start, end) of the reads for (offset, length) rows in the order of their offsets."""
+    at = 0
+    while at < len(rows):
+        start, end, upto = rows[at][0], sum(rows[at]), at + 1
+        while upto < len(rows) and rows[upto][0] - end <= gap and sum(rows[upto]) - start <= most:
+            end, upto = max(end, sum(rows[upto])), upto + 1
+        yield at, upto, start, end
+        at = upto
+
+
+def _fetch(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+    store, root = _store(path)
     where, file = None, None
-    for rows in batches:
+    for batch in batches:
         out = []
-        rows = rows.sort_values(["archive", "offset"])
-        for archive, part in rows.groupby("archive", sort=False):
+        for archive, part in batch.groupby("archive", sort=False):
             if archive != where:
-                names = [x.path for x in store.get_file_info(pafs.FileSelector(f"{root}/archive={archive}")) if "/part-" in x.path]
-                if len(names) != 1:
-                    raise OSError(f"archive {archive} has {len(names)} files")
-                where, file = archive, store.open_input_file(names[0])
-            spans = list(zip(part["page_id"], part["payload_digest"], part["offset"], part["length"], strict=True))
-            at = 0
-            while at < len(spans):
-                start = end = spans[at][2]
-                upto = at
-                while upto < len(spans) and spans[upto][2] - end <= GAP_BYTES and (upto == at or spans[upto][2] + spans[upto][3] - start <= READ_BYTES):
-                    end = max(end, spans[upto][2] + spans[upto][3])
-                    upto += 1
-                stretch = memoryview(file.read_at(end - start, start))
-                for page_id, digest, offset, length in spans[at:upto]:
-                    got = parse_record(bytes(stretch[offset - start : offset - start + length]))
-                    full = int(got["http"].rpartition("Content-Length: ")[2])
-                    if got["WARC-Payload-Digest"] != f"sha1:{digest}":
-                        raise ValueError(f"page {page_id}: another digest in the index")
-                    if got["WARC-Type"] == "response" and b32encode(hashlib.sha1(got["payload"]).digest()).decode() != digest:
-                        raise ValueError(f"page {page_id}: the payload does not have its digest")
-                    refers = got.get("WARC-Refers-To")
-                    out.append((page_id, got["WARC-Target-URI"], got["WARC-Type"], int(refers[10:-1]) if refers else None, full, digest, got["payload"]))
-                at = upto
-        yield pd.DataFrame(out, columns=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]).astype({"refers_to": "Int64", "page_id": "Int64"})
+                where, file = archive, store.open_input_file(f"{root}/{archive}")
+            rows = list(part[["page_id", "payload_digest", "offset", "length"]].itertuples(index=False))
+            for first, after, start, end in stretches([(r.offset, r.length) for r in rows]):
+                stretch = file.read_at(end - start, start)
+                for r in rows[first:after]:
+                    got = parse_record(zlib.decompress(stretch[r.offset - start : r.offset - start + r.length], 31))
+                    if got["WARC-Payload-Digest"] != f"sha1:{r.payload_digest}":
+                        raise ValueError(f"page {r.page_id}: another digest in the index")
+                    response = got["WARC-Type"] == "response"
+                    if response and b32encode(hashlib.sha1(got["payload"]).digest()).decode() != r.payload_digest:
+                        raise ValueError(f"page {r.page_id}: the payload does not have its digest")
+                    size = len(got["payload"]) if response else int(got["http"].rpartition("Content-Length: ")[2])
+                    refers = None if response else int(got["WARC-Refers-To"][10:-1])
+                    page = got["WARC-Record-ID"][10:-1]
+                    out.append((None if page == "None" else int(page), got["WARC-Target-URI"], got["WARC-Type"], refers, size, r.payload_digest, got["payload"]))
+        frame = pd.DataFrame(out, columns=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
+        yield frame.astype({"refers_to": "Int64", "page_id": "Int64"})
 
 
 def read_archives(index: DataFrame, path: str, with_payload: bool = True) -> DataFrame:
@@ -138,12 +176,12 @@ def read_archives(index: DataFrame, path: str, with_payload: bool = True) -> Dat
     """
     ship(index.sparkSession)
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = index.select("archive", "page_id", "payload_digest", "offset", "length").repartition(parts, "archive").sortWithinPartitions("archive", "offset")
+    rows = index.select("archive", "page_id", "payload_digest", "offset", "length")
+    rows = rows.repartitionByRange(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     if with_payload:
         return rows.mapInPandas(lambda batches: _fetch(batches, path), schema)
-    narrow = schema.rpartition(",")[0]
-    return rows.mapInPandas(lambda batches: (x.drop(columns="payload") for x in _fetch(batches, path)), narrow)
+    return rows.mapInPandas(lambda batches: (x.drop(columns="payload") for x in _fetch(batches, path)), schema.rpartition(",")[0])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
