@@ -63,7 +63,9 @@ def all_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
             doc = np.concatenate(ids)
             order = np.lexsort((run, doc, c, h))
             h, c, run, doc = h[order], c[order], run[order], doc[order]
-            again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])[: len(h)]
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])[: len(h)]
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]  # a repeated row of one document does not repeat itself
+            again = (doc != doc[first]) | (run != run[first])
             h = np.where(again, mixed(run.astype(np.uint64) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), h)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(run), pa.array(again)], schema=schema)
 
@@ -110,7 +112,7 @@ def _spans(doc: np.ndarray, window: np.ndarray, width: int) -> pd.DataFrame:
 
 def repeats_by_sorting(rows: pd.DataFrame, width: int) -> pd.DataFrame:
     """Spans of windows that repeat an earlier one, among the surroundings given (whole anchors only)."""
-    rows = rows.sort_values(["doc_id", "first"], kind="stable").reset_index(drop=True)
+    rows = rows.drop_duplicates(["doc_id", "first", "anchor"]).sort_values(["doc_id", "first"], kind="stable").reset_index(drop=True)
     data, place, row, window = _windows(rows, width)
     anchor = rows["anchor"].to_numpy(dtype=np.int64)[row]
     within = rows["offset"].to_numpy(dtype=np.int64)[row] - (window - rows["first"].to_numpy(dtype=np.int64)[row])  # anchor's place in the window
@@ -152,10 +154,13 @@ def repeated_spans(docs: DataFrame, width: int = 100, gram: int = GRAM, hot: int
     """Spans (doc_id, low, high) whose union is every byte covered by a ``width``-byte string that also starts earlier."""
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.filter("doc_id is not null")
     runs = all_runs(docs, width, gram)
     by_anchor = Window.partitionBy("anchor")
     in_order = by_anchor.orderBy("cover", "doc_id", "run")
-    seen = runs.withColumn("_before", F.lag("cover").over(in_order)).withColumn("_again", F.col("again") | F.coalesce(F.col("_before") == F.col("cover"), F.lit(False)))
+    before = F.lag(F.struct("cover", "doc_id", "run")).over(in_order)
+    repeats = (F.col("_before.cover") == F.col("cover")) & ((F.col("_before.doc_id") != F.col("doc_id")) | (F.col("_before.run") != F.col("run")))
+    seen = runs.withColumn("_before", before).withColumn("_again", F.col("again") | F.coalesce(repeats, F.lit(False)))
     seen = seen.withColumn("_mixed", F.min("cover").over(by_anchor) != F.max("cover").over(by_anchor)).filter("_again or _mixed")
     found = materialize(seen.select("doc_id", "run", F.when(~F.col("_again"), F.col("anchor")).alias("anchor")), "suffix-runs", "zstd")
     spark._jvm.System.gc()  # lets Spark delete the shuffle that is not needed any more
@@ -181,8 +186,8 @@ def remove_repeats(docs: DataFrame, width: int = 100, gram: int = GRAM, hot: int
     """One row per document of (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, ``kept`` (bytes).
 
     Texts are judged as UTF-8 bytes, null as empty; of equal strings the one with the smallest doc_id, then the
-    earliest start stays. Texts shorter than ``width`` lose nothing. Ids must be unique and not null; rows that repeat
-    an id are taken for copies of one document and get its result. An empty table gives an empty result.
+    earliest start stays. Texts shorter than ``width`` lose nothing. Rows that repeat an id are taken for copies of one
+    document and all get its result; rows without an id lose nothing. An empty table gives an empty result.
     """
     if not 0 < gram < width or width - gram > 254:
         raise ValueError("the gram must be shorter than the width, and runs of windows must stay below 256")
