@@ -1,11 +1,12 @@
 """Near-duplicate groups: MinHash bands propose, signatures screen, full shingle sets confirm, stars connect.
 
 Documents with equal shingle sets form a class with one representative, so copies of a text cost one row each
-from there on. Representatives meet in the buckets of their bands. No bucket's pairs are listed: first all members are
-tried against one centre of the bucket (the smallest id, then others at random); what is confirmed is connected, and
-only buckets that still hold several components are looked at again. What is left after these rounds is tried pair by
-pair between components of a bucket, so no link that shares a band is given up. Bands are chosen such that a pair at
-the threshold misses all of them with a chance of at most ``MISS``.
+from there on. Representatives meet in the buckets of their bands. First all members of a bucket are tried against
+one centre (the smallest id, then another one at random); what is confirmed is connected. Buckets that still hold several
+components and untried pairs get the full sets of their members: all pairs are compared inside the task, by
+matrix products over the shingles shared, and only a spanning star of each component found leaves it. Large buckets are
+dealt as pairs of blocks of at most ``BLOCK`` members. So no pairs are listed, and no link that shares a band is given up.
+Bands are chosen such that a pair at the threshold misses all of them with a chance of at most ``MISS``.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize, ship
 from tidemark.llm.components import connected_components
 
-MISS, MOST_HASHES, CENTRES = 1e-7, 160, 3
+MISS, MOST_HASHES, CENTRES, BLOCK, BIN_ROWS = 1e-7, 160, 2, 2048, 2048
 _MASK = (1 << 64) - 1
 
 
@@ -134,7 +135,68 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return full.mapInPandas(similar, "a long, b long")
 
 
-def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1) -> DataFrame:
+def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the first one that is reachable by links of the similarity asked for, all pairs compared exactly."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], dtype=np.int64)
+    both = np.zeros((n, n), dtype=np.float32)  # exact: counts stay below 2**24
+    row = np.repeat(np.arange(n), sizes)
+    tokens, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1  # other shingles are in no intersection
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = max(256, (1 << 23) // max(n, 1))
+    for low in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, [low, low + width])
+        part = np.zeros((n, width), dtype=np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        both += part @ part.T
+    near = 100 * both.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - both.astype(np.int64))
+    np.fill_diagonal(near, True)
+    label = np.arange(n)
+    while True:
+        least = np.where(near, label[None, :], n).min(axis=1)
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            return label
+        label = least
+
+
+def compare_buckets(open_: DataFrame, texts: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect the members (bucket, doc_id) of each bucket as all their pairs would."""
+    ship(open_.sparkSession)
+
+    def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingle_set(t, width).tobytes() for t in batch["text"]]})
+
+    wanted = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = materialize(wanted.mapInPandas(shingle, "doc_id long, shingles binary"), "minhash-sets")
+    # buckets with the same members are one
+    kinds = open_.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("y"))
+    kinds = kinds.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    rows = open_.select("bucket", "doc_id").join(kinds, "bucket").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = materialize(rows.select("doc_id", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit")), "minhash-units")
+    bins = max(1, -(-rows.count() // BIN_ROWS))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, part in frame.groupby("unit", sort=False):
+            part = part.sort_values("doc_id")
+            ids = part["doc_id"].to_numpy(dtype=np.int64)
+            label = linked([np.frombuffer(x, dtype=np.uint64) for x in part["shingles"]], percent)
+            some = label != np.arange(len(ids))
+            out.append(pd.DataFrame({"a": ids[label[some]], "b": ids[some]}))
+        return pd.concat(out, ignore_index=True)
+
+    joined = rows.join(sets, "doc_id").withColumn("_bin", F.pmod(F.xxhash64("unit"), F.lit(bins)))
+    return joined.groupBy("_bin").applyInPandas(compare, "a long, b long").distinct()
+
+
+def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, class_id, component_id, kept.
 
     Null, empty and blank texts have no shingles and are linked with nothing, not even each other. Of documents linked
@@ -142,7 +204,8 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1)
     with the same shingle set. Repeated rows of one doc_id should hold one text; all of them get the same result.
     Texts of any length are shingled whole. An empty table gives an empty result; further columns are ignored.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     bands, rows = bands_for(percent)
     signed = materialize(signatures(docs, width, bands, rows, seed), "minhash-signed")
     some = signed.filter("n_shingles > 0")
@@ -159,25 +222,25 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1)
     for turn in range(CENTRES + 1):
         if turn:
             at = buckets.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")).drop("centre")
-            split = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("doc_id", "bucket", F.lit(turn)), "doc_id", "root")).alias("c")).filter("low <> high")
+            split = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.min(F.struct(F.xxhash64("doc_id", "bucket", F.lit(turn)), "doc_id", "root")).alias("c"))
+            split = split.filter("low <> high and n > 2")  # a pair was tried against its centre
             open_ = materialize(at.join(split.select("bucket", F.col("c.doc_id").alias("centre"), F.col("c.root").alias("at")), "bucket"), "minhash-open")
             if open_.isEmpty():
                 break
-            if turn < CENTRES:
-                pairs = open_.filter("root <> at").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b"))
-            else:  # the rest, pair by pair between components
-                other = open_.select("bucket", F.col("doc_id").alias("b"), F.col("root").alias("other"))
-                pairs = open_.select("bucket", F.col("doc_id").alias("a"), "root").join(other, "bucket").filter("root <> other and a < b").select("a", "b")
-            pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+        if turn == CENTRES:
+            found = materialize(compare_buckets(open_, texts, width, percent, block), "minhash-links")
         else:
-            pairs = buckets.filter("centre <> doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-        pairs = materialize(pairs, "minhash-pairs")
-        close = materialize(screen(pairs, heads, percent, bands * rows), "minhash-close")
-        found = materialize(confirm(close, texts, width, percent), "minhash-links")
+            if turn:
+                pairs = open_.filter("root <> at").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+            else:
+                pairs = buckets.filter("centre <> doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+            tried = pairs = materialize(pairs, "minhash-pairs")
+            close = materialize(screen(pairs, heads, percent, bands * rows), "minhash-close")
+            found = materialize(confirm(close, texts, width, percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
         if not turn or not found.isEmpty():
             roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        spark._jvm.System.gc()  # lets Spark delete shuffles that are not needed any more
 
     placed = members.join(roots.select(F.col("node").alias("class_id"), F.col("root").alias("component_id")), "class_id", "left")
     component = F.coalesce("component_id", "class_id", "doc_id")
