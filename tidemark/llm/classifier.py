@@ -95,7 +95,7 @@ def count_patterns(docs: DataFrame, labellers=LABELLERS) -> pd.DataFrame:
 
 def expectation_maximisation(patterns: pd.DataFrame, labellers: int, rounds: int = 200, smoothing: float = 1.0) -> tuple[float, np.ndarray]:
     """(prior of good, tables[class, labeller, vote]) for classes bad and good, started from the majority of the votes."""
-    votes = np.array([["-0+".index(c) for c in v] for v in patterns["votes"]]).reshape(-1, labellers)
+    votes = np.array([["-0+".index(c) for c in v] for v in patterns["votes"]], dtype=int).reshape(-1, labellers)
     n = patterns["n"].to_numpy(dtype=float)
     good = 1 / (1 + np.exp(-2.0 * (votes - 1).sum(axis=1)))
     prior, tables = 0.5, np.full((2, labellers, 3), 1 / 3)
