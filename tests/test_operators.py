@@ -221,8 +221,8 @@ def test_expectations_stop_the_job(spark):
 
 
 def test_streamed_merge_equals_batch(spark, sf_dir):
-    from tidemark.plans.registry import QUERIES
+    from __spark_entry__ import registry
 
-    a, b = QUERIES["stream_merge_increments"](spark, sf_dir).toPandas(), QUERIES["s16_load_merge"](spark, sf_dir).toPandas()
+    a, b = registry.QUERIES["stream_merge_increments"](spark, sf_dir).toPandas(), registry.QUERIES["s16_load_merge"](spark, sf_dir).toPandas()
     key = ["c_custkey"]
     assert a.sort_values(key).reset_index(drop=True).equals(b[a.columns].sort_values(key).reset_index(drop=True))

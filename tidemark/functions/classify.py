@@ -10,23 +10,21 @@ ASSET_PREFIXES = ("1401", "1403", "1404", "1405", "1406", "1411", "1413", "1414"
 LIABILITY_MODULES = (20, 21, 22, 120, 155, 162, 184, 185, 321)
 # Credit states by the last digit of the prefix 14_x.
 CREDIT_STATES = {"current": "14_1", "restructured": "14_3", "refinanced": "14_4", "overdue": "14_5", "judicial": "14_6"}
-# The wide universe of liabilities and results, as account prefixes; 183 counts with its own prefixes only.
-WIDE_PREFIXES = (
-    "56 57 46 49 68 41 "
-    "5121 5111 5112 5114 5124 5117 5127 4111 4121 4112 4122 4113 4123 4117 4127 4116 4126 4115 4125 4312 4322 5211 5221 5214 5224 5212 5222 4211 4221 "
-    "4212 4222 5118 5128 4118 4128 4511 4521 4512 4522 4513 4523 4514 4524 4411 4421 4413 4423 5213 5223 4313 4323 5415 5425 5416 5426 "
-    "512302 511302 511304 512304 512305 511305 511504 512504 511901 512901 411925 412925 412401 411401 411901 412901 411908 412908 411909 412909 "
-    "411922 412922 411923 412923 511925 512925 521204 522204 521205 522205 511916 512916 411916 412916 511918 512918 411918 412918 511919 512919 "
-    "411919 412919 411920 412920 511926 512926 411926 412926 511903 512903 411903 412903 511928 512928 511507 512507 511910 512910 411910 412910 "
-    "431401 432401 431402 432402 411402 412402 411403 412403 411408 412408 411404 412404 411405 412405 411406 412406 411407 412407 511927 512927 "
-    "431501 432501 431502 432502 431506 432506 421204 422204 421205 422205 411905 412905 411911 412911 411912 412912 511301 512301 511911 512911 "
-    "511912 512912 511306 512306 511915 512915 411915 412915 411913 412913 511303 512303 511913 512913 411914 412914 511914 512914 511917 512917 "
-    "411917 412917 511904 512904 411904 412904 431504 432504 431503 432503 431508 432508 431509 432509 "
-    "51191703 51291703 51192403 51292403 41191703 41291703 41192403 41292403 43150501 43250501 43150505 43250505 43150506 43250506 54140103 54240103 "
-    "5119170102 5129170102 5119170202 5129170202 5119240101 5129240101 4119170102 4129170102 4119170202 4129170202 4119240101 4129240101 "
-    "4315050401 4325050401 4315050402 4325050402 5119240102 5129240102 4119240102 4129240102 "
-    "4312030106030101 4312030106030501 4312030201060101 4312030201060501 4312030701000103 4312030702000103"
+# The wide universe of liabilities and results, as account prefixes. The third digit is the currency; those
+# of the second list count for either currency and are written for the first.
+WIDE_SINGLE = (
+    "56 57 46 49 68 41 5112 4312030106030101 4312030106030501 4312030201060101 4312030201060501 4312030701000103 4312030702000103"
 )
+WIDE_PAIRED = (
+    "4111 4112 4113 4115 4116 4117 4118 4211 4212 4312 4313 4411 4413 4511 4512 4513 4514 5111 5114 5117 5118 5211 5212 5213 5214 5415 5416 "
+    "411401 411402 411403 411404 411405 411406 411407 411408 411901 411903 411904 411905 411908 411909 411910 411911 411912 411913 411914 411915 "
+    "411916 411917 411918 411919 411920 411922 411923 411925 411926 421204 421205 431401 431402 431501 431502 431503 431504 431506 431508 431509 "
+    "511301 511302 511303 511304 511305 511306 511504 511507 511901 511903 511904 511910 511911 511912 511913 511914 511915 511916 511917 511918 "
+    "511919 511925 511926 511927 511928 521204 521205 "
+    "41191703 41192403 43150501 43150505 43150506 51191703 51192403 54140103 "
+    "4119170102 4119170202 4119240101 4119240102 4315050401 4315050402 5119170102 5119170202 5119240101 5119240102"
+)
+WIDE_PREFIXES = (*WIDE_SINGLE.split(), *WIDE_PAIRED.split(), *[p[:2] + "2" + p[3:] for p in WIDE_PAIRED.split()])
 CARD_MODULE, CARD_PREFIXES = 183, ("1201", "1211", "1221")
 # Result lines by prefix; provisions by the prefixes of their full codes.
 RESULT_LINES = {"income": ("5114", "5124"), "commission": ("5117", "5127"), "expense": ("41",), "reversal": ("54140103", "54240103")}
@@ -56,11 +54,6 @@ def credit_buckets(df: DataFrame, code: str = "rubro", amounts: tuple[str, ...]
     return df.withColumns(added)
 
 
-def wide_prefixes(spark) -> DataFrame:
-    """The wide universe as a table (prefix, digits): a fixed list."""
-    return spark.createDataFrame([(p, len(p)) for p in WIDE_PREFIXES.split()], "prefix string, digits int")
-
-
 def classify_universe(df: DataFrame, code: str = "rubro", module: str = "module", rules: str = "narrow") -> DataFrame:
     """Rows of the balance universe with ``is_asset`` (1 or 0), assets taking precedence; one pass, no row twice.
 
@@ -70,7 +63,7 @@ def classify_universe(df: DataFrame, code: str = "rubro", module: str = "module"
     inside = asset | F.col(module).isin(*LIABILITY_MODULES)
     if rules == "full":
         by_length: dict[int, list[str]] = {}
-        for p in WIDE_PREFIXES.split():
+        for p in WIDE_PREFIXES:
             by_length.setdefault(len(p), []).append(p)
         for digits, prefixes in by_length.items():
             inside = inside | F.substring(code, 1, digits).isin(*prefixes)

@@ -43,22 +43,31 @@ def fill_month(df: DataFrame, calendar: DataFrame, keys: Sequence[str], end: dat
     """Complete every month in which a key appears, up to ``end``: measures 0, other columns from the anchor row.
 
     The anchor is the last row up to the day, else the first ORIGINAL one after it; days without an anchor get no row.
-    ``strict_anchor`` takes ORIGINAL rows alone on either side. ``origin_kind`` of an added row is RELLENO.
+    ``strict_anchor`` takes ORIGINAL rows alone on either side. ``origin_kind`` of an added row is RELLENO. Keys and days
+    must be unique. Every row brings the days up to the next one, and the first row of a month those before it, so
+    one sort within (keys, month) does it and there is no spine to join; the calendar is only looked up.
     """
     others = [c for c in df.columns if c not in (*keys, "date", *measures)]
-    months = df.select(*keys, _month().alias("_month")).distinct()
-    days = calendar.filter(F.col("day") <= F.lit(end)).select(_month("day").alias("_month"), F.col("day").alias("date"))
-    spine = months.join(F.broadcast(days), "_month")
-    rows = df.withColumns({"_month": _month(), "_row": F.struct(*[F.col(c) for c in others]), "_there": F.lit(True)}).select(*keys, "date", "_month", *measures, "_row", "_there")
-    joined = spine.join(rows, [*keys, "_month", "date"], "left")
     span = Window.partitionBy(*keys, "_month").orderBy("date")
-    original = F.when(F.col("_row.origin_kind") == ORIGINAL, F.col("_row"))
-    before = F.last(original if strict_anchor else F.col("_row"), ignorenulls=True).over(span.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(original, ignorenulls=True).over(span.rowsBetween(0, Window.unboundedFollowing))
-    anchored = joined.withColumn("_anchor", F.coalesce(F.col("_row"), before, after)).filter("_anchor is not null")
-    filled = [F.when(F.col("_there"), F.col(m)).otherwise(F.lit(0).cast(MONEY)).alias(m) for m in measures]
-    kind = F.when(F.col("_there"), F.col("_anchor.origin_kind")).otherwise("RELLENO").alias("origin_kind")
-    return anchored.select(*keys, "date", *[F.col(f"_anchor.{c}").alias(c) for c in others if c != "origin_kind"], kind, *filled)
+    row = F.struct(*[F.col(c) for c in others])
+    original = F.when(F.col("origin_kind") == ORIGINAL, row)
+    rows = df.filter(F.col("date") <= F.lit(end)).withColumn("_month", _month())
+    rows = rows.withColumns({
+        "_row": row, "_next": F.lead("date").over(span), "_first": F.row_number().over(span) == 1,
+        "_before": F.last(original, ignorenulls=True).over(span.rowsBetween(Window.unboundedPreceding, 0)) if strict_anchor else row,
+        "_after": F.first(original, ignorenulls=True).over(span.rowsBetween(1, Window.unboundedFollowing)),
+    })
+    last = F.least(F.coalesce(F.date_sub("_next", 1), F.last_day("date")), F.lit(end))
+    days = F.sequence(F.when(F.col("_first"), F.col("_month")).otherwise(F.col("date")), last)
+    grown = rows.withColumn("_day", F.explode(days))
+    there = F.col("_day") == F.col("date")
+    ahead = F.coalesce(F.when(F.col("origin_kind") == ORIGINAL, F.col("_row")), F.col("_after"))  # for days before the first row
+    anchor = F.when(there, F.col("_row")).when(F.col("_day") < F.col("date"), ahead).otherwise(F.coalesce("_before", "_after"))
+    grown = grown.withColumn("_anchor", anchor).filter("_anchor is not null")
+    known = F.broadcast(calendar.filter(F.col("day") <= F.lit(end)).select(F.col("day").alias("_day")))  # one row a day
+    filled = [F.when(there, F.col(m)).otherwise(F.lit(0)).cast(MONEY).alias(m) for m in measures]
+    kind = F.when(there, F.col("origin_kind")).otherwise("RELLENO").alias("origin_kind")
+    return grown.join(known, "_day", "left_semi").select(*keys, F.col("_day").alias("date"), *[F.col(f"_anchor.{c}").alias(c) for c in others if c != "origin_kind"], kind, *filled)
 
 
 def daily_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -92,16 +101,19 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
     Reads days from ``lo``, completes up to ``hi``, returns days from ``write_from`` on. Attributes of an operation and day are
     those of its latest load, then lowest account code.
     """
-    daily = propagate_business_days(balances, calendar, lo, hi)
+    # one shuffle: every step below works within an operation
+    daily = propagate_business_days(balances, calendar, lo, hi).repartition("id_operation")
     keys = ["id_operation", "rubro"]
     single = dedup_day(daily, [*keys, "date"], [F.col("load_seq").desc()], measures, mode)
     full = fill_month(single, calendar, keys, hi, measures)
     split = credit_buckets(classify_universe(full), amounts=tuple(measures))
     columns = [*measures, *[c for c in split.columns if any(c.endswith(f"_{m}") for m in measures) and c not in full.columns]]
-    totals = running_month_average(daily_totals(split, ["id_operation"], columns), ["id_operation"], columns, exact=exact)
-    pick = Window.partitionBy("id_operation", "date").orderBy(F.col("load_seq").desc(), "rubro")
-    attributes = split.withColumn("_rank", F.row_number().over(pick)).filter("_rank = 1").select("id_operation", "date", "rubro", "module", "currency", "account", "load_seq", "origin_kind")
-    return totals.join(attributes, ["id_operation", "date"]).filter(F.col("date") >= F.lit(write_from))
+    picked = F.struct("rubro", "module", "currency", "account", "load_seq", "origin_kind")
+    attributes = F.min_by(picked, F.struct(F.negative("load_seq"), "rubro")).alias("_picked")
+    totals = split.groupBy("id_operation", "date").agg(*[F.sum(m).cast(MONEY).alias(m) for m in columns], attributes)
+    averaged = running_month_average(totals, ["id_operation"], columns, exact=exact)
+    averaged = averaged.withColumns({"day_number": F.dayofmonth("date"), "month_days": F.dayofmonth(F.last_day("date"))})
+    return averaged.select("*", "_picked.*").drop("_picked").filter(F.col("date") >= F.lit(write_from))
 
 
 def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, hi: date, measures: Sequence[str]) -> DataFrame:

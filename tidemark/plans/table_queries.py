@@ -146,7 +146,7 @@ _STATES = ", ".join(f"CASE WHEN {_A} AND rubro LIKE '{p}%' THEN CAST({a} AS DOUB
 add("p12_credit_buckets", lambda b: cl.credit_buckets(b.closing.select("load_seq", "rubro", "amount_mo", "amount_mn")), f"SELECT load_seq, rubro, CAST(amount_mo AS DOUBLE) AS amount_mo, CAST(amount_mn AS DOUBLE) AS amount_mn, {_STATES} FROM closing")
 add("p13_is_asset", lambda b: b.chart.select("code", cl.is_asset(F.col("code")).alias("asset")), "SELECT code, regexp_matches(code, '^14[012][13456]') AS asset FROM chart")
 add("p14_classify_universe", lambda b: cl.classify_universe(b.closing, "code").select("load_seq", "is_asset"), "SELECT load_seq, 1 AS is_asset FROM closing WHERE regexp_matches(code, '^14[012][13456]') UNION ALL SELECT load_seq, 0 FROM closing WHERE module IN (20, 21, 22, 120, 155, 162, 184, 185, 321) AND NOT regexp_matches(code, '^14[012][13456]')")
-_WIDE = "(VALUES " + ", ".join(f"('{p}')" for p in cl.WIDE_PREFIXES.split()) + ") AS w(prefix)"
+_WIDE = "(VALUES " + ", ".join(f"('{p}')" for p in cl.WIDE_PREFIXES) + ") AS w(prefix)"
 add("p15_classify_universe_full", lambda b: cl.classify_universe(b.closing, "code", rules="full").select("load_seq", "code", "is_asset"),
     f"SELECT load_seq, code, CASE WHEN regexp_matches(code, '^14[012][13456]') THEN 1 ELSE 0 END AS is_asset FROM closing WHERE regexp_matches(code, '^14[012][13456]') OR module IN (20, 21, 22, 120, 155, 162, 184, 185, 321) OR (module = 183 AND regexp_matches(code, '^12[012]1')) OR EXISTS (SELECT 1 FROM {_WIDE} WHERE starts_with(code, prefix))")
 add("p16_result_lines", lambda b: cl.result_lines(b.closing.select("load_seq", "code", "amount_mn")).drop("amount_mn"), """
@@ -170,6 +170,10 @@ add("j11_account_executive", lambda b: b.operations.join(ma.account_executive(b.
 add("j12_attribute_lookup", lambda b: totals(b).select("id_operation", "date").join(b.closing.groupBy("id_operation", "date").agg(F.max_by("origin_type", "load_seq").alias("origin_type")), ["id_operation", "date"], "left"), "SELECT id_operation, date, (SELECT arg_max(origin_type, load_seq) FROM closing c WHERE c.id_operation = t.id_operation AND c.date = t.date) AS origin_type FROM totals t", series=True)
 add("j14_resolve_product_module", lambda b: ma.resolve_product_module(b.closing, b.operations.filter("module > 20")).select("load_seq", "module_product"), ", ones AS (SELECT id_cross, max(module) AS m FROM operations WHERE module > 20 AND account <> 999999999 GROUP BY 1 HAVING count(DISTINCT module) = 1) SELECT load_seq, coalesce(m, module) AS module_product FROM closing LEFT JOIN ones USING (id_cross)")
 add("j17_reconcile_catalog", lambda b: au.reconcile_catalog(b.target, b.staged, "c_custkey", "segment"), "SELECT c_custkey, t.segment AS left_value, s.segment AS right_value, CASE WHEN s.c_custkey IS NULL THEN 'ONLY_LEFT' WHEN t.c_custkey IS NULL THEN 'ONLY_RIGHT' WHEN s.segment = t.segment THEN 'SAME' ELSE 'DIFFERENT' END AS status FROM target t FULL JOIN staged s USING (c_custkey)")
+_DAYS = lambda b: F.broadcast(b.calendar.filter(F.col("day").between(F.lit(START), F.lit(DAY))).select("day"))  # noqa: E731  (one row a day)
+add("j8_key_by_day", lambda b: b.operations.select("id_operation").crossJoin(_DAYS(b)), f"SELECT id_operation, day FROM operations, calendar WHERE day BETWEEN {D_START} AND DATE '{DAY}'")
+add("j9_month_range_join", lambda b: b.operations.select("id_operation", "date", F.trunc("date", "MM").alias("m")).join(_DAYS(b).withColumn("m", F.trunc("day", "MM")), "m").filter("day >= date").select("id_operation", "day"), f"SELECT id_operation, day FROM operations JOIN calendar ON day >= date AND day <= last_day(date) WHERE day BETWEEN {D_START} AND DATE '{DAY}'")
+add("j13_dimension_lookup", lambda b: b.closing.select("load_seq", "code").join(b.chart, "code", "left").select("load_seq", "dig4", "dig10"), "SELECT load_seq, (SELECT dig4 FROM chart c WHERE c.code = x.code) AS dig4, (SELECT dig10 FROM chart c WHERE c.code = x.code) AS dig10 FROM closing x")
 
 # Operation master and reports
 _OPS = ["id_operation", "id_cross", "module", "account", "date", "account_type", "disbursed"]

@@ -31,7 +31,7 @@ def _merged(b: Bed) -> DataFrame:
 
 
 def _counted(b: Bed) -> DataFrame:
-    rows = b.table("events").select("ts", "event_type")
+    rows = b.table("events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     stream, checkpoint = _increments(b, rows, 4, "event_type")
     path = shared_dir(b.spark, "counted")
     counts = loads.windowed_counts(stream, "ts", "event_type", "1 day", "60 days")
