@@ -59,6 +59,14 @@ def filter_bits(rows: int) -> int:
     return min(FILTER_BITS, BUCKET_BITS * max(1, -(-rows * 16 // BUCKET_BITS)))
 
 
+def probably_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose column may be among ``keys`` (a materialized table of one column): a broadcast filter of bounded size, so nothing is shuffled."""
+    bits = filter_bits(keys.count())
+    maps = build_filter(keys.toDF("digest"), bits).select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap"))
+    placed = df.withColumn("_bucket", F.bitmap_bucket_number(_slot(F.col(column), bits))).join(F.broadcast(maps), "_bucket")
+    return placed.filter(passes(F.col("_bitmap"), F.col(column), bits)).drop("_bucket", "_bitmap")
+
+
 def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -91,10 +99,7 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     compacted = materialize(compacted, "lsm-compacted")
 
     # byte verification of all texts whose digest passes the filter of the hits
-    hit_bits = filter_bits(compacted.count())
-    hit_filter = build_filter(compacted, hit_bits)  # at most FILTER_BITS
-    texts = docs.select(norm.alias("norm")).withColumn("digest", digest(F.col("norm"))).withColumn("bucket", F.bitmap_bucket_number(_slot(F.col("digest"), hit_bits)))
-    texts = texts.join(F.broadcast(hit_filter), "bucket").filter(passes(F.col("bitmap"), F.col("digest"), hit_bits)).select("digest", "norm")
+    texts = probably_in(docs.select(norm.alias("norm")).withColumn("digest", digest(F.col("norm"))), "digest", compacted.select("digest"))
     ends = texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     false_hits = materialize(ends.filter(F.col("low") != F.col("high")).select("digest"), "lsm-false")
 

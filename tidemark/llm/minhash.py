@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, ship
 from tidemark.llm.components import connected_components
+from tidemark.llm.exact_dedup import probably_in
 
 MISS, MOST_HASHES, CENTRES, BLOCK, BIN_ROWS = 1e-7, 160, 2, 2048, 2048
 _MASK = (1 << 64) - 1
@@ -147,7 +148,7 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     row, column = row[keep], place[column[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    width = max(256, (1 << 23) // max(n, 1))
+    width = max(1, min(int(shared.sum()), max(256, (1 << 23) // max(n, 1))))
     for low in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [low, low + width])
         part = np.zeros((n, width), dtype=np.float32)
@@ -216,7 +217,9 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1,
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("doc_id").alias("centre")).filter("rows > 1")
     buckets = materialize(keyed.join(shared.select("bucket", "centre"), "bucket"), "minhash-buckets")
     heads = materialize(signed.select("doc_id", "n_shingles", "signature").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-heads")
-    texts = docs.select("doc_id", "text").join(heads.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # a filter keeps the texts that share no bucket out of the shuffle
+    maybe = probably_in(docs.select("doc_id", "text"), "doc_id", heads.select("doc_id"))
+    texts = materialize(maybe.join(heads.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-texts", "zstd")
 
     links, tried, roots = None, None, None
     for turn in range(CENTRES + 1):
