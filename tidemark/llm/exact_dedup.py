@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, materialize
+from tidemark.llm.common import SPACE, drop_shared, materialize
 
 FILTER_BITS = 1 << 26
 BUCKET_BITS = 32_768
@@ -103,6 +103,8 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     ends = texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     false_hits = materialize(ends.filter(F.col("low") != F.col("high")).select("digest"), "lsm-false")
 
+    for table in (flushed, filters, hits):  # nothing reads them any more
+        drop_shared(table)
     groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"))
     out = entries.join(groups, "digest", "left")
     if false_hits.isEmpty():

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import drop_shared, materialize, ship
 from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import probably_in
 
@@ -194,7 +194,10 @@ def compare_buckets(open_: DataFrame, texts: DataFrame, width: int, percent: int
         return pd.concat(out, ignore_index=True)
 
     joined = rows.join(sets, "doc_id").withColumn("_bin", F.pmod(F.xxhash64("unit"), F.lit(bins)))
-    return joined.groupBy("_bin").applyInPandas(compare, "a long, b long").distinct()
+    found = materialize(joined.groupBy("_bin").applyInPandas(compare, "a long, b long").distinct(), "minhash-links")
+    for spent in (sets, rows):
+        drop_shared(spent)
+    return found
 
 
 def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1, block: int = BLOCK) -> DataFrame:
@@ -221,7 +224,7 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1,
     maybe = probably_in(docs.select("doc_id", "text"), "doc_id", heads.select("doc_id"))
     texts = materialize(maybe.join(heads.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-texts", "zstd")
 
-    links, tried, roots = None, None, None
+    links, tried, roots, spent = None, None, None, [signed, buckets, heads, texts]
     for turn in range(CENTRES + 1):
         if turn:
             at = buckets.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")).drop("centre")
@@ -231,7 +234,7 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1,
             if open_.isEmpty():
                 break
         if turn == CENTRES:
-            found = materialize(compare_buckets(open_, texts, width, percent, block), "minhash-links")
+            found = compare_buckets(open_, texts, width, percent, block)
         else:
             if turn:
                 pairs = open_.filter("root <> at").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
@@ -240,11 +243,17 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1,
             tried = pairs = materialize(pairs, "minhash-pairs")
             close = materialize(screen(pairs, heads, percent, bands * rows), "minhash-close")
             found = materialize(confirm(close, texts, width, percent), "minhash-links")
+            spent += [pairs, close]
+        if turn:
+            spent.append(open_)
+        spent.append(found)
         links = found if links is None else links.unionByName(found)
         if not turn or not found.isEmpty():
             roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         spark._jvm.System.gc()  # lets Spark delete shuffles that are not needed any more
 
+    for table in spent:  # nothing reads them any more
+        drop_shared(table)
     placed = members.join(roots.select(F.col("node").alias("class_id"), F.col("root").alias("component_id")), "class_id", "left")
     component = F.coalesce("component_id", "class_id", "doc_id")
     return placed.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))

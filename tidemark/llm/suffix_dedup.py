@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import drop_shared, materialize, ship
 from tidemark.llm.polyhash import Suffixes, anchors, mixed, prefix_hashes, substring_hashes, window_hashes
 
 GRAM, HOT, BUCKET_ROWS = 40, 20_000, 4096
@@ -179,6 +179,9 @@ def repeated_spans(docs: DataFrame, width: int = 100, gram: int = GRAM, hot: int
     spans = whole.unionByName(dealt.applyInPandas(lambda x: repeats_by_sorting(x, width), "doc_id long, low long, high long"))
     if not common.isEmpty():
         spans = spans.unionByName(repeats_by_window(around.join(common, "anchor", "left_semi"), width))
+    spans = materialize(spans, "suffix-spans", "zstd")
+    for table in (found, common, around):  # nothing reads them any more
+        drop_shared(table)
     return spans
 
 
@@ -192,7 +195,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, gram: int = GRAM, hot: int
     if not 0 < gram < width or width - gram > 254:
         raise ValueError("the gram must be shorter than the width, and runs of windows must stay below 256")
     ship(docs.sparkSession)
-    spans = materialize(repeated_spans(docs, width, gram, hot), "suffix-spans", "zstd")
+    spans = repeated_spans(docs, width, gram, hot)
     docs.sparkSession._jvm.System.gc()
     lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))  # of one document
 
