@@ -76,8 +76,8 @@ class Bed:
 
     @cached_property
     def operations(self) -> DataFrame:
-        """One row per order and module seen in the window, with nine-part keys."""
-        return operation_keys(self.raw.filter("operation < 2").groupBy("company", "module", "branch", "currency", "paper", "account", "operation", "sub_operation", "operation_type").agg(
+        """One row per key that has a line of title 1; the other balances have no operation."""
+        return operation_keys(self.raw.filter("title = 1").groupBy("company", "module", "branch", "currency", "paper", "account", "operation", "sub_operation", "operation_type").agg(
             F.max("ship").alias("date"), F.sum("amount_mn").cast("decimal(18,2)").alias("disbursed")))
 
     @cached_property
@@ -98,16 +98,17 @@ class Bed:
 
     @cached_property
     def load_log(self) -> DataFrame:
-        """The loads of three in four runs."""
-        return self.run_log.filter("event_id % 4 <> 0").withColumn("mark_to", F.col("event_id"))
+        """The load of every run; its mark is the run's id."""
+        return self.run_log.withColumn("mark_to", F.col("event_id"))
 
     @cached_property
     def target(self) -> DataFrame:
-        return self.table("customer").filter("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+        return self.table("customer").select("c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
 
     @cached_property
     def staged(self) -> DataFrame:
-        return self.table("customer").filter("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_nationkey", (F.col("c_acctbal") + 1).alias("balance"), F.lit("STAGED").alias("segment"))
+        """All customers under doubled keys: about half of them match a key of the target."""
+        return self.table("customer").select((F.col("c_custkey") * 2).alias("c_custkey"), "c_name", "c_nationkey", (F.col("c_acctbal") + 1).alias("balance"), F.lit("STAGED").alias("segment"))
 
     @cached_property
     def fx(self) -> DataFrame:
@@ -149,14 +150,14 @@ closing AS (SELECT * EXCLUDE (ship, l_partkey), (SELECT max(c.day) FROM calendar
 snapshots AS (SELECT ship AS date, company, module, branch, currency, paper, account, operation, rubro, CASE WHEN account = 7 AND operation = 2 THEN NULL ELSE CAST(sum(amount_mn) AS DECIMAL(18,2)) END AS amount_mn,
     CAST(sum(amount_mo) AS DECIMAL(18,2)) AS amount_mo, min(origin_type) AS origin_type FROM raw GROUP BY ship, company, module, branch, currency, paper, account, operation, rubro),
 sdc AS (SELECT date, company, account AS branch, module, currency, paper, rubro, title, chapter, 0 AS term, operation AS grp, CAST(sum(amount_mo) AS DECIMAL(18,2)) AS mo, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS mn FROM closing GROUP BY ALL),
-operations AS (SELECT company, module, branch, currency, paper, account, operation, sub_operation, operation_type, id_operation, id_balance, id_cross, max(ship) AS date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS disbursed FROM raw WHERE operation < 2 GROUP BY ALL),
+operations AS (SELECT company, module, branch, currency, paper, account, operation, sub_operation, operation_type, id_operation, id_balance, id_cross, max(ship) AS date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS disbursed FROM raw WHERE title = 1 GROUP BY ALL),
 accounts AS (SELECT CAST(c_custkey % 20 AS INTEGER) AS account, c_nationkey AS executive, c_name AS name, c_mktsegment AS segment FROM customer),
 chart AS (SELECT code, {", ".join(f"left(code, {n}) AS dig{n}" for n in (1, 2, 4, 6, 8, 10))} FROM (SELECT rubro AS code FROM raw UNION SELECT code FROM raw)),
 run_log AS (SELECT event_type AS table_name, strftime(ts, '%Y%m%d') AS batch_id, CAST(ts AS DATE) AS run_date, event_id, CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value < 5 THEN 'SIN_DATOS' ELSE 'TERMINADO' END AS state,
     CAST(floor(value) AS BIGINT) AS n_rows, CAST(user_id % 900 AS INTEGER) AS seconds FROM events),
-load_log AS (SELECT *, event_id AS mark_to FROM run_log WHERE event_id % 4 <> 0),
-target AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal AS balance, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
-staged AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS balance, 'STAGED' AS segment FROM customer WHERE c_custkey % 2 = 0),
+load_log AS (SELECT *, event_id AS mark_to FROM run_log),
+target AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal AS balance, c_mktsegment AS segment FROM customer),
+staged AS (SELECT c_custkey * 2 AS c_custkey, c_name, c_nationkey, c_acctbal + 1 AS balance, 'STAGED' AS segment FROM customer),
 fx AS (SELECT o_orderkey, 1 AS company, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) + CASE WHEN o_orderkey % 7 = 0 THEN 40 ELSE 0 END AS day_number, CAST(o_custkey % 3 + 1 AS INTEGER) AS currency,
     CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE CAST(3 + (o_orderkey % 1000) / 1000.0 AS DECIMAL(17,8)) END AS rate FROM orders),
 parameters AS (SELECT 1 AS company, {_pick("p_partkey", 6007, 6006, 6008, 90009)} AS code, CASE WHEN p_partkey % 13 = 0 THEN '99999999' WHEN p_partkey % 17 = 0 THEN '20211399'

@@ -94,8 +94,8 @@ def _partitioned(b: Bed) -> DataFrame:
 
 add("s11_write_partitioned", _partitioned, "SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 AND month(o_orderdate) <= 6 THEN 0.0 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(month(o_orderdate) AS INTEGER) AS mes FROM orders")
 add("s13_load_replace", lambda b: ld.load_replace(b.target, b.staged), "SELECT * FROM staged")
-_marks = lambda b: ld.high_water_mark(b.load_log.filter("event_id < 3000"), None)
-add("s14_load_incremental", lambda b: ld.load_incremental(b.run_log.select("event_id", "table_name", "state"), "event_id", _marks(b).first()["mark"]), "SELECT event_id, table_name, state FROM run_log WHERE event_id > (SELECT max(mark_to) FROM load_log WHERE state = 'TERMINADO' AND event_id < 3000)")
+_marks = lambda b: ld.high_water_mark(b.load_log.filter("run_date < DATE '2024-01-15'"), None)
+add("s14_load_incremental", lambda b: ld.load_incremental(b.run_log.select("event_id", "table_name", "state"), "event_id", _marks(b).first()["mark"]), "SELECT event_id, table_name, state FROM run_log WHERE event_id > (SELECT max(mark_to) FROM load_log WHERE state = 'TERMINADO' AND run_date < DATE '2024-01-15')")
 add("s15_high_water_mark", lambda b: b.load_log.filter("state = 'TERMINADO'").groupBy("table_name").agg(F.max("mark_to").alias("mark")).unionByName(ld.high_water_mark(b.load_log).select(F.lit("(all)").alias("table_name"), "mark")),
     "SELECT table_name, max(mark_to) AS mark FROM load_log WHERE state NOT IN ('ERROR', 'SIN_DATOS') GROUP BY 1 UNION ALL SELECT '(all)', max(mark_to) FROM load_log WHERE state NOT IN ('ERROR', 'SIN_DATOS')")
 add("s16_load_merge", lambda b: ld.load_merge(b.target, b.staged, ["c_custkey"]), "SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_nationkey, t.c_nationkey) AS c_nationkey, coalesce(s.balance, t.balance) AS balance, coalesce(s.segment, t.segment) AS segment FROM target t FULL JOIN staged s ON s.c_custkey = t.c_custkey")
