@@ -1,6 +1,6 @@
 """Banking views of the TPC-H-like tables: the same definitions for Spark (class Bed) and for DuckDB (BED_SQL).
 
-Balances live in a fixed window of ship dates. Keys are coarse, so that series have gaps instead of single days.
+Balances are all lines of all orders. Keys are coarse, so that series have gaps instead of single days.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import operation_keys
 from tidemark.operators.calendar import business_day_asof
 
-LO, HI = "1997-12-25", "1998-03-31"
 FEASTS = ("01-01", "05-01", "12-25")
 # Account codes that the classification rules tell apart, dealt to rows by part key.
 LEDGER = (
@@ -40,7 +39,7 @@ class Bed:
 
     @cached_property
     def raw(self) -> DataFrame:
-        lines = self.table("lineitem").withColumn("ship", F.col("l_shipdate").cast("date")).filter(F.col("ship").between(F.lit(LO).cast("date"), F.lit(HI).cast("date")))
+        lines = self.table("lineitem").withColumn("ship", F.col("l_shipdate").cast("date"))
         both = lines.join(self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         pick = lambda column, *values: F.element_at(F.array(*map(F.lit, values)), (F.col(column) % len(values) + 1).cast("int"))
         currency = (F.col("l_orderkey") % 2 + 1).cast("int")
@@ -141,7 +140,7 @@ lines AS (SELECT CAST(l_shipdate AS DATE) AS ship, 1 AS company, {_pick("l_linen
     CAST(o_custkey % 20 AS INTEGER) AS account, CAST(l_suppkey % 3 AS INTEGER) AS operation, 0 AS sub_operation, 0 AS operation_type,
     {_pick("l_partkey", *LEDGER)} AS code, CAST(l_partkey % 31 AS INTEGER) AS origin_type, CAST(l_extendedprice AS DECIMAL(17,2)) AS amount_mn, CAST(CAST(round(l_quantity) AS INTEGER) * 10 AS DECIMAL(17,2)) AS amount_mo,
     l_orderkey * 8 + l_linenumber AS load_seq, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS title, CASE l_linestatus WHEN 'O' THEN 1 ELSE 2 END AS chapter, l_partkey
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{LO}' AND DATE '{HI}'),
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 raw AS (SELECT *, CASE WHEN module = 65 THEN concat('14', currency, {_pick("l_partkey", "1", "3", "4", "5", "6")}) ELSE concat('21', currency, {_pick("l_partkey", "1", "2", "3")}) END AS rubro,
     concat_ws('|', company, module, branch, currency, paper, account, operation, sub_operation, operation_type) AS id_operation,
     concat_ws('|', company, branch, currency, paper, account, operation, sub_operation, operation_type) AS id_balance,

@@ -13,7 +13,8 @@ from tidemark.plans.bed import BED_SQL, Bed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-LO, HI, START = date(1997, 12, 25), date(1998, 3, 31), date(1998, 1, 1)
+#: All years of the tables, and the day from which results are written.
+LO, HI, START = date(1995, 1, 1), date(2001, 12, 31), date(1995, 2, 1)
 D_LO, D_HI, D_START = (f"DATE '{d}'" for d in (LO, HI, START))
 
 # Attributes that a balance row carries through the series.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def _range(b: Bed) -> DataFrame:
     return b.closing.filter(F.col("date").between(F.lit(lo), F.lit(hi)) | (F.col("date") == F.lit(day))).select("load_seq", "date")
 
 
-add("p23_resolve_range", _range, "SELECT load_seq, date FROM closing WHERE strftime(date, '%Y-%m') = '1998-01' OR date = (SELECT max(date) FROM closing)")
+add("p23_resolve_range", _range, "SELECT load_seq, date FROM closing WHERE strftime(date, '%Y-%m') = '1995-02' OR date = (SELECT max(date) FROM closing)")
 
 # Series
 add("b1_propagate_business_days", lambda b: daily(b).select("date", "load_seq", "origin_kind", "amount_mn"), "SELECT date, load_seq, origin_kind, CAST(amount_mn AS DOUBLE) AS amount_mn FROM daily", series=True)
@@ -114,7 +116,8 @@ SELECT a.id_operation, a.date, a.is_business, CAST(any_value(a.amount_mn) AS DOU
 FROM t a JOIN t x ON x.id_operation = a.id_operation AND x.date <= a.date AND date_trunc('month', x.date) = date_trunc('month', a.date) GROUP BY a.id_operation, a.date, a.is_business""", series=True)
 
 # Consolidated
-DAY, READ = LO.replace(year=1998, month=3, day=13), LO
+#: The processing day, a Friday after which the tables have next to nothing.
+DAY, READ = date(2001, 11, 2), LO
 D_DAY = f"DATE '{DAY}'"
 _SHORT, _LONG = ", ".join(con.SHORT), ", ".join(con.LONG)
 _same = lambda keys, a="x", b="s": " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
@@ -202,8 +205,8 @@ def _variation_sql(pairs: str) -> str:
 add("v1_variation", lambda b: var.variation(b.snapshots, b.spark.sql("SELECT DATE '1998-02-28' AS date, DATE '1998-01-31' AS previous")), _variation_sql("SELECT DATE '1998-02-28' AS date, DATE '1998-01-31' AS previous"))
 for option in (2, 3, 4):
     test = "" if option == 3 else "AND x.date = last_day(x.date)"
-    pairs = f"SELECT DISTINCT s.date, (SELECT max(x.date) FROM snapshots x WHERE x.date < s.date {test}) AS previous FROM snapshots s WHERE s.date BETWEEN DATE '1998-02-02' AND DATE '1998-03-15'"
-    add(f"v2_variation_range_{option}", lambda b, o=option: var.variation_range(b.snapshots, LO.replace(year=1998, month=2, day=2), LO.replace(year=1998, month=3, day=15), o), _variation_sql(pairs))
+    pairs = f"SELECT DISTINCT s.date, (SELECT max(x.date) FROM snapshots x WHERE x.date < s.date {test}) AS previous FROM snapshots s WHERE s.date BETWEEN DATE '1995-02-02' AND {D_HI}"
+    add(f"v2_variation_range_{option}", lambda b, o=option: var.variation_range(b.snapshots, date(1995, 2, 2), HI, o), _variation_sql(pairs))
 add("j10_pair_snapshots", lambda b: var.pair_snapshots(b.snapshots, b.spark.sql("SELECT DATE '1998-02-28' AS date, DATE '1998-01-31' AS previous")).groupBy("module", "now", "before").agg(F.count("*").alias("n")), f""",
 a AS (SELECT {_VK} FROM snapshots WHERE date = DATE '1998-02-28'), z AS (SELECT {_VK} FROM snapshots WHERE date = DATE '1998-01-31')
 SELECT module, now, before, count(*) AS n FROM (SELECT {_VK}, true AS now, EXISTS (SELECT 1 FROM z WHERE {_same(var.KEYS, 'z', 'a')}) AS before FROM a UNION ALL SELECT {_VK}, false, true FROM z WHERE NOT EXISTS (SELECT 1 FROM a WHERE {_same(var.KEYS, 'a', 'z')})) GROUP BY ALL""")
