@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import rows_of
@@ -91,6 +92,18 @@ def test_mixing_odd_tables(spark, odd, none):
     assert n[0] > 1.5 * n[1]
 
 
+@pytest.mark.parametrize("words", [[100] * 6, [100] * 7, [300, 100, 50, 300, 100, 50], [40, 900, 7, 40, 1, 7, 40]])
+def test_mixing_sources_of_equal_need(spark, words):
+    """Sources three places apart have one weight, so equal sizes tie in capacity per weight; the targets must still add up."""
+    docs = table(spark, [(s * 1000 + i, "w", "en", f"s{s}") for s, n in enumerate(words) for i in range(n)])
+    con = duckdb.connect()
+    frame = docs.select("doc_id", "text", "source").toPandas()  # noqa: F841
+    con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+    got = mixing.mix(docs)
+    assert rows_of(got.select("doc_id", "size", "source_size", "target", "taken").toPandas()) == rows_of(con.execute(mixing.OP10_SQL).df())
+    assert abs(got.groupBy("source").agg(F.first("target").alias("t")).agg(F.sum("t")).first()[0] - sum(words)) < 1e-6
+
+
 def test_warc_round_trip(spark, none):
     pages = spark.createDataFrame(
         [(1, "http://a/x y\r\nz", "<p>é😀</p>"), (2, None, "<p>é😀</p>"), (3, "http://b", None), (4, "http://c", ""), (5, "http://d", "x" * 300_000), (5, "http://d", "x" * 300_000), (6, "http://e", "\r\n\r\nWARC/1.1\r\n")],

@@ -24,18 +24,20 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float = 1.0,
 
     Weights are dealt to the sources in code point order, null last, and repeat. A target stops at ``cap`` times its
     source's size and the excess goes to the others by weight, until none is above: sources are filled in the
-    order of capacity per weight, and those that the water level reaches are capped. Without any words, targets are 0.
+    order of capacity per weight, those of equal capacity per weight together, and those that the water level reaches
+    are capped. Without any words, targets are 0.
     """
     cycle = F.array(*[F.lit(w) for w in weights])
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weighed = sizes.withColumn("_w", F.element_at(cycle, (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int")))
     weighed = weighed.withColumn("_full", F.col("source_size") * cap).withColumn("_need", F.col("_full") / F.col("_w"))
-    order = Window.orderBy("_need", F.col("source").asc_nulls_last())
-    before, onward = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy(F.lit(0))
-    level = (F.sum("source_size").over(whole) * F.lit(share) - F.coalesce(F.sum("_full").over(before), F.lit(0))) / F.sum("_w").over(onward)
+    order, ties, whole = Window.orderBy("_need"), Window.partitionBy("_need"), Window.partitionBy(F.lit(0))
+    # frames by range hold all ties, so sources of equal need have one level
+    upto, onward = order.rangeBetween(Window.unboundedPreceding, Window.currentRow), order.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    before = F.sum("_full").over(upto) - F.sum("_full").over(ties)
+    level = (F.sum("source_size").over(whole) * F.lit(share) - before) / F.sum("_w").over(onward)
     levels = weighed.withColumn("_level", level).withColumn("_capped", F.col("_need") <= F.col("_level"))
-    # the level that counts is that of the first source which it does not fill
+    # the level that counts is that of the first sources which it does not fill
     water = F.min(F.when(~F.col("_capped"), F.struct("_need", "_level"))).over(whole)
     return levels.select("source", "source_size", F.when(F.col("_capped"), F.col("_full").cast("double")).otherwise(F.col("_w") * water["_level"]).alias("target"))
 
