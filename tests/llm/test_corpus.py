@@ -137,6 +137,19 @@ def test_token_ids_are_those_of_the_tokenizers_library(spark, sf_dir):
         assert (fast(text) == slow(text)).all() if len(fast(text)) == len(slow(text)) else False
 
 
+def test_runs_of_a_million_blanks(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokenizer(*packing.vocabulary())
+    texts = ["a" + " " * 1_000_000 + "b c", "\n" * 1_000_000, "x \t\n\u3000" * 3 + "\t " * 600_000 + "y", ("\n" * packing.BLANKS + "z") * 3]
+    for text in texts:
+        assert fast(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert [packing.long_blanks(t) for t in texts] == [True, True, True, False]
+    got = packing.pack_documents(table(spark, [(1, texts[0], "en", "a"), (2, "x", "en", "a")]), *packing.vocabulary()).toPandas()
+    assert got[got.doc_id == 1]["length"].sum() == len(fast(texts[0])) + 1 and (got.doc_id == 2).sum() == 1
+
+
 def test_packing(spark, odd, none):
     got = packing.pack_documents(odd, *packing.vocabulary()).toPandas()
     assert len(got[got.doc_id == 6]) == 2 and set(got[got.doc_id.isna()].piece) == {0}

@@ -10,6 +10,7 @@ Texts never leave the scan: only piece metadata is shuffled.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,14 +22,23 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize, ship
 
 GROUP = 4096
+#: Longest run of blanks that tiktoken gets: its split pattern overflows a stack of a million entries, one for each blank.
+BLANKS = 100_000
+_RUNS = re.compile(r"\s+")
 _TOKENIZERS: dict = {}
 
 
+def long_blanks(text: str) -> bool:
+    """Whether the text has a run of more than ``BLANKS`` blanks."""
+    return len(text) > BLANKS and any(m.end() - m.start() > BLANKS for m in _RUNS.finditer(text))
+
+
 def tokenizer(path: str, pattern: str):
     """A function from text to uint32 ids for a byte-level vocabulary file, cached per worker.
 
     ``.tiktoken`` files hold the ranks of the vocabulary and are read by tiktoken, which gives the ids of the
-    ``tokenizers`` library for the ``.json`` file of the same name several times faster (tests hold one against the other).
+    ``tokenizers`` library for the ``.json`` file of the same name several times faster (tests hold one against the other). Texts with a very long
+    run of blanks, on which tiktoken fails, are left to ``tokenizers`` and the ``.json`` file.
     """
     if path not in _TOKENIZERS:
         if path.endswith(".tiktoken"):
@@ -39,7 +49,14 @@ def tokenizer(path: str, pattern: str):
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             coder = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            _TOKENIZERS[path] = lambda text: np.asarray(coder.encode_ordinary(text), dtype="<u4")
+            whole = path.removesuffix(".tiktoken") + ".json"
+
+            def encode(text: str) -> np.ndarray:
+                if long_blanks(text):
+                    return tokenizer(whole, pattern)(text)
+                return np.asarray(coder.encode_ordinary(text), dtype="<u4")
+
+            _TOKENIZERS[path] = encode
         else:
             from tokenizers import Tokenizer
 
