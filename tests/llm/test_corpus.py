@@ -150,6 +150,19 @@ def test_runs_of_a_million_blanks(spark):
     assert got[got.doc_id == 1]["length"].sum() == len(fast(texts[0])) + 1 and (got.doc_id == 2).sum() == 1
 
 
+def test_added_tokens_get_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokenizer(*packing.vocabulary())
+    assert fast("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    end = "<|endoftext|>"
+    for text in [end, end * 3, f"x\n\n{end}\n y", f"é {end}  {end} {end[:-1]}", f"{end}  ", f"a {end}" + "\n" * 1_000_000 + end]:
+        assert fast(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    got = packing.pack_documents(table(spark, [(1, f"a {end} b", "en", "a")]), *packing.vocabulary()).toPandas()
+    assert got["length"].tolist() == [5] and got.ids_crc32.tolist() == [zlib.crc32(np.array([64, 220, 50256, 275, 0], dtype="<u4").tobytes())]
+
+
 def test_packing(spark, odd, none):
     got = packing.pack_documents(odd, *packing.vocabulary()).toPandas()
     assert len(got[got.doc_id == 6]) == 2 and set(got[got.doc_id.isna()].piece) == {0}

@@ -37,31 +37,35 @@ def tokenizer(path: str, pattern: str):
     """A function from text to uint32 ids for a byte-level vocabulary file, cached per worker.
 
     ``.tiktoken`` files hold the ranks of the vocabulary and are read by tiktoken, which gives the ids of the
-    ``tokenizers`` library for the ``.json`` file of the same name several times faster (tests hold one against the other). Texts with a very long
+    ``tokenizers`` library for the ``.json`` file of the same name several times faster (tests hold one against the other). Added tokens such as <|endoftext|> are
+    in the ``.json`` file alone; where a text has them, they get their own ids. Texts with a very long
     run of blanks, on which tiktoken fails, are left to ``tokenizers`` and the ``.json`` file.
     """
     if path not in _TOKENIZERS:
         if path.endswith(".tiktoken"):
             import base64
+            import json
 
             import tiktoken
 
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            coder = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
             whole = path.removesuffix(".tiktoken") + ".json"
+            with open(whole, encoding="utf-8") as f:
+                added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+            coder = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
             def encode(text: str) -> np.ndarray:
                 if long_blanks(text):
                     return tokenizer(whole, pattern)(text)
-                return np.asarray(coder.encode_ordinary(text), dtype="<u4")
+                some = any(token in text for token in added)
+                return np.asarray(coder.encode(text, allowed_special="all") if some else coder.encode_ordinary(text), dtype="<u4")
 
             _TOKENIZERS[path] = encode
         else:
             from tokenizers import Tokenizer
 
             slow = Tokenizer.from_file(path)
-            slow.encode_special_tokens = True
             _TOKENIZERS[path] = lambda text: np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
     return _TOKENIZERS[path]
 
