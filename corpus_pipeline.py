@@ -1,6 +1,7 @@
 """Five stages from raw documents to packed sequences; each works on what its predecessor kept, and as a table of its own.
 
 A stage gets (spark, docs, sf_dir) and returns a DataFrame with the columns of ``documents``; the last one returns pieces.
+Stages decide row by row: a doc_id may be null or repeat, with one text or several.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language, minhash, mixing, packing
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, row_keyed
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,23 +19,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs, model)
 
 
-def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    return docs.join(materialize(dropped.select("doc_id").distinct(), name), "doc_id", "left_anti").select(*docs.columns)
+def _without(keyed: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    return keyed.join(materialize(dropped.select("_row"), name), "_row", "left_anti").drop("_row")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _without(docs, exact_dedup.exact_dedup(docs).filter(~F.col("kept")), "exact-dropped")
+    """One row of each group of equal texts."""
+    keyed = row_keyed(docs, "exact-rows")
+    return _without(keyed, exact_dedup.exact_dedup(keyed, carry=["_row"]).filter(~F.col("kept")), "exact-dropped")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more on five-word shingles; wordless texts stay."""
-    return _without(docs, minhash.near_dups(docs, width=5, percent=80).filter(~F.col("kept")), "near-dropped")
+    """One row of each group linked by a similarity of 0.8 or more on five-word shingles, that of the smallest doc_id; wordless texts stay."""
+    keyed = row_keyed(docs, "near-rows")
+    found = minhash.near_dups(keyed.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
+    found = materialize(found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "near-groups")
+    shared = found.filter("_row <> _group").select("_group").distinct()
+    linked = found.join(shared, "_group", "left_semi").join(keyed.select("_row", "doc_id"), "_row")
+    linked = materialize(linked.select("_group", "_row", "doc_id"), "near-linked")
+    best = linked.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("best"))
+    return _without(keyed, linked.join(best, "_group").filter("_row <> best._row"), "near-dropped")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.repeated(docs, mixing.mix(docs))
+    """Rows as often as the mix takes them."""
+    keyed = row_keyed(docs, "mix-rows")
+    return mixing.repeated(keyed, mixing.mix(keyed, carry=["_row"]), by="_row").drop("_row")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,6 +66,16 @@ def test_exact_dedup_and_weak_digests(spark, odd, none):
     assert exact_dedup.exact_dedup(none).count() == 0
 
 
+def test_exact_dedup_of_repeated_rows_matches_sql(spark, odd):
+    con = duckdb.connect()
+    frame = odd.unionByName(odd.filter("doc_id is null or doc_id in (4, 12)")).select("doc_id", "text").toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+    want = rows_of(con.execute(exact_dedup.OP7_SQL).df())
+    docs = odd.unionByName(odd.filter("doc_id is null or doc_id in (4, 12)"))
+    assert rows_of(exact_dedup.exact_dedup(docs).toPandas()) == want
+    assert rows_of(exact_dedup.exact_dedup(docs, digest=lambda norm: F.substring(F.unhex(F.md5(norm)), 1, 0)).toPandas()) == want
+
+
 def test_filters_have_no_false_negatives(spark):
     digests = spark.range(2000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
     bits = exact_dedup.filter_bits(500)

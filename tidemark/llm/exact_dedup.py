@@ -15,7 +15,7 @@ that verification broadcasts stays within 8 MB at any input size; when it fills
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,21 +67,21 @@ def probably_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return placed.filter(passes(F.col("_bitmap"), F.col(column), bits)).drop("_bucket", "_bitmap")
 
 
-def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Column] = sha256, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carry``.
 
     Texts are equal if they are identical after :func:`normalised`; null, empty and blank texts are one group. Of a
     group, the row with most code points in the original text stays, of these the smallest doc_id. Repeated rows count
-    one by one; of rows with one doc_id either all or none are kept. Null doc_ids only stay if the group has no other
-    id. Any ``digest`` gives the same result, a weak one only slower. Further columns are ignored.
+    one by one, and one of them is kept: exactly one row of a group stays. Null doc_ids only stay if the group has no
+    other id. Any ``digest`` gives the same result, a weak one only slower. Further columns are ignored.
     """
     norm = normalised(F.col("text"))
-    entries = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars"), digest(norm).alias("digest"), F.sha2(norm, 256).alias("text_sha256"),
+    entries = docs.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), digest(norm).alias("digest"), F.sha2(norm, 256).alias("text_sha256"),
                           F.pmod(F.xxhash64("doc_id"), F.lit(runs)).alias("run"))
     entries = materialize(entries, "lsm-entries")
     bits = filter_bits(entries.count())
 
-    best = F.max(F.struct("chars", F.negative("doc_id").alias("neg_id")))
+    best = F.max(F.struct("chars", F.negative("doc_id").alias("neg_id"), "entry"))
     memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best.alias("best"))
     flushed = materialize(memtables.repartitionByRange("run", "digest").sortWithinPartitions("run", "digest"), "lsm-runs")
     filters = materialize(build_filter(flushed, bits, "run"), "lsm-filters")
@@ -105,20 +105,22 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
 
     for table in (flushed, filters, hits):  # nothing reads them any more
         drop_shared(table)
-    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"))
+    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"), F.col("best.entry").alias("keep_entry"))
     out = entries.join(groups, "digest", "left")
     if false_hits.isEmpty():
-        return _result(out)
+        return _result(out, carry)
     apart = docs.withColumn("norm", norm).withColumn("digest", digest(F.col("norm"))).join(false_hits, "digest", "left_semi")
-    apart = apart.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "norm", F.sha2("norm", 256).alias("text_sha256"))
-    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"))
-    return _result(out.join(false_hits, "digest", "left_anti")).unionByName(_result(apart.join(by_text, "norm")))
+    apart = apart.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "norm", F.sha2("norm", 256).alias("text_sha256"))
+    apart = materialize(apart, "lsm-apart")
+    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"), F.col("best.entry").alias("keep_entry"))
+    return _result(out.join(false_hits, "digest", "left_anti"), carry).unionByName(_result(apart.join(by_text, "norm"), carry))
 
 
-def _result(rows: DataFrame) -> DataFrame:
+def _result(rows: DataFrame, carry: Sequence[str]) -> DataFrame:
     single = F.col("group_size").isNull()
     keep = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
-    return rows.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
+    kept = (single | (F.col("entry") == F.col("keep_entry"))).alias("kept")
+    return rows.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), kept, "text_sha256", *carry)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

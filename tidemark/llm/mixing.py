@@ -42,15 +42,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float = 1.0,
     return levels.select("source", "source_size", F.when(F.col("_capped"), F.col("_full").cast("double")).otherwise(F.col("_w") * water["_level"]).alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.0, cap: int = 3, seed: str = "mix", chance: str | None = None) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, copies, taken.
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.0, cap: int = 3, seed: str = "mix", chance: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, copies, taken, and the columns ``carry``.
 
     ``chance`` names a column of positive factors on the inclusion odds of each document (default: equal odds within
     a source; odds still differ between sources). Size is the number of words; null text has size 0 and is never
-    drawn. Null is a source of its own. Repeated rows are drawn together, tied keys by doc_id; repeated rows of one
-    doc_id at the border share its fate. An empty table gives an empty result; further columns are ignored.
+    drawn. Null is a source of its own. Repeated rows are drawn together, tied keys by doc_id and ``carry``. An empty table gives an empty result; further columns are ignored.
     """
-    base = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+    base = docs.select("doc_id", *carry, "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        hashed_unit("doc_id", seed).alias("_u"), (F.lit(1.0) if chance is None else F.col(chance).cast("double")).alias("_factor"))
     base = materialize(base, "mix-base")
     targets = materialize(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "mix-targets")
@@ -74,11 +73,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.0,
     at2 = F.coalesce("_at2", at1 * BUCKETS)
     clear = keyed.filter(F.col("_fine") != at2).withColumn("_extra", (F.col("_fine") < at2).cast("int"))
     running = Window.partitionBy("source").orderBy("_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = keyed.filter(F.col("_fine") == at2).withColumn("_rank", F.row_number().over(Window.partitionBy("source").orderBy("_key", "doc_id")))
+    ranked = keyed.filter(F.col("_fine") == at2).withColumn("_rank", F.row_number().over(Window.partitionBy("source").orderBy("_key", "doc_id", *carry)))
     before = F.col("_start2") + F.sum("size").over(running) - F.col("size")
     border = ranked.withColumn("_extra", (before + F.col("size") / 2.0 <= F.col("_rest")).cast("int")).drop("_rank")
     copies = (F.col("_whole") + F.col("_extra")).cast("int")
-    return clear.unionByName(border).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return clear.unionByName(border).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *carry)
 
 
 def _border(keyed: DataFrame, bucket: str) -> DataFrame:
@@ -90,10 +89,13 @@ def _border(keyed: DataFrame, bucket: str) -> DataFrame:
     return sums.filter((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_after"))).select("source", F.col(bucket).alias("_at"), F.col("_before").alias("_start"))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``mixed`` takes them (by doc_id); columns stay as they are."""
-    copies = mixed.filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    return docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+def repeated(docs: DataFrame, mixed: DataFrame, by: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` as often as ``mixed`` takes them; columns stay as they are.
+
+    Rows are matched by the column ``by``, nulls too. Where it repeats, all its rows come as often as the one taken most.
+    """
+    copies = mixed.filter("copies > 0").groupBy(F.col(by).alias("_by")).agg(F.max("copies").alias("_copies"))
+    return docs.join(copies, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
