@@ -22,11 +22,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's switch for deleting an execution's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet to the shared folder and read it back; the shuffle files of the write go when it has ended."""
+    spark = df.sparkSession
+    path, before = shared_dir(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_shared(df: DataFrame) -> None:
