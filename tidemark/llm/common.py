@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.tables import drop_shared, materialize, shared_dir  # noqa: F401
 
@@ -27,17 +30,67 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS))
 
 
-def row_keyed(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a column ``_row``, a number of its own for each row, whatever the columns hold, and the same at every read.
+def map_carried(df: DataFrame, carry: Sequence[str], inputs: Sequence[str], work: Callable, result: str) -> DataFrame:
+    """The columns ``carry`` and those that Python works out from the columns ``inputs``.
+
+    ``work()`` is called once a task and gives a function from lists of values (one list an input) to (rows,
+    columns): ``rows`` says from which row of the batch each result comes (None: one each, in order) and ``columns`` are sequences
+    in the order of ``result``. Carried columns stay in Arrow, so ids of any type and size pass unchanged, nulls too.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship(df.sparkSession)
+    kept = [df.schema[c] for c in carry]
+    made = StructType.fromDDL(result)
+    schema, names = StructType([*kept, *made.fields]), [f"_c{i}" for i in range(len(carry))] + [f"_i{i}" for i in range(len(inputs))]
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = work()
+        for batch in batches:
+            rows, columns = each(*[batch.column(len(kept) + i).to_pylist() for i in range(len(inputs))])
+            at = None if rows is None else pa.array(np.asarray(rows, dtype=np.int64))
+            ids = [batch.column(i) if at is None else batch.column(i).take(at) for i in range(len(kept))]
+            arrays = [*(x.cast(f.type) for x, f in zip(ids, out, strict=False)), *(pa.array(x, type=f.type) for x, f in zip(columns, list(out)[len(kept) :], strict=True))]
+            yield pa.RecordBatch.from_arrays(arrays, schema=out)
+
+    return df.select(*carry, *inputs).toDF(*names).mapInArrow(run, schema)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_keyed(docs: DataFrame, name: str, key: str = "_row", columns: Sequence[str] | None = None) -> DataFrame:
+    """The ``columns`` of ``docs`` (all by default) and a column ``key``, a number of its own for each row, whatever the columns hold, and the same at every read.
 
     It is the place of the row in its Parquet file below the file's number. Anything but a plain scan is written first.
     """
+    columns = list(docs.columns if columns is None else columns)
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        docs = materialize(docs, name)
+        docs = materialize(docs.select(*columns), name)
     files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
-    numbers = docs.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], "_path string, _file long")
-    placed = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_place"))
-    return placed.join(F.broadcast(numbers), "_path").select(*docs.columns, F.shiftleft("_file", 40).bitwiseOR(F.col("_place")).alias("_row"))
+    path, number, place = (fresh(docs, c) for c in ("_path", "_file", "_place"))
+    numbers = docs.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], f"{path} string, {number} long")
+    placed = docs.select(*columns, F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    return placed.join(F.broadcast(numbers), path).select(*columns, F.shiftleft(number, 40).bitwiseOR(F.col(place)).alias(key))
+
+
+def order_keyed(docs: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """The ``columns`` and a long ``_key`` of its own for each row, in the order of doc_id, rows of one id by their place in the files, those without one last.
+
+    Where ids are integers, present and unique, they are the key; else rows are numbered in that order and written.
+    """
+    whole = docs.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte")
+    if whole and docs.groupBy("doc_id").count().filter("`count` > 1 or doc_id is null").isEmpty():
+        return docs.select(*columns, F.col("doc_id").cast("long").alias("_key"))
+    keyed = row_keyed(docs, name, columns=list(dict.fromkeys([*columns, "doc_id"])))
+    placed = positioned(keyed.select("doc_id", "_row"), [F.col("doc_id").asc_nulls_last(), F.col("_row")], "_key", name)
+    return materialize(keyed.join(placed.select("_row", "_key"), "_row").select(*columns, "_key"), name)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: str, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -48,7 +101,7 @@ def join_small(df: DataFrame, small: DataFrame, on: str, rows: int = BROADCAST_R
     return df.join(right, F.col(on).eqNullSafe(F.col("_small_key")), "left").drop("_small_key")
 
 
-def positioned(df: DataFrame, order: Sequence[str], pos: str, name: str) -> DataFrame:
+def positioned(df: DataFrame, order: Sequence[str | Column], pos: str, name: str) -> DataFrame:
     """Add the row's 0-based place in the global order of the columns ``order``.
 
     Rows are dealt by range and sorted within partitions, so no key's rows have to fit in one task;

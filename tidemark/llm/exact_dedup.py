@@ -67,6 +67,14 @@ def probably_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return placed.filter(passes(F.col("_bitmap"), F.col(column), bits)).drop("_bucket", "_bitmap")
 
 
+def among(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose column is one of ``keys`` (a materialized table of this column, each value once).
+
+    The filter comes first, so few others are shuffled. This is no semi-join, which the optimizer would move before the filter.
+    """
+    return probably_in(df, column, keys).join(keys, column)
+
+
 def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Column] = sha256, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carry``.
 

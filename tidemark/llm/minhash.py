@@ -2,10 +2,10 @@
 
 Documents with equal shingle sets form a class with one representative, so copies of a text cost one row each
 from there on. Representatives meet in the buckets of their bands. First all members of a bucket are tried against
-one centre (the smallest id, then another one at random); what is confirmed is connected. Buckets that still hold several
-components and untried pairs get the full sets of their members: all pairs are compared inside the task, by
+one centre, its first row; what is confirmed is connected. Buckets that still hold several
+components get the full sets of their members: all pairs are compared inside the task, by
 matrix products over the shingles shared, and only a spanning star of each component found leaves it. Large buckets are
-dealt as pairs of blocks of at most ``BLOCK`` members. So no pairs are listed, and no link that shares a band is given up.
+dealt as pairs of blocks of at most ``BLOCK`` members, and small ones that touch are taken together. So no pairs are listed, and no link that shares a band is given up.
 Bands are chosen such that a pair at the threshold misses all of them with a chance of at most ``MISS``.
 """
 
@@ -20,11 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_shared, materialize, ship
+from tidemark.llm.common import drop_shared, map_carried, materialize, row_keyed
 from tidemark.llm.components import connected_components
-from tidemark.llm.exact_dedup import probably_in
+from tidemark.llm.exact_dedup import among, probably_in
 
-MISS, MOST_HASHES, CENTRES, BLOCK, BIN_ROWS = 1e-7, 160, 2, 2048, 2048
+MISS, MOST_HASHES, BLOCK, BIN_ROWS = 1e-7, 160, 2048, 2048
 _MASK = (1 << 64) - 1
 
 
@@ -71,54 +71,49 @@ def minima(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.
     return low >> np.uint64(16)
 
 
-def signatures(docs: DataFrame, width: int, bands: int, rows: int, seed: int = 1) -> DataFrame:
-    """doc_id, n_shingles, set_digest (of the sorted set), bands (hashes of rows of minima), signature (two bytes per minimum)."""
-    ship(docs.sparkSession)
+def signatures(keyed: DataFrame, width: int, bands: int, rows: int, seed: int = 1) -> DataFrame:
+    """_row, doc_id, n_shingles, set_digest (of the sorted set), bands (hashes of rows of minima), signature (a byte per minimum)."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(0, 1 << 63, size=bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = rng.integers(0, 1 << 63, size=bands * rows, dtype=np.uint64)
     mix = rng.integers(0, 1 << 63, size=(bands, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                s = shingle_set(text, width)
-                if not len(s):
-                    out.append((doc_id, 0, b"", [], b""))
-                    continue
-                low = minima(s, factors, shifts)
-                keys = (low.reshape(bands, rows) * mix).sum(axis=1, dtype=np.uint64)
-                keys ^= keys >> np.uint64(31)
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((doc_id, len(s), digest, keys.astype(np.int64), low.astype("<u2").tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_digest", "bands", "signature"])
-
-    return docs.select("doc_id", "text").mapInPandas(sign, "doc_id long, n_shingles long, set_digest binary, bands array<long>, signature binary")
+    def sign(text: str | None) -> tuple:
+        s = shingle_set(text, width)
+        if not len(s):
+            return 0, b"", [], b""
+        low = minima(s, factors, shifts)
+        keys = (low.reshape(bands, rows) * mix).sum(axis=1, dtype=np.uint64)
+        keys ^= keys >> np.uint64(31)
+        return len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), keys.astype(np.int64), low.astype(np.uint8).tobytes()
+
+    result = "n_shingles long, set_digest binary, bands array<long>, signature binary"
+    return map_carried(keyed, ["_row", "doc_id"], ["text"], lambda: lambda texts: (None, list(zip(*map(sign, texts), strict=True)) or [[]] * 4), result)
 
 
 def screen(pairs: DataFrame, signed: DataFrame, percent: int, hashes: int) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow the similarity; five standard deviations are left to chance."""
     t = percent / 100
     least = math.floor(hashes * t - 5 * math.sqrt(hashes * t * (1 - t)))
-    a = signed.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    b = signed.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
+    a = signed.select(F.col("_row").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
+    b = signed.select(F.col("_row").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
     sized = pairs.join(b, "b").join(a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            left = np.frombuffer(b"".join(batch["sa"]), dtype="<u2").reshape(len(batch), -1)
-            right = np.frombuffer(b"".join(batch["sb"]), dtype="<u2").reshape(len(batch), -1)
+            left = np.frombuffer(b"".join(batch["sa"]), dtype=np.uint8).reshape(len(batch), -1)
+            right = np.frombuffer(b"".join(batch["sb"]), dtype=np.uint8).reshape(len(batch), -1)
             yield batch.loc[(left == right).sum(axis=1) >= least, ["a", "b"]]
 
     return sized.select("a", "b", "sa", "sb").mapInPandas(close, "a long, b long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    texts = docs.select("doc_id", "text")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct(), "minhash-ends")
+    texts = probably_in(texts.select("_row", "text"), "_row", ends)
+    left = texts.select(F.col("_row").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("_row").alias("b"), F.col("text").alias("tb"))
     full = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,98 +160,115 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
         label = least
 
 
-def compare_buckets(open_: DataFrame, texts: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) that connect the members (bucket, doc_id) of each bucket as all their pairs would."""
-    ship(open_.sparkSession)
-
-    def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingle_set(t, width).tobytes() for t in batch["text"]]})
-
-    wanted = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = materialize(wanted.mapInPandas(shingle, "doc_id long, shingles binary"), "minhash-sets")
+def _units(open_: DataFrame, block: int) -> DataFrame:
+    """(unit, _row): the members of buckets that touch are one unit if they are few, so each set travels once; else buckets, dealt as pairs of blocks."""
+    spread = connected_components(open_.select(F.col("centre").alias("u"), F.col("_row").alias("v")))
+    sizes = spread.groupBy("root").agg(F.count("*").alias("n"))
+    placed = materialize(spread.join(sizes, "root").select(F.col("node").alias("_row"), "root", (F.col("n") <= block).alias("few")), "minhash-clusters")
+    few = placed.filter("few").select(F.xxhash64("root").alias("unit"), "_row")
+    many = open_.select("bucket", "_row").join(placed.filter("not few").select("_row"), "_row")
     # buckets with the same members are one
-    kinds = open_.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("y"))
+    kinds = many.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(_row))").alias("x"), F.expr("bit_xor(xxhash64(_row, 1))").alias("y"))
     kinds = kinds.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = open_.select("bucket", "doc_id").join(kinds, "bucket").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    rows = many.join(kinds, "bucket").withColumn("mine", F.pmod(F.xxhash64("_row"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = materialize(rows.select("doc_id", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit")), "minhash-units")
-    bins = max(1, -(-rows.count() // BIN_ROWS))
+    blocks = rows.select(F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"), "_row")
+    units = materialize(few.unionByName(blocks), "minhash-units")
+    drop_shared(placed)
+    return units
+
+
+def compare_buckets(open_: DataFrame, texts: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect the members (bucket, _row) of each bucket, whose ``centre`` is one of them, as all their pairs would."""
+    units = _units(open_, block)
+    wanted = materialize(units.select("_row").distinct(), "minhash-wanted")
+    sets = map_carried(among(texts, "_row", wanted), ["_row"], ["text"], lambda: lambda batch: (None, [[shingle_set(t, width).tobytes() for t in batch]]), "shingles binary")
+    bins = max(1, -(-units.count() // BIN_ROWS))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, part in frame.groupby("unit", sort=False):
-            part = part.sort_values("doc_id")
-            ids = part["doc_id"].to_numpy(dtype=np.int64)
+            part = part.sort_values("_row")
+            ids = part["_row"].to_numpy(dtype=np.int64)
             label = linked([np.frombuffer(x, dtype=np.uint64) for x in part["shingles"]], percent)
             some = label != np.arange(len(ids))
             out.append(pd.DataFrame({"a": ids[label[some]], "b": ids[some]}))
         return pd.concat(out, ignore_index=True)
 
-    joined = rows.join(sets, "doc_id").withColumn("_bin", F.pmod(F.xxhash64("unit"), F.lit(bins)))
+    joined = units.join(sets, "_row").withColumn("_bin", F.pmod(F.xxhash64("unit"), F.lit(bins)))
     found = materialize(joined.groupBy("_bin").applyInPandas(compare, "a long, b long").distinct(), "minhash-links")
-    for spent in (sets, rows):
+    for spent in (units, wanted):
         drop_shared(spent)
     return found
 
 
-def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, class_id, component_id, kept.
+def near_rows(keyed: DataFrame, width: int = 5, percent: int = 80, seed: int = 1, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``keyed`` (_row, doc_id, text): _row, doc_id, n_shingles, class_row (least ``_row`` with the same
+    set), group_row (least ``_row`` linked directly or through others) and shared (whether the group has other rows).
 
-    Null, empty and blank texts have no shingles and are linked with nothing, not even each other. Of documents linked
-    directly or through others the smallest doc_id names the component and is kept. class_id is the smallest doc_id
-    with the same shingle set. Repeated rows of one doc_id should hold one text; all of them get the same result.
-    Texts of any length are shingled whole. An empty table gives an empty result; further columns are ignored.
+    ``_row`` is a number of its own for every row; everything is decided by it, so ids may repeat or be missing.
     """
-    spark = docs.sparkSession
-    ship(spark)
     bands, rows = bands_for(percent)
-    signed = materialize(signatures(docs, width, bands, rows, seed), "minhash-signed")
-    some = signed.filter("n_shingles > 0")
-    classes = some.groupBy("set_digest", "n_shingles").agg(F.min("doc_id").alias("class_id"))
-    members = materialize(signed.select("doc_id", "n_shingles", "set_digest").join(classes.drop("n_shingles"), "set_digest", "left"), "minhash-members")
-    heads = signed.join(members.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    keyed = heads.select("doc_id", F.posexplode("bands").alias("band", "hash")).select("doc_id", F.xxhash64("band", "hash").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("doc_id").alias("centre")).filter("rows > 1")
-    buckets = materialize(keyed.join(shared.select("bucket", "centre"), "bucket"), "minhash-buckets")
-    heads = materialize(signed.select("doc_id", "n_shingles", "signature").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-heads")
-    # a filter keeps the texts that share no bucket out of the shuffle
-    maybe = probably_in(docs.select("doc_id", "text"), "doc_id", heads.select("doc_id"))
-    texts = materialize(maybe.join(heads.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-texts", "zstd")
-
-    links, tried, roots, spent = None, None, None, [signed, buckets, heads, texts]
-    for turn in range(CENTRES + 1):
-        if turn:
-            at = buckets.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")).drop("centre")
-            split = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.min(F.struct(F.xxhash64("doc_id", "bucket", F.lit(turn)), "doc_id", "root")).alias("c"))
-            split = split.filter("low <> high and n > 2")  # a pair was tried against its centre
-            open_ = materialize(at.join(split.select("bucket", F.col("c.doc_id").alias("centre"), F.col("c.root").alias("at")), "bucket"), "minhash-open")
-            if open_.isEmpty():
-                break
-        if turn == CENTRES:
-            found = compare_buckets(open_, texts, width, percent, block)
-        else:
-            if turn:
-                pairs = open_.filter("root <> at").select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-            else:
-                pairs = buckets.filter("centre <> doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-            tried = pairs = materialize(pairs, "minhash-pairs")
-            close = materialize(screen(pairs, heads, percent, bands * rows), "minhash-close")
-            found = materialize(confirm(close, texts, width, percent), "minhash-links")
-            spent += [pairs, close]
-        if turn:
-            spent.append(open_)
-        spent.append(found)
-        links = found if links is None else links.unionByName(found)
-        if not turn or not found.isEmpty():
-            roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        spark._jvm.System.gc()  # lets Spark delete shuffles that are not needed any more
+    signed = materialize(signatures(keyed, width, bands, rows, seed), "minhash-signed")
+    # one row per set, chosen before the shuffle where a task holds several
+    first = F.min_by(F.struct("n_shingles", "bands", "signature"), "_row").alias("first")
+    classes = signed.filter("n_shingles > 0").groupBy("set_digest").agg(F.min("_row").alias("class_row"), F.count("*").alias("copies"), first)
+    classes = materialize(classes.select("set_digest", "class_row", "copies", "first.*"), "minhash-classes")
+    names = classes.select("set_digest", "class_row", "copies")
+    members = materialize(signed.select("_row", "doc_id", "n_shingles", "set_digest").join(names, "set_digest", "left").drop("set_digest"), "minhash-members")
+    drop_shared(signed)
+    heads = classes.withColumnRenamed("class_row", "_row")
+    keyed_bands = heads.select("_row", F.posexplode("bands").alias("band", "hash")).select("_row", F.xxhash64("band", "hash").alias("bucket"))
+    shared = keyed_bands.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("_row").alias("centre")).filter("rows > 1")
+    shared = materialize(shared.select("bucket", "centre"), "minhash-shared")
+    # filters keep what shares no bucket out of the shuffles, texts above all
+    buckets = materialize(probably_in(keyed_bands, "bucket", shared.select("bucket")).join(shared, "bucket"), "minhash-buckets")
+    open_rows = materialize(buckets.select("_row").distinct(), "minhash-open-rows")
+    heads = materialize(among(heads.select("_row", "n_shingles", "signature"), "_row", open_rows), "minhash-heads")
+    texts = materialize(among(keyed.select("_row", "text"), "_row", open_rows), "minhash-texts", "zstd")
+    for table in (classes, shared):
+        drop_shared(table)
+
+    pairs = buckets.filter("centre <> _row").select(F.col("centre").alias("a"), F.col("_row").alias("b")).distinct()
+    close = materialize(screen(pairs, heads, percent, bands * rows), "minhash-close")
+    links = materialize(confirm(close, texts, width, percent), "minhash-links")
+    roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    spent = [buckets, open_rows, heads, texts, close, links]
+    # buckets that still hold several components: a bucket of two was settled against its centre
+    at = buckets.join(roots.select(F.col("node").alias("_row"), "root"), "_row", "left").withColumn("root", F.coalesce("root", "_row"))
+    split = at.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low <> high and n > 2")
+    open_ = materialize(at.join(split.select("bucket"), "bucket").select("bucket", "_row", "centre"), "minhash-open")
+    spent.append(open_)
+    if not open_.isEmpty():
+        more = compare_buckets(open_, texts, width, percent, block)
+        spent.append(more)
+        if not more.isEmpty():
+            roots = connected_components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more.toDF("u", "v")))
 
     for table in spent:  # nothing reads them any more
         drop_shared(table)
-    placed = members.join(roots.select(F.col("node").alias("class_id"), F.col("root").alias("component_id")), "class_id", "left")
-    component = F.coalesce("component_id", "class_id", "doc_id")
-    return placed.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    placed = members.join(roots.select(F.col("node").alias("class_row"), "root"), "class_row", "left")
+    is_shared = F.col("root").isNotNull() | F.coalesce(F.col("copies") > 1, F.lit(False))
+    return placed.select("_row", "doc_id", "n_shingles", F.coalesce("class_row", "_row").alias("class_row"), F.coalesce("root", "class_row", "_row").alias("group_row"), is_shared.alias("shared"))
+
+
+def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, class_id, component_id, kept.
+
+    Null, empty and blank texts have no shingles and are linked with nothing, not even each other. Of rows linked
+    directly or through others the smallest doc_id names the component, and its rows are kept. class_id is the smallest doc_id
+    with the same shingle set. Rows that repeat a doc_id are rows of their own, with equal texts or others. Rows without
+    a doc_id are judged like the others; they name a component only if no other id is in it, and are kept then.
+    Texts of any length are shingled whole. An empty table gives an empty result; further columns are ignored.
+    """
+    rows = materialize(near_rows(row_keyed(docs, "minhash-docs", columns=["doc_id", "text"]), width, percent, seed, block), "minhash-rows")
+    found = rows.filter("shared")
+    classes = found.groupBy("class_row").agg(F.min("doc_id").alias("class_id"))
+    groups = found.groupBy("group_row").agg(F.min("doc_id").alias("component_id"))
+    named = rows.join(classes, "class_row", "left").join(groups, "group_row", "left")
+    own = lambda c: F.when(F.col("shared"), F.col(c)).otherwise(F.col("doc_id")).alias(c)
+    named = named.select("doc_id", "n_shingles", own("class_id"), own("component_id"))
+    return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
