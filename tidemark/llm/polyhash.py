@@ -26,11 +26,6 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def substring_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for each pair, the same wherever the bytes stand."""
-    return mixed((prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start])
-
-
 def window_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
     """Hash of every window of ``width`` bytes."""
     n = len(prefix) - width
@@ -42,8 +37,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def anchors(grams: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that share an anchor, the leftmost smallest of the ``windows`` gram hashes in each.
+class Common:
+    """A set of gram hashes that is quick to ask: a table by the lower bits comes before the search."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.table = np.sort(hashes.astype(np.uint64)), np.zeros(1 << 20, dtype=bool)
+        self.table[self.hashes & np.uint64((1 << 20) - 1)] = True
+
+    def has(self, grams: np.ndarray) -> np.ndarray:
+        out = self.table[grams & np.uint64((1 << 20) - 1)]
+        at = np.flatnonzero(out)
+        place = np.searchsorted(self.hashes, grams[at])
+        out[at] = self.hashes[np.minimum(place, len(self.hashes) - 1)] == grams[at]
+        return out
+
+
+def anchors(grams: np.ndarray, windows: int, common: Common | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that share an anchor, the leftmost smallest of the ``windows`` gram hashes in each; common grams come after all others.
 
     Returns the anchor's place and the first and last window of each run. Equal windows have their anchor at the same place within.
     """
@@ -52,7 +62,10 @@ def anchors(grams: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray, np
         return (np.empty(0, dtype=np.int64),) * 3
     if len(grams) >= 1 << 24:
         raise ValueError("cut longer texts into pieces that overlap by a window")
-    least = (grams & ~np.uint64((1 << 24) - 1)) | np.arange(len(grams), dtype=np.uint64)
+    rank = grams >> np.uint64(1)
+    if common is not None and len(common.hashes):
+        rank |= common.has(grams).astype(np.uint64) << np.uint64(63)
+    least = (rank & ~np.uint64((1 << 24) - 1)) | np.arange(len(grams), dtype=np.uint64)
     reach = 1
     while reach * 2 <= windows:
         least = np.minimum(least[:-reach], least[reach:])
