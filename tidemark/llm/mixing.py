@@ -4,7 +4,7 @@ A source's target is a number of words. Every document gets ``floor(target / siz
 copies; the words still missing are filled by one more copy of documents in the order of their Pareto key, random
 odds divided by inclusion odds, up to the word count nearest to the target. All ranking is by running sums over
 buckets of the key: per source and level there are at most ``BUCKETS`` rows, and only the documents of one bucket
-of the last level (about one in a million of a source) are sorted together, so a hot source needs no task of its own.
+of the last level (about one in a million of a source; none of a source that only takes whole copies) are sorted together, so a hot source needs no task of its own.
 """
 
 from __future__ import annotations
@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HASHED_UNIT_SQL, WORD, hashed_unit, join_small, materialize
+from tidemark.llm.common import HASHED_UNIT_SQL, WORD, fresh, hashed_unit, join_small, materialize
 
 BUCKETS = 1024
+#: Words at which a document has half of the odds that a very long one of its source has.
+HALF = 100.0
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float = 1.0, cap: int = 3) -> DataFrame:
@@ -45,13 +47,15 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float = 1.0,
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.0, cap: int = 3, seed: str = "mix", chance: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size, source_size, target, copies, taken, and the columns ``carry``.
 
-    ``chance`` names a column of positive factors on the inclusion odds of each document (default: equal odds within
-    a source; odds still differ between sources). Size is the number of words; null text has size 0 and is never
+    The inclusion odds of a document are those of its source times a factor: the column that ``chance`` names, or by default
+    size / (size + ``HALF``), so that of two documents the longer one is likelier to be drawn and scraps seldom are.
+    Size is the number of words; null text has size 0 and, like documents without odds, is never
     drawn. Null is a source of its own. Repeated rows are drawn together, tied keys by doc_id and ``carry``. An empty table gives an empty result; further columns are ignored.
     """
-    base = docs.select("doc_id", *carry, "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       hashed_unit("doc_id", seed).alias("_u"), (F.lit(1.0) if chance is None else F.col(chance).cast("double")).alias("_factor"))
-    base = materialize(base, "mix-base")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    factor = F.col("size") / (F.col("size") + F.lit(HALF)) if chance is None else F.col("_factor")
+    base = docs.select("doc_id", *carry, "source", size.alias("size"), hashed_unit("doc_id", seed).alias("_u"), (F.lit(1.0) if chance is None else F.col(chance).cast("double")).alias("_factor"))
+    base = materialize(base.withColumn("_factor", factor), "mix-base")
     targets = materialize(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "mix-targets")
     rest = F.col("target") - F.col("_whole") * F.col("source_size")
     fraction = F.coalesce(rest / F.nullif(F.col("source_size").cast("double"), F.lit(0.0)), F.lit(0.0))
@@ -59,9 +63,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.0,
     keyed = join_small(base, targets, "source")
     keyed = keyed.withColumn("_whole", F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size").cast("double"), F.lit(0.0))), F.lit(0)))
     keyed = keyed.withColumn("_rest", rest).withColumn("_fraction", fraction)
-    keyed = keyed.withColumn("_key", F.col("_u") / (1 - F.col("_u")) / F.when(odds > 0, odds).otherwise(F.lit(1e-300)))
+    keyed = keyed.withColumn("_key", F.when(odds > 0, F.col("_u") / (1 - F.col("_u")) / odds))
     fine = F.floor(F.col("_key") / (1 + F.col("_key")) * (BUCKETS * BUCKETS))  # grows with the key
-    keyed = keyed.withColumn("_fine", F.least(fine, F.lit(BUCKETS * BUCKETS - 1)))
+    never = F.lit(BUCKETS * (BUCKETS + 1))  # behind all buckets: whole copies only
+    keyed = keyed.withColumn("_fine", F.coalesce(F.least(fine, F.lit(BUCKETS * BUCKETS - 1)), never))
     keyed = keyed.withColumn("_coarse", F.floor(F.col("_fine") / BUCKETS))
 
     first = materialize(_border(keyed.withColumn("_start", F.lit(0)), "_coarse"), "mix-border")
@@ -94,8 +99,10 @@ def repeated(docs: DataFrame, mixed: DataFrame, by: str = "doc_id") -> DataFrame
 
     Rows are matched by the column ``by``, nulls too. Where it repeats, all its rows come as often as the one taken most.
     """
-    copies = mixed.filter("copies > 0").groupBy(F.col(by).alias("_by")).agg(F.max("copies").alias("_copies"))
-    return docs.join(copies, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    key, times = fresh(docs, "_by"), fresh(docs, "_copies")
+    copies = mixed.filter("copies > 0").groupBy(F.col(by).alias(key)).agg(F.max("copies").alias(times))
+    joined = docs.join(copies, F.col(by).eqNullSafe(F.col(key)))
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).drop(times)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
@@ -116,6 +123,7 @@ levels AS (SELECT max(t.level) AS level FROM (
     GROUP BY a.need, all_words) t WHERE t.level < t.need),
 targets AS (SELECT source, source_size, CASE WHEN (SELECT level FROM levels) < 3 * source_size / w THEN w * (SELECT level FROM levels) ELSE CAST(3 * source_size AS DOUBLE) END AS target FROM weighed),
 keyed AS (SELECT b.doc_id, b.size, t.source, t.source_size, t.target, coalesce(floor(t.target / nullif(t.source_size, 0)), 0) AS whole, b.u FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source),
-run AS (SELECT *, target - whole * source_size AS rest, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM keyed)
-SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN before + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM run
+drawn AS (SELECT *, (target - whole * source_size) / nullif(source_size, 0) AS fraction, target - whole * source_size AS rest, size / (size + {HALF}) AS factor FROM keyed),
+run AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u / (1 - u) / nullif(fraction / (1 - fraction) * factor, 0) NULLS LAST, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM drawn)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN fraction > 0 AND before + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM run
 """

@@ -19,20 +19,19 @@ def shard(docs: DataFrame, shards: int, seed: str = "shard", stratum: str = "sou
     Law: row counts of shards are at most one apart, and each holds its share of every stratum to within a row or
     two. Null is a stratum of its own. Rows with one id are ranked next to each other (tied rows in either order, but
     each keeps a slot of its own). With fewer rows than shards some shards are empty; an empty table gives none.
-    Carry only the columns needed: all of them are shuffled twice.
+    Carry only the columns needed: all of them are shuffled twice. Columns of the table that are called shard or slot give way to the new ones.
     """
-    names = docs.columns
-    base = docs.withColumn("_u", hashed_unit(id_col, seed))
-    first = positioned(base, [stratum, "_u", id_col], "_at", "shard-ranks")
-    sources = materialize(first.groupBy(F.col(stratum)).agg(F.count("*").alias("_rows"), F.min("_at").alias("_start")), "shard-sources")
-    ranked = join_small(first, sources, stratum)
-    ranked = ranked.withColumn("_rank", (F.col("_at") - F.col("_start") + 0.5) / F.col("_rows")).drop("_at", "_start", "_rows")
-    placed = positioned(ranked, ["_rank", "_u", id_col], "_at", "shard-order")
-    total = sources.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_total"))  # one row
-    placed = placed.crossJoin(F.broadcast(total))
-    number = F.expr(f"(_at * {shards}) div _total")
-    start = F.expr(f"(shard * _total + {shards - 1}) div {shards}")
-    return placed.withColumn("shard", number.cast("int")).withColumn("slot", F.col("_at") - start).select(*names, "shard", "slot")
+    names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    base = docs.select(F.struct(*names).alias("doc"), F.col(stratum).alias("stratum"), F.col(id_col).alias("id"), hashed_unit(id_col, seed).alias("u"))
+    first = positioned(base, ["stratum", "u", "id"], "at", "shard-ranks")
+    sources = materialize(first.groupBy("stratum").agg(F.count("*").alias("rows"), F.min("at").alias("start")), "shard-sources")
+    ranked = join_small(first, sources, "stratum")
+    ranked = ranked.withColumn("rank", (F.col("at") - F.col("start") + 0.5) / F.col("rows")).drop("at", "start", "rows")
+    placed = positioned(ranked, ["rank", "u", "id"], "at", "shard-order")
+    total = int(sources.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
+    number = F.expr(f"(at * {shards}) div {max(total, 1)}L")
+    start = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
+    return placed.withColumn("shard", number.cast("int")).select("doc.*", "shard", (F.col("at") - start).alias("slot"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
