@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality
-from tidemark.llm.common import ship
+from tidemark.llm.common import map_carried, ship
 from tidemark.llm.quality import Text
 
 #: Documents the scorer is fitted on, at most about; hashed features.
@@ -177,13 +177,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     ship(docs.sparkSession)
     weights = model["weights"]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            scores = [1 / (1 + np.exp(-(features(t) @ weights[:-1] + weights[-1]))) if t and t.split() else 0.0 for t in batch["text"]]
-            s = np.array(scores, dtype=float)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": s, "kept": s >= 0.5})
+    def judge(texts: list) -> tuple:
+        s = np.array([1 / (1 + np.exp(-(features(t) @ weights[:-1] + weights[-1]))) if t and t.split() else 0.0 for t in texts], dtype=float)
+        return None, (s, s >= 0.5)
 
-    return docs.select("doc_id", "text").mapInPandas(judge, "doc_id long, score double, kept boolean")
+    return map_carried(docs, ["doc_id"], ["text"], lambda: judge, "score double, kept boolean")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

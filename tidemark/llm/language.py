@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import map_carried, ship
 
 BUCKETS = 1 << 13
 #: A trigram counts for a tenth of its log-odds, since neighbours overlap; score margin below which a row is ambiguous.
@@ -116,7 +116,7 @@ def accepted(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """Add lang_pred, score and ambiguous to the columns doc_id and text of every row.
+    """doc_id, lang_pred, score and ambiguous of every row of (doc_id, text).
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if the model knows no language;
     a model of one language predicts it with score 1. Score is the share of the winner in a softmax of the losses.
@@ -124,12 +124,10 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages and buckets bound its size
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = pd.DataFrame([decide(text, shared.value) for text in batch["text"]], columns=["lang_pred", "score", "ambiguous"])
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
+    def decode(texts: list) -> tuple:
+        return None, list(zip(*(decide(text, shared.value) for text in texts), strict=True)) or [[]] * 3
 
-    return docs.select("doc_id", "text").mapInPandas(decode, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return map_carried(docs, ["doc_id"], ["text"], lambda: decode, "lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(doc_id: Column) -> Column:

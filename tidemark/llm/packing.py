@@ -10,18 +10,21 @@ Texts never leave the scan: only piece metadata is shuffled.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import materialize, ship
+from tidemark.llm.common import checked, fresh, map_carried, materialize, ship
 
 GROUP = 4096
+#: Documents that a sequence may hold, as a multiple of the mean; weights of tokens, documents and attention in the score.
+SLACK, WEIGHTS = 8.0, (1.0, 1.0, 1.0)
 #: Longest run of blanks that tiktoken gets: its split pattern overflows a stack of a million entries, one for each blank.
 BLANKS = 100_000
 _RUNS = re.compile(r"\s+")
@@ -79,20 +82,22 @@ def cut(ids: np.ndarray, capacity: int) -> list[tuple[int, int]]:
 
 def tokenize(docs: DataFrame, path: str, pattern: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) of all rows; null text counts as empty and has the end id alone."""
-    ship(docs.sparkSession)
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         encode = tokenizer(path, pattern)
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+
+        def pieces(texts: list) -> tuple:
+            rows, out = [], []
+            for row, text in enumerate(texts):
                 ids = np.append(encode(text or ""), np.array([end_id], dtype="<u4")).astype("<u4")
                 for number, (start, length) in enumerate(cut(ids, capacity)):
-                    out.append((doc_id, number, start, length, zlib.crc32(ids[start : start + length].tobytes())))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+                    rows.append(row)
+                    out.append((number, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+            return rows, list(zip(*out, strict=True)) or [[]] * 4
+
+        return pieces
 
-    return docs.select("doc_id", "text").mapInPandas(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_carried(docs, ["doc_id"], ["text"], work, "piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(demands: np.ndarray, capacities: np.ndarray, weights: np.ndarray, rule: str) -> np.ndarray:
@@ -127,42 +132,62 @@ def best_fit(demands: np.ndarray, capacities: np.ndarray, weights: np.ndarray, r
     return bins
 
 
-def pack(pieces: DataFrame, tokens: int = 2048, documents: int = 2048, attention: int = 2048 * 2048, weights: tuple = (1.0, 1e-4, 1e-4), rule: str = "norm", group: int = GROUP) -> DataFrame:
+def documents_per_sequence(pieces: DataFrame, tokens: int, slack: float = SLACK) -> int:
+    """A document capacity from the data: ``slack`` times the pieces that a sequence would hold if all held as many."""
+    rest = pieces.filter(F.col("length") < tokens).agg(F.count("*").alias("n"), F.sum("length").alias("tokens")).first()
+    return max(1, math.ceil(slack * rest["n"] * tokens / rest["tokens"])) if rest["n"] else 1
+
+
+def pack(pieces: DataFrame, tokens: int = 2048, documents: int = 2048, attention: int | None = None, weights: tuple = WEIGHTS, rule: str = "norm", group: int = GROUP) -> DataFrame:
     """Add sequence_id and offset to a (materialized) table of pieces with a column ``length`` up to ``tokens``.
 
-    A sequence holds at most ``tokens`` tokens, ``documents`` pieces and ``attention`` summed squared lengths; a piece
-    that breaks a capacity alone fails the job. Repeated rows are pieces of their own, an empty table gives none. Pieces
-    that fill the token capacity are sequences by themselves (negative numbers) and skip the shuffle.
+    A sequence holds at most ``tokens`` tokens, ``documents`` pieces and ``attention`` summed squared lengths (default: as
+    many as one piece of all tokens costs); a piece that breaks a capacity alone fails the job. Repeated rows are pieces of
+    their own, an empty table gives none. Pieces that fill the token capacity are sequences by themselves (negative
+    numbers) and skip the shuffle. Further columns, whatever their names, are kept as they are.
     """
     if rule not in ("norm", "dot"):
         raise ValueError("rule must be norm or dot")
     ship(pieces.sparkSession)
+    limits, weight = np.array([tokens, documents, attention or tokens * tokens], dtype=float), np.array(weights, dtype=float)
+    names, group_name = pieces.columns, fresh(pieces, "_group")
     rest = pieces.filter(F.col("length") < tokens)
-    alone = pieces.filter(F.col("length") == tokens).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    alone = pieces.filter(F.col("length") == tokens).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    if limits[2] < tokens * tokens:
+        alone = checked(alone, F.lit(False), "a piece is above a capacity by itself")
     groups = max(1, -(-rest.count() // group))
-    names = pieces.columns
-    dealt = rest.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(1)), F.lit(groups)))
-    limits, weight = np.array([tokens, documents, attention], dtype=float), np.array(weights, dtype=float)
+    dealt = rest.select("*", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(1)), F.lit(groups)).alias(group_name))
+    at = names.index("length")
 
-    def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(names, kind="stable").reset_index(drop=True)
-        length = frame["length"].to_numpy(dtype=float)
+    def fill(table: pa.Table) -> pa.Table:
+        order = [(n, "ascending") for n, t in zip(names, table.schema.types, strict=False) if not pa.types.is_nested(t)]
+        table = table.sort_by(order)  # the same sequences at every run
+        length = table.column(at).to_numpy().astype(float)
         demands = np.stack([length, np.ones(len(length)), length * length], axis=1)
         if (demands > limits).any():
             raise ValueError("a piece is above a capacity by itself")
-        frame["sequence_id"] = best_fit(demands, limits, weight, rule) + (int(frame["_group"].iloc[0]) << 32)
-        frame["offset"] = frame.groupby("sequence_id")["length"].cumsum() - frame["length"]
-        return frame.drop(columns="_group")
+        bins = best_fit(demands, limits, weight, rule)
+        by_bin = np.argsort(bins, kind="stable")
+        ends = np.cumsum(length[by_bin])
+        fresh_bin = np.concatenate([[True], bins[by_bin][1:] != bins[by_bin][:-1]])
+        offset = np.empty(len(bins), dtype=np.int64)
+        offset[by_bin] = ends - length[by_bin] - (ends - length[by_bin])[np.flatnonzero(fresh_bin)][np.cumsum(fresh_bin) - 1]
+        number = bins + (int(table.column(len(names))[0].as_py()) << 32)
+        table = table.remove_column(len(names))
+        return table.append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
+
+    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return dealt.groupBy(group_name).applyInArrow(fill, schema).unionByName(alone)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    packed = dealt.groupBy("_group").applyInPandas(fill, schema)
-    return packed.unionByName(alone)
 
+def pack_documents(docs: DataFrame, path: str, pattern: str, capacity: int = 2048, documents: int | None = None, **caps) -> DataFrame:
+    """Tokenize, cut and pack the rows of ``docs`` (doc_id, text). Without a document capacity, the data give one.
 
-def pack_documents(docs: DataFrame, path: str, pattern: str, capacity: int = 2048, **caps) -> DataFrame:
-    """Tokenize, cut and pack the rows of ``docs`` (doc_id, text)."""
+    Null and empty texts are pieces of the end id alone; rows without an id or that repeat one are documents of their own;
+    an empty table gives none; further columns are ignored.
+    """
     pieces = materialize(tokenize(docs, path, pattern, capacity), "pack-pieces")
-    return pack(pieces, tokens=capacity, **caps)
+    return pack(pieces, tokens=capacity, documents=documents or documents_per_sequence(pieces, capacity), **caps)
 
 
 def vocabulary() -> tuple[str, str]:
@@ -173,5 +198,5 @@ def vocabulary() -> tuple[str, str]:
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    """All of ``documents`` in sequences of at most 2048 tokens; the other capacities are what 2048 tokens can reach at most."""
+    """All of ``documents`` in sequences of at most 2048 tokens, of documents up to a capacity that the data give, and of the attention cost of one full piece."""
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), *vocabulary())

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import map_carried, ship
 
 #: Rows that the cost estimate looks at, about.
 SAMPLE_ROWS = 2000
@@ -161,24 +161,18 @@ def judge(docs: DataFrame, order: list[str] | None = None, rules: dict[str, Call
     equal verdicts; an empty table gives an empty result; further columns are ignored. ``order`` defaults to the
     order that :func:`estimate` suggests.
     """
-    ship(docs.sparkSession)
     names = cascade_order(estimate(docs, rules), rules) if order is None else order
     cascade = [rules[n] for n in names]
 
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch["text"]:
-                t = Text(text)
-                repeats = t.n_repeat_words()
-                failed = base_failed(t, repeats)
-                kept = not failed and not any(rule(t) for rule in cascade)
-                out.append((t.n_words, t.word_chars(), t.n_symbols(), t.n_dup_lines(), repeats, failed, kept))
-            columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=columns)], axis=1)
-
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
-    return docs.select("doc_id", "text").mapInPandas(decide, schema)
+    def decide(text: str | None) -> tuple:
+        t = Text(text)
+        repeats = t.n_repeat_words()
+        failed = base_failed(t, repeats)
+        kept = not failed and not any(rule(t) for rule in cascade)
+        return t.n_words, t.word_chars(), t.n_symbols(), t.n_dup_lines(), repeats, failed, kept
+
+    result = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
+    return map_carried(docs, ["doc_id"], ["text"], lambda: lambda texts: (None, list(zip(*map(decide, texts), strict=True)) or [[]] * 7), result)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

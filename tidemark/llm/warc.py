@@ -13,14 +13,17 @@ Payloads are not shuffled, unless the table of repeated payloads is too large to
 from __future__ import annotations
 
 import hashlib
+import itertools
 import uuid
 import zlib
 from base64 import b32encode
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import materialize, shared_dir, ship
 
@@ -102,33 +105,33 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     store, root = _store(path)
     store.create_dir(root, recursive=True)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = StructType.fromDDL("archive string, page_id long, url string, payload_digest string, offset long, length long")
+    made = to_arrow_schema(schema)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(path)
         name, file, at = None, None, 0
         try:
             for batch in batches:
                 rows = []
-                for page_id, url, html, size, digest, refers in batch.itertuples(index=False):
+                for page_id, url, html, size, digest, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if file is None or at >= ARCHIVE_BYTES:
                         if file is not None:
                             file.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         file = store.open_output_stream(f"{root}/{name}", compression=None)
-                    page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                     raw = record(page_id, url, html.encode("utf-8", "surrogatepass"), digest, size, refers, date)
                     member = packer.compress(raw) + packer.flush()
                     file.write(member)
                     rows.append((name, page_id, url, digest, at, len(member)))
                     at += len(member)
-                frame = pd.DataFrame(rows, columns=["archive", "page_id", "url", "payload_digest", "offset", "length"])
-                yield frame.astype({"page_id": "Int64"})
+                yield _batch(rows, made)
         finally:
             if file is not None:
                 file.close()
 
-    schema = "archive string, page_id long, url string, payload_digest string, offset long, length long"
-    return materialize(with_references(pages, min_bytes).mapInPandas(write, schema), "warc-index")
+    return materialize(with_references(pages, min_bytes).mapInArrow(write, schema), "warc-index")
 
 
 def stretches(rows: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = READ_BYTES) -> Iterator[tuple[int, int, int, int]]:
@@ -142,30 +145,35 @@ def stretches(rows: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = REA
         at = upto
 
 
-def _fetch(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _fetch(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     store, root = _store(path)
     where, file = None, None
     for batch in batches:
         out = []
-        for archive, part in batch.groupby("archive", sort=False):
+        wanted = zip(*(c.to_pylist() for c in batch.columns), strict=True)  # sorted by archive and offset
+        for archive, part in itertools.groupby(wanted, key=lambda x: x[0]):
             if archive != where:
                 where, file = archive, store.open_input_file(f"{root}/{archive}")
-            rows = list(part[["page_id", "payload_digest", "offset", "length"]].itertuples(index=False))
-            for first, after, start, end in stretches([(r.offset, r.length) for r in rows]):
+            rows = list(part)
+            for first, after, start, end in stretches([r[3:5] for r in rows]):
                 stretch = file.read_at(end - start, start)
-                for r in rows[first:after]:
-                    got = parse_record(zlib.decompress(stretch[r.offset - start : r.offset - start + r.length], 31))
-                    if got["WARC-Payload-Digest"] != f"sha1:{r.payload_digest}":
-                        raise ValueError(f"page {r.page_id}: another digest in the index")
+                for _, page_id, digest, offset, length in rows[first:after]:
+                    got = parse_record(zlib.decompress(stretch[offset - start : offset - start + length], 31))
+                    if got["WARC-Payload-Digest"] != f"sha1:{digest}":
+                        raise ValueError(f"page {page_id}: another digest in the index")
                     response = got["WARC-Type"] == "response"
-                    if response and b32encode(hashlib.sha1(got["payload"]).digest()).decode() != r.payload_digest:
-                        raise ValueError(f"page {r.page_id}: the payload does not have its digest")
+                    if response and b32encode(hashlib.sha1(got["payload"]).digest()).decode() != digest:
+                        raise ValueError(f"page {page_id}: the payload does not have its digest")
                     size = len(got["payload"]) if response else int(got["http"].rpartition("Content-Length: ")[2])
                     refers = None if response else int(got["WARC-Refers-To"][10:-1])
                     page = got["WARC-Record-ID"][10:-1]
-                    out.append((None if page == "None" else int(page), got["WARC-Target-URI"], got["WARC-Type"], refers, size, r.payload_digest, got["payload"]))
-        frame = pd.DataFrame(out, columns=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
-        yield frame.astype({"refers_to": "Int64", "page_id": "Int64"})
+                    out.append((None if page == "None" else int(page), got["WARC-Target-URI"], got["WARC-Type"], refers, size, digest, got["payload"])[: len(schema)])
+        yield _batch(out, schema)
 
 
 def read_archives(index: DataFrame, path: str, with_payload: bool = True) -> DataFrame:
@@ -178,10 +186,9 @@ def read_archives(index: DataFrame, path: str, with_payload: bool = True) -> Dat
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = index.select("archive", "page_id", "payload_digest", "offset", "length")
     rows = rows.repartitionByRange(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
-    schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
-    if with_payload:
-        return rows.mapInPandas(lambda batches: _fetch(batches, path), schema)
-    return rows.mapInPandas(lambda batches: (x.drop(columns="payload") for x in _fetch(batches, path)), schema.rpartition(",")[0])
+    schema = StructType.fromDDL("page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string" + ", payload binary" * with_payload)
+    made = to_arrow_schema(schema)
+    return rows.mapInArrow(lambda batches: _fetch(batches, path, made), schema)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
