@@ -32,11 +32,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group linked by a similarity of 0.8 or more on five-word shingles, that of the smallest doc_id; wordless texts stay."""
     keyed = row_keyed(docs, "near-rows")
-    found = minhash.near_dups(keyed.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
-    found = materialize(found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "near-groups")
-    shared = found.filter("_row <> _group").select("_group").distinct()
-    linked = found.join(shared, "_group", "left_semi").join(keyed.select("_row", "doc_id"), "_row")
-    linked = materialize(linked.select("_group", "_row", "doc_id"), "near-linked")
+    found = minhash.near_rows(keyed, width=5, percent=80)
+    linked = materialize(found.filter("shared").select(F.col("group_row").alias("_group"), "_row", "doc_id"), "near-linked")
     best = linked.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("best"))
     return _without(keyed, linked.join(best, "_group").filter("_row <> best._row"), "near-dropped")
 
