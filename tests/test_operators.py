@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import classify as cl
 from tidemark.functions import typing_ as ty
+from tidemark.operators import audit as au
 from tidemark.operators import calendar as cal
 from tidemark.operators import consolidated as con
 from tidemark.operators import quality as qu
@@ -136,9 +137,26 @@ def test_load_guards(spark):
 
 def test_versions_do_not_disturb_readers(spark):
     base = shared_dir(spark, "versions")
-    first = ld.swap_version(spark.range(3).toDF("id"), base)
-    second = ld.swap_version(spark.read.parquet(first).filter("id > 0"), base)
-    assert spark.read.parquet(first).count() == 3 and spark.read.parquet(second).count() == 2
+    first = ld.commit_version(spark.range(3).toDF("id"), base)
+    second = ld.commit_version(ld.read_version(spark, base, first).filter("id > 0"), base)
+    assert (first, second) == (0, 1) and ld.versions(spark, base) == [0, 1]
+    assert ld.read_version(spark, base, first).count() == 3 and ld.read_version(spark, base).count() == 2
+    assert ld.commit_version(spark.range(9).toDF("id"), base, 1) == 1 and ld.read_version(spark, base).count() == 2  # a batch that comes again
+
+
+def test_streamed_merge_goes_on_after_a_restart(spark):
+    """Stopped after the first increments and started anew with the same folders, a stream gives what one batch merge gives."""
+    from tidemark.streaming import loads as st
+
+    schema = "k int, v string, n int"
+    target = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (None, "null", 0)], schema)
+    path, base, checkpoint = (shared_dir(spark, x) for x in ("in", "table", "state"))
+    merge = lambda: {(r.k, r.v) for r in st.merge_increments(st.read_increments(spark, path, target.schema, 1), target, ["k"], "n", base, checkpoint).collect()}
+    spark.createDataFrame([(2, "B", 1), (3, "c", 1), (3, "C", 2)], schema).coalesce(1).write.parquet(path)
+    assert merge() == {(1, "a"), (2, "B"), (3, "C"), (None, "null")}
+    assert merge() == {(1, "a"), (2, "B"), (3, "C"), (None, "null")}  # nothing new
+    spark.createDataFrame([(1, "A", 3), (4, "d", 3)], schema).coalesce(1).write.mode("append").parquet(path)
+    assert merge() == {(1, "A"), (2, "B"), (3, "C"), (4, "d"), (None, "null")}
 
 
 @pytest.mark.parametrize(("text", "kind"), [("varchar(10)", T.StringType()), ("decimal(17,2)", T.DecimalType(17, 2)), ("numeric(9)", T.DecimalType(9, 0)), ("bit", T.IntegerType()), ("bigint", T.LongType()),
@@ -183,10 +201,46 @@ def test_bad_marks(template, day, batch):
 def test_cuts_leave_no_group_empty(spark, weights, n):
     rows = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "bucket int, n int")
     cuts = pt.cuts_by_count(rows, n)
-    assert len(cuts) == max(min(n, len(weights)) - 1, 0) and cuts == sorted(set(cuts))
+    want, upto, groups = [], 0, min(n, len(weights))
+    for at, weight in enumerate(weights):
+        upto += weight
+        if groups - 1 - len(want) > 0 and upto * groups >= sum(weights) * (len(want) + 1) and len(weights) - at - 1 >= groups - 1 - len(want):
+            want.append(at)
+    assert cuts == want == sorted(set(cuts)) and (not cuts or cuts[-1] < len(weights) - 1)
     values = spark.createDataFrame([(i,) for i in range(len(weights))] + [(None,)], "v int")
     parts = [r.part for r in pt.assign_cut_partition(values, F.col("v"), cuts).collect()]
-    assert len(set(parts)) == min(n, len(weights)) + 1 and parts.count(len(cuts) + 1) == 1 or not weights
+    assert len(set(parts)) == len(cuts) + 2 - (not weights) and parts.count(len(cuts) + 1) == 1
+
+
+def test_single_values_above_the_even_share_are_reported(spark):
+    rows = spark.createDataFrame([(1,)] * 30 + [(i,) for i in range(2, 13)], "v int")
+    cuts = pt.cuts_by_count(pt.bucket_histogram(rows, F.col("v")), 4)
+    got = {r.part: r for r in pt.skew_report(pt.assign_cut_partition(rows, F.col("v"), cuts), F.col("v")).collect()}
+    assert got[0].single_value and got[0].skewed and not any(got[i].single_value for i in got if i)
+
+
+def test_windows_fail_before_anything_is_written(spark, calendar):
+    dates = lambda *d: spark.createDataFrame([(x,) for x in d], "date date")
+    ok = cal.operating_window(calendar, D(2026, 6, 30), 45, dates(D(2026, 6, 1))).first()
+    assert ok.read_from == D(2026, 5, 15) and ok.write_from == D(2026, 5, 1)
+    for end, span, rows, text in ((D(2026, 4, 20), 45, dates(D(2026, 4, 10)), "no business day"), (D(2026, 9, 30), 45, dates(D(2026, 9, 1)), "ends before"), (D(2026, 6, 30), 45, dates(D(2026, 5, 1), D(2026, 7, 9)), "no balances")):
+        with pytest.raises(Exception, match=text):
+            cal.operating_window(calendar, end, span, rows).collect()
+    assert con.consolidated_window(D(2026, 6, 30), 45) == (D(2026, 4, 16), D(2026, 5, 16))
+    with pytest.raises(ValueError, match="positive"):
+        con.consolidated_window(D(2026, 6, 30), 0)
+
+
+def test_grids_and_lots_are_checked(spark):
+    grid = spark.createDataFrame([("a", D(2026, 6, d)) for d in (1, 2, 3)] + [("b", D(2026, 6, d)) for d in (1, 2, 3)], "key string, date date")
+    assert ser.assert_grid(grid, "key", D(2026, 6, 1), D(2026, 6, 3)) is grid
+    for wrong, text in ((grid.unionByName(grid.limit(1)), "more than one"), (grid.filter("key = 'a' or day(date) > 1"), "lacks")):
+        with pytest.raises(ValueError, match=text):
+            ser.assert_grid(wrong, "key", D(2026, 6, 1), D(2026, 6, 3))
+    lots, declared = spark.createDataFrame([(1, "x"), (2, "y")], "lot int, table_name string"), spark.createDataFrame([("x", "stg_x")], "table_name string, destination string")
+    with pytest.raises(ValueError, match="y"):
+        au.batch_lots(lots, declared)
+    assert au.batch_lots(lots, declared, strict=False).filter("undeclared").count() == 1
 
 
 def test_range_partition_clamps(spark):

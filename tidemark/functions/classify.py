@@ -10,21 +10,40 @@ ASSET_PREFIXES = ("1401", "1403", "1404", "1405", "1406", "1411", "1413", "1414"
 LIABILITY_MODULES = (20, 21, 22, 120, 155, 162, 184, 185, 321)
 # Credit states by the last digit of the prefix 14_x.
 CREDIT_STATES = {"current": "14_1", "restructured": "14_3", "refinanced": "14_4", "overdue": "14_5", "judicial": "14_6"}
-# The wide universe of liabilities and results, as account prefixes. The third digit is the currency; those
-# of the second list count for either currency and are written for the first.
-WIDE_SINGLE = (
-    "56 57 46 49 68 41 5112 4312030106030101 4312030106030501 4312030201060101 4312030201060501 4312030701000103 4312030702000103"
-)
-WIDE_PAIRED = (
-    "4111 4112 4113 4115 4116 4117 4118 4211 4212 4312 4313 4411 4413 4511 4512 4513 4514 5111 5114 5117 5118 5211 5212 5213 5214 5415 5416 "
-    "411401 411402 411403 411404 411405 411406 411407 411408 411901 411903 411904 411905 411908 411909 411910 411911 411912 411913 411914 411915 "
-    "411916 411917 411918 411919 411920 411922 411923 411925 411926 421204 421205 431401 431402 431501 431502 431503 431504 431506 431508 431509 "
-    "511301 511302 511303 511304 511305 511306 511504 511507 511901 511903 511904 511910 511911 511912 511913 511914 511915 511916 511917 511918 "
-    "511919 511925 511926 511927 511928 521204 521205 "
-    "41191703 41192403 43150501 43150505 43150506 51191703 51192403 54140103 "
-    "4119170102 4119170202 4119240101 4119240102 4315050401 4315050402 5119170102 5119170202 5119240101 5119240102"
-)
-WIDE_PREFIXES = (*WIDE_SINGLE.split(), *WIDE_PAIRED.split(), *[p[:2] + "2" + p[3:] for p in WIDE_PAIRED.split()])
+# The wide universe of liabilities and results, as account prefixes by their length.
+WIDE_2 = ("41", "46", "49", "56", "57", "68")
+WIDE_4 = (
+    "4111", "4112", "4113", "4115", "4116", "4117", "4118", "4121", "4122", "4123", "4125", "4126", "4127", "4128", "4211", "4212", "4221", "4222",
+    "4312", "4313", "4322", "4323", "4411", "4413", "4421", "4423", "4511", "4512", "4513", "4514", "4521", "4522", "4523", "4524", "5111", "5112",
+    "5114", "5117", "5118", "5121", "5124", "5127", "5128", "5211", "5212", "5213", "5214", "5221", "5222", "5223", "5224", "5415", "5416", "5425",
+    "5426",
+)
+WIDE_6 = (
+    "411401", "411402", "411403", "411404", "411405", "411406", "411407", "411408", "411901", "411903", "411904", "411905", "411907", "411908",
+    "411909", "411910", "411911", "411912", "411913", "411914", "411915", "411916", "411917", "411918", "411919", "411920", "411922", "411923",
+    "411925", "411926", "412401", "412402", "412403", "412404", "412405", "412406", "412407", "412408", "412901", "412903", "412904", "412905",
+    "412907", "412908", "412909", "412910", "412911", "412912", "412913", "412914", "412915", "412916", "412917", "412918", "412919", "412920",
+    "412922", "412923", "412925", "412926", "421204", "421205", "422204", "422205", "431401", "431402", "431501", "431502", "431503", "431504",
+    "431506", "431508", "431509", "432401", "432402", "432501", "432502", "432503", "432504", "432506", "432508", "432509", "511301", "511302",
+    "511303", "511304", "511305", "511306", "511504", "511507", "511901", "511903", "511904", "511910", "511911", "511912", "511913", "511914",
+    "511915", "511916", "511917", "511918", "511919", "511925", "511926", "511927", "511928", "512301", "512302", "512303", "512304", "512305",
+    "512306", "512504", "512507", "512901", "512903", "512904", "512910", "512911", "512912", "512913", "512914", "512915", "512916", "512917",
+    "512918", "512919", "512925", "512926", "512927", "512928", "521204", "521205", "522204", "522205",
+)
+WIDE_8 = (
+    "41191703", "41192403", "41291703", "41292403", "43150501", "43150505", "43150506", "43250501", "43250505", "43250506", "51191703",
+    "51192403", "51291703", "51292403", "54140103", "54240103",
+)
+WIDE_10 = (
+    "4119170102", "4119170202", "4119240101", "4119240102", "4129170102", "4129170202", "4129240101", "4129240102", "4315050401",
+    "4315050402", "4325050401", "4325050402", "5119170102", "5119170202", "5119240101", "5119240102", "5129170102", "5129170202",
+    "5129240101", "5129240102",
+)
+WIDE_16 = (
+    "4312030106030101", "4312030106030501", "4312030201060101",
+    "4312030201060501", "4312030701000103", "4312030702000103",
+)
+WIDE_PREFIXES = {2: WIDE_2, 4: WIDE_4, 6: WIDE_6, 8: WIDE_8, 10: WIDE_10, 16: WIDE_16}
 CARD_MODULE, CARD_PREFIXES = 183, ("1201", "1211", "1221")
 # Result lines by prefix; provisions by the prefixes of their full codes.
 RESULT_LINES = {"income": ("5114", "5124"), "commission": ("5117", "5127"), "expense": ("41",), "reversal": ("54140103", "54240103")}
@@ -32,6 +51,16 @@ PROVISIONS = (
     "4312030106030501", "4322030106030501", "4312030201060101", "4322030201060101", "4312030201060501",
     "4322030201060501", "4312030701000103", "4322030701000103", "4312030702000103", "4322030702000103",
 )
+# Product-expense flags by module and operation type of origin (None: any other type).
+EXPENSE_FLAGS = (
+    (20, 8, 10), (20, None, 7),
+    (21, None, 8),
+    (22, 10, 11), (22, None, 9),
+    (120, 30, 4), (120, None, 3),
+    (155, None, 10),
+    (185, 0, 5), (185, 15, 3), (185, 3, 10), (185, None, 2),
+    (321, None, 6),
+)
 
 
 def account_currency(code: Column) -> Column:
@@ -62,10 +91,7 @@ def classify_universe(df: DataFrame, code: str = "rubro", module: str = "module"
     asset = is_asset(F.col(code))
     inside = asset | F.col(module).isin(*LIABILITY_MODULES)
     if rules == "full":
-        by_length: dict[int, list[str]] = {}
-        for p in WIDE_PREFIXES:
-            by_length.setdefault(len(p), []).append(p)
-        for digits, prefixes in by_length.items():
+        for digits, prefixes in WIDE_PREFIXES.items():
             inside = inside | F.substring(code, 1, digits).isin(*prefixes)
         inside = inside | ((F.col(module) == CARD_MODULE) & F.substring(code, 1, 4).isin(*CARD_PREFIXES))
     elif rules != "narrow":
@@ -82,17 +108,9 @@ def result_lines(df: DataFrame, code: str = "code", amount: str = "amount_mn") -
 
 def product_expense_flag(module: Column, origin_type: Column) -> Column:
     """0 to 11 by module and the operation type of origin."""
-    by_type = lambda other, **cases: _chain(origin_type, {int(k[1:]): v for k, v in cases.items()}, other)
-    return (
-        F.when(module == 20, by_type(7, t8=10)).when(module == 21, 8).when(module == 22, by_type(9, t10=11)).when(module == 120, by_type(3, t30=4))
-        .when(module == 155, 10).when(module == 185, by_type(2, t0=5, t15=3, t3=10)).when(module == 321, 6).otherwise(0)
-    )
-
-
-def _chain(column: Column, cases: dict[int, int], other: int) -> Column:
-    out = F.lit(other)
-    for value, flag in cases.items():
-        out = F.when(column == value, flag).otherwise(out)
+    out = F.lit(0)
+    for wanted, kind, flag in reversed(EXPENSE_FLAGS):
+        out = F.when((module == wanted) if kind is None else (module == wanted) & (origin_type == kind), flag).otherwise(out)
     return out
 
 

@@ -64,9 +64,25 @@ def last_finished(log: DataFrame) -> DataFrame:
     return done.groupBy("table_name").agg(F.max_by(F.struct("batch_id", "event_id", "n_rows"), F.struct("batch_id", "event_id")).alias("r")).select("table_name", "r.*")
 
 
-def batch_lots(lots: DataFrame, declared: DataFrame) -> DataFrame:
-    """Lots of a batch with their destination; ``undeclared`` marks those without one, which must stop the load."""
-    return lots.join(declared, "table_name", "left").withColumn("undeclared", F.col("destination").isNull())
+def batch_lots(lots: DataFrame, declared: DataFrame, strict: bool = True) -> DataFrame:
+    """Lots of a batch with their destination.
+
+    A lot without one would leave its target as it was the day before, unseen: it fails the job, whose message names the
+    tables. ``strict=False`` only marks such lots in a column ``undeclared``.
+    """
+    marked = lots.join(declared, "table_name", "left").withColumn("undeclared", F.col("destination").isNull())
+    if not strict:
+        return marked
+    missing = [r[0] for r in marked.filter("undeclared").select("table_name").distinct().orderBy("table_name").limit(100).collect()]
+    if missing:
+        raise ValueError(f"no destination is declared for: {', '.join(missing)}")
+    return marked.drop("undeclared")
+
+
+def retry_list(log: DataFrame, batch: str) -> DataFrame:
+    """One row: the tables of a batch that failed, each once, sorted and joined by commas; empty if none did."""
+    failed = log.filter((F.col("batch_id") == batch) & (F.col("state") == "ERROR"))
+    return failed.agg(F.array_join(F.array_sort(F.collect_set("table_name")), ",").alias("only_tables"))
 
 
 def reconcile_catalog(a: DataFrame, b: DataFrame, key: str, attribute: str) -> DataFrame:

@@ -54,8 +54,19 @@ def report_start(df: DataFrame, column: str = "date", days: int = 60) -> DataFra
     return df.agg(F.trunc(F.date_sub(F.max(column), days), "MM").alias("start"))
 
 
-def operating_window(calendar: DataFrame, end: date, days: int) -> DataFrame:
-    """One row: end, read_from (last business day up to ``days`` before it), write_from (first of that month)."""
+def operating_window(calendar: DataFrame, end: date, days: int, balances: DataFrame | None = None) -> DataFrame:
+    """One row: end, read_from (last business day up to ``days`` before it), write_from (first of that month).
+
+    Reading the row fails if the calendar has no business day to read from, if it ends before ``end``, or if
+    ``balances`` (column date) has no row from read_from to end: all before anything is written.
+    """
     read_from = F.max(F.when(business() & (F.col("day") <= F.date_sub(F.lit(end), days)), F.col("day")))
-    out = calendar.agg(read_from.alias("read_from")).select(F.lit(end).alias("end"), "read_from", F.trunc("read_from", "MM").alias("write_from"))
-    return out.withColumn("read_from", F.coalesce("read_from", F.raise_error(F.lit("the calendar has no business day to read from")).cast("date")))
+    out = calendar.agg(read_from.alias("read_from"), F.max("day").alias("last")).withColumn("end", F.lit(end))
+    fail = lambda text: F.raise_error(F.lit(text)).cast("date")
+    read_from = F.coalesce("read_from", fail("the calendar has no business day to read from"))
+    out = out.withColumn("read_from", F.when(F.col("last") < F.col("end"), fail("the calendar ends before the processing day")).otherwise(read_from))
+    if balances is not None:
+        inside = balances.filter(F.col("date") <= F.lit(end)).agg(F.max("date").alias("newest"))  # one row
+        none = F.col("newest").isNull() | (F.col("newest") < F.col("read_from"))
+        out = out.crossJoin(F.broadcast(inside)).withColumn("read_from", F.when(none, fail("there are no balances in the range")).otherwise(F.col("read_from")))
+    return out.select("end", "read_from", F.trunc("read_from", "MM").alias("write_from"))

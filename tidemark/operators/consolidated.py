@@ -7,7 +7,7 @@ before it made), so the long key stays unique per day; ``chained=False`` tests a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,8 +108,16 @@ def averages(rows: DataFrame, keys: Sequence[str] = LONG, measures: Sequence[str
     return rows.withColumns({f"avg_{m}": F.when(F.col(m) == 0, F.lit(0.0)).otherwise(mean(m)).cast(kind) for m in measures})
 
 
-def daily_consolidated(rows: DataFrame, calendar: DataFrame, read_from: date, write_from: date, day: date, chained: bool = True, exact: bool = False) -> DataFrame:
-    """The whole table from ``write_from`` to ``day`` and the days carried on; reads from ``read_from``."""
+def consolidated_window(day: date, days: int = 45) -> tuple[date, date]:
+    """(read_from, write_from): 30 days more are read than written, since averages and changes need the month before whole."""
+    if days <= 0:
+        raise ValueError("the number of days must be positive")
+    return day - timedelta(days=days + 30), day - timedelta(days=days)
+
+
+def daily_consolidated(rows: DataFrame, calendar: DataFrame, day: date, days: int = 45, chained: bool = True, exact: bool = False) -> DataFrame:
+    """The whole table of the ``days`` up to ``day`` and the days carried on, from rows of 30 days more."""
+    read_from, write_from = consolidated_window(day, days)
     base = rows.filter(F.col("date").between(F.lit(read_from), F.lit(day)))
     base = base.unionByName(copy_non_business(base, calendar, read_from, day)).unionByName(project_forward(base, calendar, day))
     base = base.groupBy("date", *LONG).agg(*[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])

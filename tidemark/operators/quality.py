@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +14,17 @@ MONEY = "decimal(18,2)"
 
 
 def check_weekend_copy(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Sundays that differ from their Saturday."""
-    sunday = df.filter(F.dayofweek("date") == 1).select("date", *keys, *measures)
-    saturday = df.filter(F.dayofweek("date") == 7).select(F.date_add("date", 1).alias("date"), *keys, *[F.col(m).alias(f"saturday_{m}") for m in measures])
+    """Sundays that differ from their Saturday; keys and days must be unique. One pass over the weekends, no self join."""
+    ordered = Window.partitionBy(*keys).orderBy("date")
+    days = df.filter(F.dayofweek("date").isin(1, 7)).select("date", *keys, *measures)
+    days = days.withColumns({"_before": F.lag("date").over(ordered), **{f"saturday_{m}": F.lag(m).over(ordered) for m in measures}})
     differs = reduce(lambda a, b: a | b, [~F.col(m).eqNullSafe(F.col(f"saturday_{m}")) for m in measures])
-    return sunday.join(saturday, ["date", *keys]).filter(differs)
+    return days.filter((F.dayofweek("date") == 1) & (F.col("_before") == F.date_sub("date", 1)) & differs).drop("_before")
+
+
+def worst_first(violations: DataFrame, measure: Column, ties: Sequence[str], top: int) -> DataFrame:
+    """The ``top`` violations by a measure, worst first, equal ones by the columns ``ties``."""
+    return violations.orderBy(measure.desc(), *ties).limit(top)
 
 
 def check_month_complete(df: DataFrame, keys: Sequence[str], last: date) -> DataFrame:

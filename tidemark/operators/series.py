@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.classify import classify_universe, credit_buckets
 from tidemark.functions.keys import operation_keys
 from tidemark.operators.calendar import business_day_asof, next_business_day
+from tidemark.operators.master import account_executive
 
 ORIGINAL, COPY = "ORIGINAL", "COPIA_HABIL"
 MONEY, AVERAGE = "decimal(18,2)", "decimal(18,4)"
@@ -95,11 +96,11 @@ def running_month_average(df: DataFrame, keys: Sequence[str], measures: Sequence
     return df.withColumns(added)
 
 
-def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: date, write_from: date, measures: Sequence[str] = ("amount_mo", "amount_mn"), mode: str = "sum", exact: bool = False) -> DataFrame:
+def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: date, write_from: date, measures: Sequence[str] = ("amount_mo", "amount_mn"), mode: str = "sum", exact: bool = False, accounts: DataFrame | None = None) -> DataFrame:
     """Dense daily balances per operation with credit states and month averages, from sparse closing balances.
 
     Reads days from ``lo``, completes up to ``hi``, returns days from ``write_from`` on. Attributes of an operation and day are
-    those of its latest load, then lowest account code.
+    those of its latest load, then lowest account code. With ``accounts`` (account, executive) each row gets its executive.
     """
     # one shuffle: every step below works within an operation
     daily = propagate_business_days(balances, calendar, lo, hi).repartition("id_operation")
@@ -113,7 +114,8 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
     totals = split.groupBy("id_operation", "date").agg(*[F.sum(m).cast(MONEY).alias(m) for m in columns], attributes)
     averaged = running_month_average(totals, ["id_operation"], columns, exact=exact)
     averaged = averaged.withColumns({"day_number": F.dayofmonth("date"), "month_days": F.dayofmonth(F.last_day("date"))})
-    return averaged.select("*", "_picked.*").drop("_picked").filter(F.col("date") >= F.lit(write_from))
+    out = averaged.select("*", "_picked.*").drop("_picked").filter(F.col("date") >= F.lit(write_from))
+    return out if accounts is None else out.join(account_executive(accounts), "account", "left")
 
 
 def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, hi: date, measures: Sequence[str]) -> DataFrame:
@@ -125,6 +127,17 @@ def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, h
     return grid.join(sums, [key, "date"], "left").select(key, "date", "_last.*", *[F.coalesce(F.col(m), F.lit(0)).cast(MONEY).alias(m) for m in measures])
 
 
+def assert_grid(grid: DataFrame, key: str, lo: date, hi: date) -> DataFrame:
+    """Refuse a (materialized) grid in which a key has two rows on a day or lacks a day of the range."""
+    wrong = grid.filter(F.col("date").between(F.lit(lo), F.lit(hi))).groupBy(key).agg(F.count("*").alias("rows"), F.count_distinct("date").alias("days"))
+    wrong = wrong.agg(F.count_if(F.col("rows") > F.col("days")).alias("repeated"), F.count_if(F.col("days") != (hi - lo).days + 1).alias("incomplete")).first()
+    if wrong["repeated"]:
+        raise ValueError("a key has more than one row on a day")
+    if wrong["incomplete"]:
+        raise ValueError("a key lacks days of the range")
+    return grid
+
+
 def running_profile(df: DataFrame, keys: Sequence[str], measure: str, exact: bool = False) -> DataFrame:
     """Add running_sum, running_days and running_avg of the measure inside each month of a key."""
     span = Window.partitionBy(*keys, _month()).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)

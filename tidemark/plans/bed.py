@@ -75,8 +75,8 @@ class Bed:
 
     @cached_property
     def operations(self) -> DataFrame:
-        """One row per key that has a line of title 1; the other balances have no operation."""
-        return operation_keys(self.raw.filter("title = 1").groupBy("company", "module", "branch", "currency", "paper", "account", "operation", "sub_operation", "operation_type").agg(
+        """One row per key that has a line of title 1, but for the accounts 3, 10 and 17: their balances have no operation."""
+        return operation_keys(self.raw.filter("title = 1 and account % 7 <> 3").groupBy("company", "module", "branch", "currency", "paper", "account", "operation", "sub_operation", "operation_type").agg(
             F.max("ship").alias("date"), F.sum("amount_mn").cast("decimal(18,2)").alias("disbursed")))
 
     @cached_property
@@ -149,7 +149,7 @@ closing AS (SELECT * EXCLUDE (ship, l_partkey), (SELECT max(c.day) FROM calendar
 snapshots AS (SELECT ship AS date, company, module, branch, currency, paper, account, operation, rubro, CASE WHEN account = 7 AND operation = 2 THEN NULL ELSE CAST(sum(amount_mn) AS DECIMAL(18,2)) END AS amount_mn,
     CAST(sum(amount_mo) AS DECIMAL(18,2)) AS amount_mo, min(origin_type) AS origin_type FROM raw GROUP BY ship, company, module, branch, currency, paper, account, operation, rubro),
 sdc AS (SELECT date, company, account AS branch, module, currency, paper, rubro, title, chapter, 0 AS term, operation AS grp, CAST(sum(amount_mo) AS DECIMAL(18,2)) AS mo, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS mn FROM closing GROUP BY ALL),
-operations AS (SELECT company, module, branch, currency, paper, account, operation, sub_operation, operation_type, id_operation, id_balance, id_cross, max(ship) AS date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS disbursed FROM raw WHERE title = 1 GROUP BY ALL),
+operations AS (SELECT company, module, branch, currency, paper, account, operation, sub_operation, operation_type, id_operation, id_balance, id_cross, max(ship) AS date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS disbursed FROM raw WHERE title = 1 AND account % 7 <> 3 GROUP BY ALL),
 accounts AS (SELECT CAST(c_custkey % 20 AS INTEGER) AS account, c_nationkey AS executive, c_name AS name, c_mktsegment AS segment FROM customer),
 chart AS (SELECT code, {", ".join(f"left(code, {n}) AS dig{n}" for n in (1, 2, 4, 6, 8, 10))} FROM (SELECT rubro AS code FROM raw UNION SELECT code FROM raw)),
 run_log AS (SELECT event_type AS table_name, strftime(ts, '%Y%m%d') AS batch_id, CAST(ts AS DATE) AS run_date, event_id, CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value < 5 THEN 'SIN_DATOS' ELSE 'TERMINADO' END AS state,

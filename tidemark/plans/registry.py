@@ -19,6 +19,7 @@ D_LO, D_HI, D_START = (f"DATE '{d}'" for d in (LO, HI, START))
 
 # Attributes that a balance row carries through the series.
 CARRIED = ("company", "module", "branch", "currency", "paper", "account", "operation", "load_seq")
+# Asset prefixes and credit states once more, so that the twins do not rest on the library's own lists.
 _ASSETS = "('1401','1403','1404','1405','1406','1411','1413','1414','1415','1416','1421','1423','1424','1425','1426')"
 _STATES = {"current": "14_1", "restructured": "14_3", "refinanced": "14_4", "overdue": "14_5", "judicial": "14_6"}
 _BUCKETS = ", ".join(f"CASE WHEN left(rubro, 4) IN {_ASSETS} AND left(rubro, 4) LIKE '{p}' THEN {a} ELSE 0 END AS {s}_{a}" for a in ("amount_mo", "amount_mn") for s, p in _STATES.items())

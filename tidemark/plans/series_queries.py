@@ -45,7 +45,7 @@ for option in (2, 3, 4):
     test = "" if option == 3 else "AND x.date = last_day(x.date)"
     add(f"j4_pair_dates_{option}", lambda b, o=option: cal.pair_dates(b.snapshots.select("date").distinct(), o), f"SELECT DISTINCT s.date, (SELECT max(x.date) FROM snapshots x WHERE x.date < s.date {test}) AS previous FROM snapshots s")
 add("p24_report_start", lambda b: cal.report_start(b.closing), "SELECT CAST(date_trunc('month', max(date) - INTERVAL 60 DAY) AS DATE) AS start FROM closing")
-add("b5w_operating_window", lambda b: cal.operating_window(b.calendar, HI, 45), f"SELECT {D_HI} AS \"end\", max(day) AS read_from, CAST(date_trunc('month', max(day)) AS DATE) AS write_from FROM calendar WHERE is_business = 'S' AND day <= {D_HI} - INTERVAL 45 DAY")
+add("b5w_operating_window", lambda b: cal.operating_window(b.calendar, HI, 1500, b.closing), f"SELECT {D_HI} AS \"end\", max(day) AS read_from, CAST(date_trunc('month', max(day)) AS DATE) AS write_from FROM calendar WHERE is_business = 'S' AND day <= {D_HI} - INTERVAL 1500 DAY")
 
 
 def _range(b: Bed) -> DataFrame:
@@ -80,12 +80,12 @@ _B5 = ["id_operation", "date", "rubro", "module", "account", "load_seq", "origin
 
 def operating(b: Bed) -> DataFrame:
     narrow = b.closing.select(*KEYS, "date", *CARRIED, *AMOUNTS)
-    return ser.operating_balances(narrow, b.calendar, LO, HI, START, exact=True).select(*_B5)
+    return ser.operating_balances(narrow, b.calendar, LO, HI, START, exact=True, accounts=b.accounts).select(*_B5, "executive")
 
 
 add("b5_operating_balances", operating, f""", pick AS (SELECT id_operation, date, {', '.join(f'arg_max({c}, (load_seq, 1e9 - CAST(rubro AS BIGINT))) AS {c}' for c in ('rubro', 'module', 'account', 'load_seq', 'origin_kind'))} FROM bucketed GROUP BY id_operation, date)
-SELECT {', '.join(_B5)} FROM averaged JOIN pick USING (id_operation, date) WHERE date >= {D_START}""", series=True)
-add("b6_balance_grid", lambda b: ser.balance_grid(b.closing, b.calendar, "id_operation", START, HI, AMOUNTS), f"""
+SELECT {', '.join(_B5)}, (SELECT max(executive) FROM accounts a WHERE a.account = pick.account) AS executive FROM averaged JOIN pick USING (id_operation, date) WHERE date >= {D_START}""", series=True)
+add("b6_balance_grid", lambda b: ser.assert_grid(materialize(ser.balance_grid(b.closing, b.calendar, "id_operation", START, HI, AMOUNTS), "grid"), "id_operation", START, HI), f"""
 SELECT k.id_operation, c.day AS date, k.account, k.currency, k.module, coalesce((SELECT CAST(sum(amount_mo) AS DOUBLE) FROM closing x WHERE x.id_operation = k.id_operation AND x.date = c.day), 0) AS amount_mo,
     coalesce((SELECT CAST(sum(amount_mn) AS DOUBLE) FROM closing x WHERE x.id_operation = k.id_operation AND x.date = c.day), 0) AS amount_mn
 FROM (SELECT id_operation, arg_max(account, (date, load_seq)) AS account, arg_max(currency, (date, load_seq)) AS currency, arg_max(module, (date, load_seq)) AS module FROM closing GROUP BY id_operation) k CROSS JOIN (SELECT day FROM calendar WHERE day BETWEEN {D_START} AND {D_HI}) c""")
@@ -117,13 +117,15 @@ FROM t a JOIN t x ON x.id_operation = a.id_operation AND x.date <= a.date AND da
 
 # Consolidated
 #: The processing day, a Friday after which the tables have next to nothing.
-DAY, READ = date(2001, 11, 2), LO
-D_DAY = f"DATE '{DAY}'"
+DAY = date(2001, 11, 2)
+DAYS = (DAY - START).days
+READ = con.consolidated_window(DAY, DAYS)[0]
+D_DAY, D_READ = f"DATE '{DAY}'", f"DATE '{READ}'"
 _SHORT, _LONG = ", ".join(con.SHORT), ", ".join(con.LONG)
 _same = lambda keys, a="x", b="s": " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
 CON_SQL = f""",
-src AS (SELECT date, {_LONG}, mo, mn FROM sdc WHERE date BETWEEN {D_LO} AND {D_DAY}),
-holidays AS (SELECT day, (SELECT max(x.day) FROM calendar x WHERE x.is_business = 'S' AND x.day < c.day) AS origin FROM calendar c WHERE is_business = 'N' AND day BETWEEN {D_LO} AND {D_DAY}),
+src AS (SELECT date, {_LONG}, mo, mn FROM sdc WHERE date BETWEEN {D_READ} AND {D_DAY}),
+holidays AS (SELECT day, (SELECT max(x.day) FROM calendar x WHERE x.is_business = 'S' AND x.day < c.day) AS origin FROM calendar c WHERE is_business = 'N' AND day BETWEEN {D_READ} AND {D_DAY}),
 copies AS (SELECT h.day AS date, s.* EXCLUDE (date) FROM src s JOIN holidays h ON h.origin = s.date WHERE NOT EXISTS (SELECT 1 FROM src x WHERE x.date = h.day AND {_same(con.SHORT)})),
 ahead AS (SELECT c.day AS date, s.* EXCLUDE (date) FROM src s JOIN calendar c ON c.day > {D_DAY} AND c.day < (SELECT min(day) FROM calendar WHERE is_business = 'S' AND day > {D_DAY}) WHERE s.date = {D_DAY}),
 base AS (SELECT date, {_LONG}, CAST(sum(mo) AS DECIMAL(18,2)) AS mo, CAST(sum(mn) AS DECIMAL(18,2)) AS mn FROM (SELECT * FROM src UNION ALL SELECT * FROM copies UNION ALL SELECT * FROM ahead) GROUP BY ALL),
@@ -175,9 +177,9 @@ add("c7_representative", lambda b: con.representative(_base(b)), CON_SQL + f"SEL
 _figures = f"SELECT date, {_LONG}, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('mo', 'mn', 'change_mo', 'change_mn'))}"
 add("c8_monthly_change", lambda b: con.monthly_change(con.fill_all(_base(b), b.calendar, DAY)), CON_SQL + _figures + " FROM changed")
 add("c9_zero_override_average", lambda b: con.averages(con.fill_all(_base(b), b.calendar, DAY), exact=True), CON_SQL + f"SELECT date, {_LONG}, CAST(mo AS DOUBLE) AS mo, CAST(mn AS DOUBLE) AS mn, avg_mo, avg_mn FROM figures")
-add("c10_copy_computed", lambda b: con.daily_consolidated(_source(b), b.calendar, READ, START, DAY, exact=True).join(F.broadcast(b.calendar.filter("is_business = 'N'").select(F.col("day").alias("date"))), "date").select("date", *con.LONG, "mo", "mn"),
+add("c10_copy_computed", lambda b: con.daily_consolidated(_source(b), b.calendar, DAY, DAYS, exact=True).join(F.broadcast(b.calendar.filter("is_business = 'N'").select(F.col("day").alias("date"))), "date").select("date", *con.LONG, "mo", "mn"),
     CON_SQL + f"SELECT s.* FROM ({_two} written UNION ALL {_two} again) s JOIN calendar c ON c.day = s.date AND c.is_business = 'N'")
-add("c11_daily_consolidated", lambda b: con.daily_consolidated(_source(b), b.calendar, READ, START, DAY, exact=True), CON_SQL + f"{_figures}, avg_mo, avg_mn FROM (SELECT * FROM written UNION ALL SELECT * FROM again)")
+add("c11_daily_consolidated", lambda b: con.daily_consolidated(_source(b), b.calendar, DAY, DAYS, exact=True), CON_SQL + f"{_figures}, avg_mo, avg_mn FROM (SELECT * FROM written UNION ALL SELECT * FROM again)")
 _PARTS = ["company", "module", "branch", "currency", "paper", "account", "operation", "sub_operation", "operation_type", "rubro", "load_seq", "amount_mn"]
 add("k1_closing_balances", lambda b: ser.closing_balances(b.closing.select("date", *_PARTS), b.calendar, START, DAY).select("date", "id_operation", "id_balance", "id_cross", "rubro", "load_seq", "module_product", "origin_kind", "amount_mn"), f"""
 SELECT date, id_operation, id_balance, id_cross, rubro, load_seq, module AS module_product, origin_kind, CAST(amount_mn AS DOUBLE) AS amount_mn FROM (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from tidemark.functions import classify as cl
 from tidemark.functions import keys as ky
 from tidemark.functions import typing_ as ty
 from tidemark.operators import audit as au
+from tidemark.operators import calendar as cal
 from tidemark.operators import consolidated as con
+from tidemark.operators import joins as jo
 from tidemark.operators import master as ma
 from tidemark.operators import quality as qu
 from tidemark.operators import reports as re
@@ -52,9 +55,8 @@ def _cuts(b: Bed) -> DataFrame:
 
 _WALK = f"""{_NULLABLE}, hist AS (SELECT CAST(floor(sqrt(v)) AS BIGINT) AS bucket, count(*) AS n, row_number() OVER (ORDER BY floor(sqrt(v))) AS at FROM src WHERE v IS NOT NULL GROUP BY floor(sqrt(v))),
 size AS (SELECT count(*) AS buckets, sum(n) AS total, least(5, count(*)) AS parts FROM hist),
-walk AS (SELECT CAST(0 AS BIGINT) AS at, 0 AS part, CAST(0 AS HUGEINT) AS weight, false AS closed UNION ALL
-    SELECT h.at, w.part + CASE WHEN w.closed THEN 1 ELSE 0 END, CASE WHEN w.closed THEN 0 ELSE w.weight END + h.n,
-    (s.parts - (w.part + CASE WHEN w.closed THEN 1 ELSE 0 END) - 1) > 0 AND ((CASE WHEN w.closed THEN 0 ELSE w.weight END + h.n) >= s.total / s.parts OR s.buckets - h.at = s.parts - (w.part + CASE WHEN w.closed THEN 1 ELSE 0 END) - 1)
+walk AS (SELECT CAST(0 AS BIGINT) AS at, 0 AS part, 0 AS cuts, CAST(0 AS HUGEINT) AS upto UNION ALL
+    SELECT h.at, w.cuts, w.cuts + CASE WHEN s.parts - 1 - w.cuts > 0 AND w.upto + h.n >= s.total / s.parts * (w.cuts + 1) AND s.buckets - h.at >= s.parts - 1 - w.cuts THEN 1 ELSE 0 END, w.upto + h.n
     FROM walk w JOIN hist h ON h.at = w.at + 1 CROSS JOIN size s)"""
 add("s5_cuts_by_count", _cuts, f"{_WALK} SELECT w.part, max(h.bucket) AS cut, CAST(sum(h.n) AS BIGINT) AS n FROM walk w JOIN hist h ON h.at = w.at GROUP BY w.part")
 
@@ -66,7 +68,8 @@ def _cut_parts(b: Bed) -> DataFrame:
 
 _CUT_PARTS = f"{_WALK}, parted AS (SELECT s.*, CASE WHEN s.v IS NULL THEN (SELECT max(part) + 1 FROM walk) ELSE w.part END AS part FROM src s LEFT JOIN hist h ON h.bucket = floor(sqrt(s.v)) LEFT JOIN walk w ON w.at = h.at)"
 add("s6_cut_partition", _cut_parts, f"{_CUT_PARTS} SELECT * FROM parted")
-add("s7_skew_report", lambda b: pt.skew_report(_cut_parts(b)), f"{_CUT_PARTS}, c AS (SELECT part, count(*) AS n FROM parted GROUP BY part) SELECT part, n, n * (SELECT count(*) FROM c) / (SELECT CAST(sum(n) AS BIGINT) FROM c) AS ratio, n * (SELECT count(*) FROM c) / (SELECT CAST(sum(n) AS BIGINT) FROM c) > 1.5 AS skewed FROM c")
+add("s7_skew_report", lambda b: pt.skew_report(_cut_parts(b), _bucket()), f"""{_CUT_PARTS}, c AS (SELECT part, count(*) AS n FROM parted GROUP BY part), even AS (SELECT CAST(sum(n) AS DOUBLE) / count(*) AS share FROM c)
+SELECT part, n, n / share AS ratio, n / share > 1.5 AS skewed, (SELECT max(k) FROM (SELECT count(*) AS k FROM parted p WHERE p.part = c.part GROUP BY floor(sqrt(v)))) > share AS single_value FROM c CROSS JOIN even""")
 _PREDICATES = ["v < 500", "v >= 500 AND v < 1000", "v >= 900"]
 add("s8_predicate_partitions", lambda b: pt.predicate_partitions(_nullable(b), _PREDICATES).groupBy("part", "matches").agg(F.count("*").alias("n")),
     f"{_NULLABLE}, m AS (SELECT CASE WHEN v < 500 THEN 0 WHEN v >= 500 AND v < 1000 THEN 1 WHEN v >= 900 THEN 2 END AS part, coalesce(CAST(v < 500 AS INTEGER), 0) + coalesce(CAST(v >= 500 AND v < 1000 AS INTEGER), 0) + coalesce(CAST(v >= 900 AS INTEGER), 0) AS matches FROM src) SELECT part, matches, count(*) AS n FROM m GROUP BY ALL")
@@ -93,13 +96,27 @@ def _partitioned(b: Bed) -> DataFrame:
 
 
 add("s11_write_partitioned", _partitioned, "SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 AND month(o_orderdate) <= 6 THEN 0.0 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(month(o_orderdate) AS INTEGER) AS mes FROM orders")
-add("s13_load_replace", lambda b: ld.load_replace(b.target, b.staged), "SELECT * FROM staged")
+
+
+def _replaced(b: Bed) -> DataFrame:
+    """The target as version 0, replaced by the staged rows as version 1; rows tell which version they were read from."""
+    base = shared_dir(b.spark, "replaced")
+    before = ld.read_version(b.spark, base, ld.commit_version(b.target, base))
+    ld.commit_version(ld.load_replace(before, b.staged), base)
+    return ld.read_version(b.spark, base).withColumn("version", F.lit(1)).unionByName(before.withColumn("version", F.lit(0)))
+
+
+add("s13_load_replace", _replaced, "SELECT *, 1 AS version FROM staged UNION ALL SELECT *, 0 FROM target")
 _marks = lambda b: ld.high_water_mark(b.load_log.filter("run_date < DATE '2024-01-15'"), None)
 add("s14_load_incremental", lambda b: ld.load_incremental(b.run_log.select("event_id", "table_name", "state"), "event_id", _marks(b).first()["mark"]), "SELECT event_id, table_name, state FROM run_log WHERE event_id > (SELECT max(mark_to) FROM load_log WHERE state = 'TERMINADO' AND run_date < DATE '2024-01-15')")
 add("s15_high_water_mark", lambda b: b.load_log.filter("state = 'TERMINADO'").groupBy("table_name").agg(F.max("mark_to").alias("mark")).unionByName(ld.high_water_mark(b.load_log).select(F.lit("(all)").alias("table_name"), "mark")),
     "SELECT table_name, max(mark_to) AS mark FROM load_log WHERE state NOT IN ('ERROR', 'SIN_DATOS') GROUP BY 1 UNION ALL SELECT '(all)', max(mark_to) FROM load_log WHERE state NOT IN ('ERROR', 'SIN_DATOS')")
 add("s16_load_merge", lambda b: ld.load_merge(b.target, b.staged, ["c_custkey"]), "SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_nationkey, t.c_nationkey) AS c_nationkey, coalesce(s.balance, t.balance) AS balance, coalesce(s.segment, t.segment) AS segment FROM target t FULL JOIN staged s ON s.c_custkey = t.c_custkey")
 add("s17_duplicated_keys", lambda b: qu.check_unique(b.target, ["c_nationkey", "segment"]), "SELECT c_nationkey, segment, count(*) AS n_rows FROM target GROUP BY ALL HAVING count(*) > 1")
+_GUARDED = (["c_custkey"], ["c_nationkey", "segment"], ["c_custkey", "c_name", "c_nationkey", "balance", "segment"])
+add("s17_merge_guard", lambda b: reduce(DataFrame.unionByName, [ld.merge_guard(b.target, keys) for keys in _GUARDED]), " UNION ALL ".join(
+    f"SELECT '{','.join(k)}' AS keys, CAST(sum(n) AS BIGINT) AS n_rows, count(*) FILTER (WHERE n > 1) AS repeated, {verdict} AS verdict FROM (SELECT count(*) AS n FROM target GROUP BY {', '.join(k)})"
+    for k, verdict in zip(_GUARDED, ("CASE WHEN max(n) > 1 THEN 'REPEATED' ELSE 'OK' END", "CASE WHEN max(n) > 1 THEN 'REPEATED' ELSE 'OK' END", "'KEYS_ONLY'"), strict=True)))
 add("s18_merge_counts", lambda b: ld.merge_counts(b.target, b.staged, ["c_custkey"]), "SELECT (SELECT count(*) FROM staged WHERE c_custkey IN (SELECT c_custkey FROM target)) AS updated, (SELECT count(*) FROM staged WHERE c_custkey NOT IN (SELECT c_custkey FROM target)) AS inserted")
 add("s19_guard_non_empty", lambda b: ld.guard_non_empty(b.staged), "SELECT * FROM staged")
 _small = lambda b: b.closing.select("date", "load_seq", "amount_mn")
@@ -112,6 +129,18 @@ add("s23_generate_rows", lambda b: ld.generate_rows(b.table("orders").select((F.
 SELECT n AS id, 1 + n % 9 AS pgcod, CAST(strftime({D_TODAY} - to_days(CAST(n % 730 AS INTEGER)), '%Y%m%d') AS INTEGER) AS fecha_mov, CASE n % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 840 END AS moneda, CAST(n % 9973 AS DOUBLE) + (n % 97) / 100.0 AS importe,
     (35000 + n % 1000) / 10000.0 AS tasa, 'CTA' || lpad(CAST(n AS VARCHAR), 11, '0') AS cuenta, 'MOV ' || n AS glosa FROM (SELECT o_orderkey + 1 AS n FROM orders)""")
 add("s24_generate_sales", lambda b: ld.generate_sales(b.table("orders").select(F.col("o_orderkey").alias("n")), START), f"SELECT {D_START} AS date, 'SUC-' || lpad(CAST(o_orderkey % 5 + 1 AS VARCHAR), 2, '0') AS branch, (('0x' || substr(md5('sales:' || o_orderkey), 1, 12))::BIGINT % 1000000) / 100.0 AS amount FROM orders")
+_SALE = "'SUC-' || lpad(CAST(o_orderkey % 5 + 1 AS VARCHAR), 2, '0') AS branch, (('0x' || substr(md5('{seed}:' || o_orderkey), 1, 12))::BIGINT % 1000000) / 100.0 AS amount FROM orders"
+add("s24_generate_clients", lambda b: ld.generate_clients(b.table("customer").select(F.col("c_custkey").alias("n")), START), f"SELECT {D_START} AS date, lpad(CAST(10000000 + c_custkey AS VARCHAR), 8, '0') AS document, 'Cliente de prueba ' || c_custkey AS name FROM customer")
+
+
+def _resold(b: Bed) -> DataFrame:
+    """Sales of two days, of which the second is generated anew."""
+    ids = b.table("orders").select(F.col("o_orderkey").alias("n"))
+    both = ld.generate_sales(ids, START).unionByName(ld.generate_sales(ids, HI))
+    return ld.replace_day(both, ld.generate_sales(ids, HI, "again"), "date", HI)
+
+
+add("s24_replace_sales", _resold, f"SELECT {D_START} AS date, {_SALE.format(seed='sales')} UNION ALL SELECT {D_HI} AS date, {_SALE.format(seed='again')}")
 add("s25_stamp_load", lambda b: ty.stamp_load(b.closing.select("load_seq", "date"), "date").withColumn("stamped", F.col("load_ts").isNotNull()).drop("load_ts"), "SELECT load_seq, date, CAST(year(date) AS INTEGER) AS anio, CAST(month(date) AS INTEGER) AS mes, true AS stamped FROM closing")
 
 # Types and projections
@@ -146,9 +175,16 @@ _STATES = ", ".join(f"CASE WHEN {_A} AND rubro LIKE '{p}%' THEN CAST({a} AS DOUB
 add("p12_credit_buckets", lambda b: cl.credit_buckets(b.closing.select("load_seq", "rubro", "amount_mo", "amount_mn")), f"SELECT load_seq, rubro, CAST(amount_mo AS DOUBLE) AS amount_mo, CAST(amount_mn AS DOUBLE) AS amount_mn, {_STATES} FROM closing")
 add("p13_is_asset", lambda b: b.chart.select("code", cl.is_asset(F.col("code")).alias("asset")), "SELECT code, regexp_matches(code, '^14[012][13456]') AS asset FROM chart")
 add("p14_classify_universe", lambda b: cl.classify_universe(b.closing, "code").select("load_seq", "is_asset"), "SELECT load_seq, 1 AS is_asset FROM closing WHERE regexp_matches(code, '^14[012][13456]') UNION ALL SELECT load_seq, 0 FROM closing WHERE module IN (20, 21, 22, 120, 155, 162, 184, 185, 321) AND NOT regexp_matches(code, '^14[012][13456]')")
-_WIDE = "(VALUES " + ", ".join(f"('{p}')" for p in cl.WIDE_PREFIXES) + ") AS w(prefix)"
+# The prefixes of the wide universe once more, so that the twin does not rest on the library's own list.
+_WIDE = """(
+    left(code, 2) IN ('41', '46', '49', '56', '57', '68')
+    OR left(code, 4) IN ('4111', '4112', '4113', '4115', '4116', '4117', '4118', '4121', '4122', '4123', '4125', '4126', '4127', '4128', '4211', '4212', '4221', '4222', '4312', '4313', '4322', '4323', '4411', '4413', '4421', '4423', '4511', '4512', '4513', '4514', '4521', '4522', '4523', '4524', '5111', '5112', '5114', '5117', '5118', '5121', '5124', '5127', '5128', '5211', '5212', '5213', '5214', '5221', '5222', '5223', '5224', '5415', '5416', '5425', '5426')
+    OR left(code, 6) IN ('411401', '411402', '411403', '411404', '411405', '411406', '411407', '411408', '411901', '411903', '411904', '411905', '411907', '411908', '411909', '411910', '411911', '411912', '411913', '411914', '411915', '411916', '411917', '411918', '411919', '411920', '411922', '411923', '411925', '411926', '412401', '412402', '412403', '412404', '412405', '412406', '412407', '412408', '412901', '412903', '412904', '412905', '412907', '412908', '412909', '412910', '412911', '412912', '412913', '412914', '412915', '412916', '412917', '412918', '412919', '412920', '412922', '412923', '412925', '412926', '421204', '421205', '422204', '422205', '431401', '431402', '431501', '431502', '431503', '431504', '431506', '431508', '431509', '432401', '432402', '432501', '432502', '432503', '432504', '432506', '432508', '432509', '511301', '511302', '511303', '511304', '511305', '511306', '511504', '511507', '511901', '511903', '511904', '511910', '511911', '511912', '511913', '511914', '511915', '511916', '511917', '511918', '511919', '511925', '511926', '511927', '511928', '512301', '512302', '512303', '512304', '512305', '512306', '512504', '512507', '512901', '512903', '512904', '512910', '512911', '512912', '512913', '512914', '512915', '512916', '512917', '512918', '512919', '512925', '512926', '512927', '512928', '521204', '521205', '522204', '522205')
+    OR left(code, 8) IN ('41191703', '41192403', '41291703', '41292403', '43150501', '43150505', '43150506', '43250501', '43250505', '43250506', '51191703', '51192403', '51291703', '51292403', '54140103', '54240103')
+    OR left(code, 10) IN ('4119170102', '4119170202', '4119240101', '4119240102', '4129170102', '4129170202', '4129240101', '4129240102', '4315050401', '4315050402', '4325050401', '4325050402', '5119170102', '5119170202', '5119240101', '5119240102', '5129170102', '5129170202', '5129240101', '5129240102')
+    OR left(code, 16) IN ('4312030106030101', '4312030106030501', '4312030201060101', '4312030201060501', '4312030701000103', '4312030702000103'))"""
 add("p15_classify_universe_full", lambda b: cl.classify_universe(b.closing, "code", rules="full").select("load_seq", "code", "is_asset"),
-    f"SELECT load_seq, code, CASE WHEN regexp_matches(code, '^14[012][13456]') THEN 1 ELSE 0 END AS is_asset FROM closing WHERE regexp_matches(code, '^14[012][13456]') OR module IN (20, 21, 22, 120, 155, 162, 184, 185, 321) OR (module = 183 AND regexp_matches(code, '^12[012]1')) OR EXISTS (SELECT 1 FROM {_WIDE} WHERE starts_with(code, prefix))")
+    f"SELECT load_seq, code, CASE WHEN regexp_matches(code, '^14[012][13456]') THEN 1 ELSE 0 END AS is_asset FROM closing WHERE regexp_matches(code, '^14[012][13456]') OR module IN (20, 21, 22, 120, 155, 162, 184, 185, 321) OR (module = 183 AND regexp_matches(code, '^12[012]1')) OR {_WIDE}")
 add("p16_result_lines", lambda b: cl.result_lines(b.closing.select("load_seq", "code", "amount_mn")).drop("amount_mn"), """
 SELECT load_seq, code, CASE WHEN code LIKE '51_4%' AND substr(code, 3, 1) IN ('1', '2') THEN CAST(amount_mn AS DOUBLE) END AS income, CASE WHEN regexp_matches(code, '^51[12]7') THEN CAST(amount_mn AS DOUBLE) END AS commission, CASE WHEN code LIKE '41%' THEN CAST(amount_mn AS DOUBLE) END AS expense,
     CASE WHEN regexp_matches(code, '^54[12]40103') THEN CAST(amount_mn AS DOUBLE) END AS reversal, CASE WHEN regexp_matches(code, '^43[12]2030(106030501|201060101|201060501|701000103|702000103)') THEN CAST(amount_mn AS DOUBLE) END AS provision FROM closing""")
@@ -160,20 +196,20 @@ add("p20_activate_snapshot", lambda b: ma.activate_snapshot(b.target, b.staged),
 add("p22_where_template", lambda b: ty.where_template(b.run_log.select("event_id", "batch_id", "run_date"), "batch_id = '{FECHA_AAAAMMDD-5}' OR (run_date >= DATE '{FECHA_ISO+3}' AND batch_id LIKE '{FECHA_AAAAMM}%')", TODAY), "SELECT event_id, batch_id, run_date FROM run_log WHERE run_date = DATE '2024-01-15' OR (run_date >= DATE '2024-01-23' AND run_date < DATE '2024-02-01')")
 
 # Joins
-add("j6_anti_join", lambda b: b.target.select("c_custkey", "segment").join(b.staged.select("c_custkey"), "c_custkey", "left_anti"), "SELECT c_custkey, segment FROM target WHERE c_custkey NOT IN (SELECT c_custkey FROM staged)")
+add("j6_anti_join", lambda b: jo.without_own_row(b.target.select("c_custkey", "segment"), b.staged, ["c_custkey"]), "SELECT c_custkey, segment FROM target WHERE c_custkey NOT IN (SELECT c_custkey FROM staged)")
 _base_ops = lambda b: ma.base_operations(b.operations)
 _BASE_OPS = ", base_ops AS (SELECT *, 1 AS account_type FROM operations WHERE company = 1 AND module NOT IN (20, 21, 403, 419, 426, 431, 451, 455, 456, 468, 469, 471, 486))"
 _LOOSE = f"""{_BASE_OPS}, loose AS (SELECT * FROM closing c WHERE company = 1 AND module NOT IN (403, 419, 426, 431, 451, 455, 456, 468, 469, 471, 486) AND NOT EXISTS (SELECT 1 FROM base_ops o WHERE o.module = c.module AND o.id_cross = c.id_cross)
     AND (module IN (SELECT module FROM operations) OR module IN (20, 21, 27, 63, 65, 45, 162, 321)) AND NOT EXISTS (SELECT 1 FROM base_ops o WHERE o.id_operation = c.id_operation))"""
 add("j7_balances_without_operation", lambda b: ma.balances_without_operation(b.closing, b.operations, _base_ops(b)).select("load_seq", "id_operation"), f"{_LOOSE} SELECT load_seq, id_operation FROM loose")
 add("j11_account_executive", lambda b: b.operations.join(ma.account_executive(b.accounts), "account", "left").select("id_operation", "executive"), "SELECT id_operation, (SELECT max(executive) FROM accounts a WHERE a.account = o.account) AS executive FROM operations o")
-add("j12_attribute_lookup", lambda b: totals(b).select("id_operation", "date").join(b.closing.groupBy("id_operation", "date").agg(F.max_by("origin_type", "load_seq").alias("origin_type")), ["id_operation", "date"], "left"), "SELECT id_operation, date, (SELECT arg_max(origin_type, load_seq) FROM closing c WHERE c.id_operation = t.id_operation AND c.date = t.date) AS origin_type FROM totals t", series=True)
+add("j12_attribute_lookup", lambda b: jo.attribute_by_day(totals(b).select("id_operation", "date"), b.closing, ["id_operation", "date"], ["origin_type"]), "SELECT id_operation, date, (SELECT arg_max(origin_type, load_seq) FROM closing c WHERE c.id_operation = t.id_operation AND c.date = t.date) AS origin_type FROM totals t", series=True)
 add("j14_resolve_product_module", lambda b: ma.resolve_product_module(b.closing, b.operations.filter("module > 20")).select("load_seq", "module_product"), ", ones AS (SELECT id_cross, max(module) AS m FROM operations WHERE module > 20 AND account <> 999999999 GROUP BY 1 HAVING count(DISTINCT module) = 1) SELECT load_seq, coalesce(m, module) AS module_product FROM closing LEFT JOIN ones USING (id_cross)")
 add("j17_reconcile_catalog", lambda b: au.reconcile_catalog(b.target, b.staged, "c_custkey", "segment"), "SELECT c_custkey, t.segment AS left_value, s.segment AS right_value, CASE WHEN s.c_custkey IS NULL THEN 'ONLY_LEFT' WHEN t.c_custkey IS NULL THEN 'ONLY_RIGHT' WHEN s.segment = t.segment THEN 'SAME' ELSE 'DIFFERENT' END AS status FROM target t FULL JOIN staged s USING (c_custkey)")
-_DAYS = lambda b: F.broadcast(b.calendar.filter(F.col("day").between(F.lit(date(1998, 1, 1)), F.lit(date(1998, 3, 31)))).select("day"))  # noqa: E731  (one row a day)
-add("j8_key_by_day", lambda b: b.operations.select("id_operation").crossJoin(_DAYS(b)), f"SELECT id_operation, day FROM operations, calendar WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")
-add("j9_month_range_join", lambda b: b.operations.select("id_operation", "date", F.trunc("date", "MM").alias("m")).join(_DAYS(b).withColumn("m", F.trunc("day", "MM")), "m").filter("day >= date").select("id_operation", "day"), f"SELECT id_operation, day FROM operations JOIN calendar ON day >= date AND day <= last_day(date) WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")
-add("j13_dimension_lookup", lambda b: b.closing.select("load_seq", "code").join(b.chart, "code", "left").select("load_seq", "dig4", "dig10"), "SELECT load_seq, (SELECT dig4 FROM chart c WHERE c.code = x.code) AS dig4, (SELECT dig10 FROM chart c WHERE c.code = x.code) AS dig10 FROM closing x")
+add("j8_key_by_day", lambda b: jo.key_by_day(b.operations.select("id_operation"), b.calendar), "SELECT id_operation, day FROM operations, calendar")
+_month_ends = lambda b: b.closing.groupBy("id_operation", F.trunc("date", "MM").alias("m")).agg(F.max("date").alias("date")).drop("m")
+add("j9_month_range_join", lambda b: jo.days_to_month_end(_month_ends(b), b.calendar), "SELECT id_operation, date, day FROM (SELECT id_operation, max(date) AS date FROM closing GROUP BY id_operation, date_trunc('month', date)) JOIN calendar ON day >= date AND day <= last_day(date)")
+add("j13_dimension_lookup", lambda b: jo.with_dimension(b.closing.select("load_seq", "code"), b.chart, "code", ["dig4", "dig10"]).drop("code"), "SELECT load_seq, (SELECT dig4 FROM chart c WHERE c.code = x.code) AS dig4, (SELECT dig10 FROM chart c WHERE c.code = x.code) AS dig10 FROM closing x")
 
 # Operation master and reports
 _OPS = ["id_operation", "id_cross", "module", "account", "date", "account_type", "disbursed"]
@@ -187,9 +223,9 @@ SELECT id_operation, id_cross, module, account, date, account_type, CAST(disburs
 add("o4_modules_of_cross_keys", lambda b: ma.modules_of_cross_keys(b.operations), "SELECT DISTINCT id_cross, module FROM operations WHERE account <> 999999999")
 
 
-def _report_rows(b: Bed) -> DataFrame:
+def _report_rows(b: Bed, base: DataFrame | None = None) -> DataFrame:
     """Consolidated rows whose accounts are spread over the report families, with their monthly changes."""
-    rows = con.monthly_change(_base(b))
+    rows = con.monthly_change(_base(b) if base is None else base)
     code = F.when(F.col("rubro").startswith("14"), F.col("rubro"))
     for group, c in {0: "2111010101", 1: "2512020101", 2: "2512020101"}.items():
         code = code.when(F.col("grp") == group, F.when(F.col("title") == 1, F.col("rubro")).otherwise(_family(c)))
@@ -244,7 +280,17 @@ add("r1_report_loans", lambda b: _report(b, lambda r, c: re.report_loans(_regrou
 add("r2_report_deposits", lambda b: _report(b, re.report_deposits), _show("deposits"))
 add("r3_report_borrowings", lambda b: _report(b, re.report_borrowings), _show("borrowings"))
 add("r4_report_repos", lambda b: _report(b, re.report_repos), _show("repos"))
-add("r5_report_product_detail", lambda b: _report(b, lambda r, c: re.report_product_detail(_regrouped(r), c, _modules_of(r), F.lit(date(1998, 1, 1)))), _show("(SELECT * FROM loans UNION ALL SELECT * FROM deposits UNION ALL SELECT * FROM borrowings UNION ALL SELECT * FROM repos) WHERE date >= DATE '1998-01-01'"))
+
+
+def _recent_report(b: Bed) -> DataFrame:
+    base = _base(b)
+    start = cal.report_start(base).first()["start"]
+    # changes need the month before the horizon
+    rows = materialize(_report_rows(b, base.filter(F.col("date") >= F.add_months(F.lit(start), -1))), "report-rows")
+    return re.report_product_detail(_regrouped(rows), _chart_of(rows), _modules_of(rows), F.lit(start))
+
+
+add("r5_report_product_detail", _recent_report, _show("(SELECT * FROM loans UNION ALL SELECT * FROM deposits UNION ALL SELECT * FROM borrowings UNION ALL SELECT * FROM repos) WHERE date >= (SELECT date_trunc('month', max(date) - INTERVAL 60 DAY) FROM base)"))
 
 
 def _fx_position(b: Bed) -> DataFrame:
@@ -272,8 +318,10 @@ def _dense(b: Bed) -> DataFrame:
 
 
 _DENSE = """, dense AS (SELECT id_operation, date, CAST(sum(amount_mn) + CASE WHEN dayofyear(date) % 37 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS amount_mn FROM filled WHERE NOT (day(date) = 2 AND substr(id_operation, length(id_operation) - 4, 1) = '1') GROUP BY id_operation, date)"""
-add("q1_weekend_copy", lambda b: qu.check_weekend_copy(_dense(b), ["id_operation"], ["amount_mn"]), f"{_DENSE} SELECT s.date, s.id_operation, CAST(s.amount_mn AS DOUBLE) AS amount_mn, CAST(a.amount_mn AS DOUBLE) AS saturday_amount_mn FROM dense s JOIN dense a ON a.id_operation = s.id_operation AND a.date + INTERVAL 1 DAY = s.date WHERE dayofweek(s.date) = 0 AND s.amount_mn <> a.amount_mn", series=True)
+add("q1_weekend_copy", lambda b: qu.check_weekend_copy(_dense(b), ["id_operation"], ["amount_mn"]), f"""{_DENSE}, stepped AS (SELECT *, lag(date) OVER w AS before, lag(amount_mn) OVER w AS saturday FROM dense WINDOW w AS (PARTITION BY id_operation ORDER BY date))
+SELECT date, id_operation, CAST(amount_mn AS DOUBLE) AS amount_mn, CAST(saturday AS DOUBLE) AS saturday_amount_mn FROM stepped WHERE dayofweek(date) = 0 AND before + INTERVAL 1 DAY = date AND amount_mn <> saturday""", series=True)
 add("q2_month_complete", lambda b: qu.check_month_complete(_dense(b), ["id_operation"], HI), f"{_DENSE} SELECT id_operation, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n_rows, CAST(day(last_day(max(date))) AS INTEGER) AS due FROM dense GROUP BY 1, 2 HAVING count(*) <> day(last_day(max(date)))", series=True)
+add("q3_worst_repeats", lambda b: qu.worst_first(qu.check_unique(b.closing, ["id_operation", "rubro", "date"]), F.col("n_rows"), ["id_operation", "rubro", "date"], 50), "SELECT id_operation, rubro, date, count(*) AS n_rows FROM closing GROUP BY 1, 2, 3 HAVING count(*) > 1 ORDER BY n_rows DESC, id_operation, rubro, date LIMIT 50")
 add("q3_unique", lambda b: qu.check_unique(b.closing, ["id_operation", "rubro", "date"]), "SELECT id_operation, rubro, date, count(*) AS n_rows FROM closing GROUP BY 1, 2, 3 HAVING count(*) <> 1")
 add("q4_range_covered", lambda b: qu.range_covered(b.closing), "SELECT min(date) AS first, max(date) AS last, count(*) AS n_rows FROM closing")
 add("q5_lost_keys", lambda b: qu.check_lost_keys(b.closing, b.operations, ["id_operation"]), "SELECT id_operation FROM closing EXCEPT SELECT id_operation FROM operations")
@@ -308,7 +356,10 @@ add("q17_expectation_counts", lambda b: qu.expectation_counts(_changed(b), _rule
 add("q17_apply_expectations", lambda b: qu.apply_expectations(_changed(b), _rules()).select("c_custkey"), "SELECT c_custkey FROM target WHERE balance + CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END > 0")
 add("q18_reconcile_totals", lambda b: qu.reconcile_totals(b.closing.filter("account <> 3"), b.closing.filter("load_seq % 11 <> 0"), ["account"], "amount_mn"), ", t AS (SELECT account, coalesce(sum(amount_mn) FILTER (WHERE account <> 3), 0) AS l, coalesce(sum(amount_mn) FILTER (WHERE load_seq % 11 <> 0), 0) AS r FROM closing GROUP BY 1) SELECT account, CAST(l AS DOUBLE) AS left_total, CAST(r AS DOUBLE) AS right_total FROM t WHERE abs(l - r) > 0.01")
 _CONTRACT = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.IntegerType()), T.StructField("region", T.StringType())])
-add("q19_check_contract", lambda b: qu.check_contract(b.table("customer").select("c_custkey", "c_name", "c_acctbal"), _CONTRACT), "SELECT * FROM (VALUES ('c_acctbal', NULL, 'double', 'UNDECLARED'), ('c_name', 'int', 'string', 'TYPE'), ('region', 'string', NULL, 'MISSING')) AS t(column_name, declared, actual, status)")
+add("q19_check_contract", lambda b: qu.check_contract(b.table("customer").select("c_custkey", "c_name", "c_acctbal"), _CONTRACT), """,
+real AS (SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS actual FROM (DESCRIBE customer) WHERE column_name IN ('c_custkey', 'c_name', 'c_acctbal')),
+wanted AS (SELECT * FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'int'), ('region', 'string')) AS w(column_name, declared))
+SELECT column_name, declared, actual, CASE WHEN actual IS NULL THEN 'MISSING' WHEN declared IS NULL THEN 'UNDECLARED' ELSE 'TYPE' END AS status FROM wanted FULL JOIN real USING (column_name) WHERE declared IS DISTINCT FROM actual""")
 
 # Audit
 _COLS = ["table_name", "batch_id", "run_date", "state", "n_rows", "seconds", "event_id"]
@@ -321,10 +372,14 @@ add("a4_unregistered", lambda b: au.unregistered(b.run_log, _catalog(b)), "SELEC
 add("a5_repeated_empty", lambda b: au.repeated_empty(b.run_log, TODAY), f"SELECT table_name, count(*) AS empty_runs, max(run_date) AS last_run FROM run_log WHERE state = 'SIN_DATOS' AND run_date >= {D_TODAY} - INTERVAL 15 DAY GROUP BY 1 HAVING count(*) >= 3")
 add("a6_procedure_stats", lambda b: au.procedure_stats(b.run_log, date(2024, 1, 31), 20), "SELECT table_name, count(*) AS runs, count(*) FILTER (WHERE state = 'ERROR') AS failures, CAST(sum(seconds) AS DOUBLE) / count(*) AS mean_seconds, max(seconds) AS worst_seconds, max(run_date) AS last_run FROM run_log WHERE run_date >= DATE '2024-01-11' GROUP BY 1")
 add("a7_last_load", lambda b: au.last_load(b.load_log), "SELECT table_name, max(run_date) AS last_run, max(run_date) FILTER (WHERE n_rows > 0) AS last_data FROM load_log GROUP BY 1")
-add("a8_never_loaded", lambda b: au.never_loaded(b.run_log.select("table_name").distinct().withColumn("active", F.col("table_name") != "error"), b.load_log.filter("table_name <> 'signup' and table_name <> 'error'")), "SELECT 'signup' AS table_name, true AS active WHERE EXISTS (SELECT 1 FROM run_log WHERE table_name = 'signup')")
+add("a8_never_loaded", lambda b: au.never_loaded(b.run_log.select("table_name").distinct().withColumn("active", F.col("table_name") != "error"), b.load_log.filter("table_name <> 'signup' and table_name <> 'error'")),
+    "SELECT DISTINCT table_name, table_name <> 'error' AS active FROM run_log r WHERE table_name <> 'error' AND NOT EXISTS (SELECT 1 FROM load_log l WHERE l.table_name = r.table_name AND l.table_name NOT IN ('signup', 'error'))")
 add("a9_close_batch", lambda b: au.close_batch(b.load_log, "20240110"), "SELECT state, count(*) AS runs, CAST(sum(n_rows) AS BIGINT) AS n_rows, (SELECT bool_or(state = 'ERROR') FROM load_log WHERE batch_id = '20240110') AS batch_failed FROM load_log WHERE batch_id = '20240110' GROUP BY 1")
 add("a10_last_finished", lambda b: au.last_finished(b.load_log), "SELECT DISTINCT ON (table_name) table_name, batch_id, event_id, n_rows FROM load_log WHERE state = 'TERMINADO' ORDER BY table_name, batch_id DESC, event_id DESC")
-add("a11_batch_lots", lambda b: au.batch_lots(b.run_log.filter("batch_id = '20240105'").select("event_id", "table_name"), _catalog(b).drop("active")), "SELECT event_id, table_name, CASE WHEN table_name IN ('view', 'click', 'error') THEN 'stg_' || table_name END AS destination, table_name NOT IN ('view', 'click', 'error') AS undeclared FROM run_log WHERE batch_id = '20240105'")
+add("a11_batch_lots", lambda b: au.batch_lots(b.run_log.filter("batch_id = '20240105'").select("event_id", "table_name"), _catalog(b).drop("active"), strict=False), "SELECT event_id, table_name, CASE WHEN table_name IN ('view', 'click', 'error') THEN 'stg_' || table_name END AS destination, table_name NOT IN ('view', 'click', 'error') AS undeclared FROM run_log WHERE batch_id = '20240105'")
+add("a11_declared_lots", lambda b: au.batch_lots(b.run_log.filter("table_name in ('view', 'click', 'error')").select("event_id", "table_name"), _catalog(b).drop("active")), "SELECT event_id, table_name, 'stg_' || table_name AS destination FROM run_log WHERE table_name IN ('view', 'click', 'error')")
+add("a9_retry_list", lambda b: reduce(DataFrame.unionByName, [au.retry_list(b.load_log.withColumn("table_name", F.concat_ws("_", "table_name", F.col("event_id") % 40)), x).withColumn("batch_id", F.lit(x)) for x in ("20240110", "20240111", "19000101")]),
+    " UNION ALL ".join(f"SELECT coalesce(string_agg(DISTINCT table_name || '_' || event_id % 40, ',' ORDER BY table_name || '_' || event_id % 40), '') AS only_tables, '{x}' AS batch_id FROM load_log WHERE batch_id = '{x}' AND state = 'ERROR'" for x in ("20240110", "20240111", "19000101")))
 
 
 def _curve(b: Bed) -> DataFrame:

@@ -36,11 +36,18 @@ def load_incremental(source: DataFrame, column: str, mark) -> DataFrame:
     return source if mark is None else source.filter(F.col(column) > F.lit(mark))
 
 
+def merge_guard(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: keys, rows, repeated keys, and the verdict on a merge: KEYS_ONLY (nothing to update), REPEATED or OK."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("_n") > 1).alias("repeated"))
+    verdict = F.lit("KEYS_ONLY") if not set(df.columns) - set(keys) else F.when(F.col("repeated") > 0, "REPEATED").otherwise("OK")
+    return counts.select(F.lit(",".join(keys)).alias("keys"), "n_rows", "repeated", verdict.alias("verdict"))
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Refuse tables of keys alone and duplicated keys, before a target is touched."""
     if not set(df.columns) - set(keys):
         raise ValueError("there is nothing to update but keys")
-    if not df.groupBy(*keys).count().filter("count > 1").isEmpty():
+    if merge_guard(df, keys).first()["verdict"] != "OK":
         raise ValueError("the source repeats a key")
     return df
 
@@ -89,11 +96,43 @@ def read_batch(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def swap_version(df: DataFrame, base: str) -> str:
-    """Write a new version of a table below ``base`` and return its path; readers of the old one are not disturbed."""
-    path = f"{base.rstrip('/')}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return path
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the committed versions of a table below ``base``, oldest first."""
+    store, place = _folder(spark, base)
+    found = [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
+    return sorted(int(name[2:]) for name in found if name.startswith("v-"))
+
+
+def version_path(base: str, number: int) -> str:
+    return f"{base.rstrip('/')}/v-{number:012d}"
+
+
+def commit_version(df: DataFrame, base: str, number: int | None = None) -> int:
+    """Write the next version of a table below ``base`` (or the one of this number) and return its number.
+
+    It is written aside and renamed when whole, so readers see the old version or the new one, never part of it; a
+    number that is there already is left as it is.
+    """
+    spark = df.sparkSession
+    there = versions(spark, base)
+    number = (there[-1] + 1 if there else 0) if number is None else number
+    if number not in there:
+        aside = f"{base.rstrip('/')}/_new-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        store, place = _folder(spark, aside)
+        if not store.rename(place, _folder(spark, version_path(base, number))[1]) and number not in versions(spark, base):
+            raise OSError(f"version {number} could not be committed")
+    return number
+
+
+def read_version(spark: SparkSession, base: str, number: int | None = None, schema=None) -> DataFrame:
+    """A version of the table below ``base``, by default the latest."""
+    return read_batch(spark, version_path(base, versions(spark, base)[-1] if number is None else number), schema)
 
 
 def generate_rows(ids: DataFrame, today: date) -> DataFrame:
@@ -110,3 +149,14 @@ def generate_sales(ids: DataFrame, day: date, seed: str = "sales") -> DataFrame:
     """One sale per number ``n``: five branches, an amount below 10000 that depends on number and seed."""
     cents = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("n").cast("string"))), 1, 12), 16, 10).cast("long"), F.lit(1_000_000))
     return ids.select(F.lit(day).alias("date"), F.concat(F.lit("SUC-"), F.lpad((F.col("n") % 5 + 1).cast("string"), 2, "0")).alias("branch"), (cents / F.lit(100)).cast("decimal(17,2)").alias("amount"))
+
+
+def generate_clients(ids: DataFrame, day: date) -> DataFrame:
+    """One client per number ``n``: an eight-digit document and a name."""
+    document = F.lpad((F.col("n") + 10_000_000).cast("string"), 8, "0")
+    return ids.select(F.lit(day).alias("date"), document.alias("document"), F.concat(F.lit("Cliente de prueba "), F.col("n").cast("string")).alias("name"))
+
+
+def replace_day(table: DataFrame, fresh: DataFrame, column: str, day: date) -> DataFrame:
+    """The table with the rows of one day replaced by those of ``fresh``; running it again changes nothing."""
+    return rewrite_range(table, fresh, column, day, day)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.tables import materialize
+
 
 def select_source(df: DataFrame, columns: Sequence[str] = (), predicate: str | None = None) -> DataFrame:
     """Columns (all if none are named) and rows of a source; both reach the scan."""
@@ -39,19 +41,28 @@ def bucket_histogram(df: DataFrame, bucket: Column) -> DataFrame:
 def cuts_by_count(histogram: DataFrame, n: int) -> list:
     """Upper ends of the first groups when ordered buckets are packed into n groups of like weight.
 
-    A group is closed when it has reached the even share, or when the buckets left are just enough for the groups left.
-    The histogram has one row per bucket value, which bounds what is read here.
+    Group k is closed by the bucket with which the rows so far reach k even shares, if enough buckets are left for the
+    groups still to come; one bucket closes one group at most. Running sums are worked out by ranges of buckets, so a
+    fine histogram needs no single task; the driver gets a position a group.
     """
-    rows = histogram.orderBy("bucket").collect()
-    n = min(n, len(rows))
-    share, cuts, weight = sum(r["n"] for r in rows) / n if n else 0, [], 0
-    for at, row in enumerate(rows):
-        weight += row["n"]
-        groups_left, buckets_left = n - len(cuts) - 1, len(rows) - at - 1
-        if groups_left and (weight >= share or buckets_left == groups_left):
-            cuts.append(row["bucket"])
-            weight = 0
-    return cuts
+    ranged = materialize(histogram.select("bucket", "n").repartitionByRange("bucket").sortWithinPartitions("bucket").withColumn("_part", F.spark_partition_id()), "histogram")
+    parts = ranged.groupBy("_part").agg(F.count("*").alias("_rows"), F.sum("n").alias("_n"))  # one row a partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_rows", "_n")])
+    inside = Window.partitionBy("_part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.join(F.broadcast(parts), "_part").select("bucket", (F.count("*").over(inside) + F.col("_rows_before")).alias("place"), (F.sum("n").over(inside) + F.col("_n_before")).alias("upto"))
+    buckets, total = placed.agg(F.count("*"), F.max("upto")).first()
+    n = min(n, buckets)
+    if n <= 1 or not total:
+        return []
+    reached = placed.agg(*[F.min(F.when(F.col("upto") * n >= F.lit(total) * k, F.col("place"))).alias(f"k{k}") for k in range(1, n)]).first()
+    places: list[int] = []
+    for k in range(1, n):
+        place = max(reached[k - 1], places[-1] + 1 if places else 1)
+        if buckets - place < n - k:
+            break
+        places.append(place)
+    return [r["bucket"] for r in placed.filter(F.col("place").isin(places)).orderBy("bucket").select("bucket").collect()]
 
 
 def assign_cut_partition(df: DataFrame, bucket: Column, cuts: Sequence) -> DataFrame:
@@ -62,12 +73,14 @@ def assign_cut_partition(df: DataFrame, bucket: Column, cuts: Sequence) -> DataF
     return df.withColumn("part", F.when(bucket.isNull(), len(cuts) + 1).otherwise(number))
 
 
-def skew_report(df: DataFrame, part: str = "part", factor: float = 1.5) -> DataFrame:
-    """Rows per partition, its share of the even share, and whether it is above ``factor``."""
+def skew_report(df: DataFrame, bucket: Column, part: str = "part", factor: float = 1.5) -> DataFrame:
+    """Rows per partition, its share of the even share, whether it is above ``factor``, and whether a single value of
+    ``bucket`` alone exceeds the even share: then no cut can help, only another column."""
     every = Window.partitionBy(F.lit(1))  # one row a partition
-    sizes = df.groupBy(part).agg(F.count("*").alias("n"))
-    ratio = F.col("n") * F.count("*").over(every) / F.sum("n").over(every)
-    return sizes.withColumn("ratio", ratio).withColumn("skewed", F.col("ratio") > factor)
+    values = df.groupBy(part, bucket.alias("_value")).agg(F.count("*").alias("_n"))
+    sizes = values.groupBy(part).agg(F.sum("_n").alias("n"), F.max("_n").alias("_top"))
+    even = F.sum("n").over(every) / F.count("*").over(every)
+    return sizes.select(part, "n", (F.col("n") / even).alias("ratio"), (F.col("n") / even > factor).alias("skewed"), (F.col("_top") > even).alias("single_value"))
 
 
 def predicate_partitions(df: DataFrame, predicates: Sequence[str]) -> DataFrame:

@@ -27,22 +27,24 @@ def _appended(b: Bed) -> DataFrame:
 
 def _merged(b: Bed) -> DataFrame:
     stream, checkpoint = _increments(b, b.staged, 4, "c_custkey")
-    return loads.merge_increments(stream, b.target, ["c_custkey"], "balance", checkpoint)
+    return loads.merge_increments(stream, b.target, ["c_custkey"], "balance", shared_dir(b.spark, "merged"), checkpoint)
 
 
 def _counted(b: Bed) -> DataFrame:
+    """All days of the events: those that the watermark closed come from the stream, the days still open from a row each in its state."""
     rows = b.table("events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    stream, checkpoint = _increments(b, rows, 4, "event_type")
-    path = shared_dir(b.spark, "counted")
-    counts = loads.windowed_counts(stream, "ts", "event_type", "1 day", "60 days")
-    # complete windows of a finite stream: the last state of each is kept per batch
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/{number}")
-
-    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    written = b.spark.read.option("recursiveFileLookup", "true").schema("start timestamp, event_type string, n long, batch int").parquet(path)
-    last = written.agg(F.max("batch").alias("batch"))
-    return written.join(F.broadcast(last), "batch").select(F.col("start").cast("date").alias("day"), "event_type", "n")
+    # in order of time, so that the watermark may close days; the last file ends the stream with a mark far behind all others
+    last = rows.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"), F.lit("end of stream").alias("event_type"))
+    path, checkpoint, out = shared_dir(b.spark, "increments"), shared_dir(b.spark, "stream-state"), shared_dir(b.spark, "counted")
+    rows.repartitionByRange(4, "ts").write.parquet(path)
+    for batch in (None, last):
+        if batch is not None:
+            batch.write.mode("append").parquet(path)
+        counts = loads.windowed_counts(loads.read_increments(b.spark, path, rows.schema, 2), "ts", "event_type", "1 day", "60 days")
+        writer = counts.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    written = b.spark.read.schema("start timestamp, end timestamp, event_type string, n long").parquet(out)
+    return written.select(F.col("start").cast("date").alias("day"), "event_type", "n")
 
 
 add("stream_append_increments", _appended, "SELECT table_name, count(*) AS n, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM run_log WHERE state = 'TERMINADO' GROUP BY 1")
