@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,28 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` in the shared folder, one file a bucket of ``key``, sorted within: joins and aggregations by the key need no shuffle.
+
+    The table is known to the session's catalog until :func:`drop_bucketed` is called.
+    """
+    spark = df.sparkSession
+    parts, table, before = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}", spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.repartition(parts, key).write.bucketBy(parts, key).sortBy(*order).option("path", shared_dir(spark, name)).format("parquet").saveAsTable(table)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.table(table)
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """Forget and delete a table that :func:`bucketed` wrote, once nothing reads it any more."""
+    name = df._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()
+    drop_shared(df)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def drop_shared(df: DataFrame) -> None:
     """Delete a table that :func:`materialize` wrote, once nothing reads it any more."""
     spark = df.sparkSession
