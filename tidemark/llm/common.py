@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.tables import drop_shared, materialize, shared_dir  # noqa: F401
+from tidemark.tables import bucketed, drop_bucketed, drop_shared, materialize, shared_dir  # noqa: F401
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows up to which a table of per-source or per-partition figures is broadcast.

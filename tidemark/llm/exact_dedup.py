@@ -1,16 +1,18 @@
 """Exact deduplication on a log-structured merge index, with DataFrame functions only.
 
-* Memtable: rows of one input batch, aggregated by digest before anything is shuffled.
-* Run: a flushed memtable, one row per digest, sorted by digest, with a bit filter of its digests.
+* Memtable: the rows of some input partitions, aggregated by digest before anything is shuffled.
+* Run: a flushed memtable, one row per digest. All runs are cut into the same segments, ranges of digests, and stored
+  together: bucketed by segment and sorted by digest, so that what follows merges them in place, without a shuffle.
+* Filter: a bit map for every run and segment, sized by the keys of a segment, so filters grow with the runs.
 * Hits: digests that a run holds more than once or that pass the filter of another run. All other digests are known
   to be single, and neither compaction nor the final join sees them.
-* Compaction: merges the hits of all runs; of each digest the best row stays, ties going to the smallest identifier.
+* Compaction: merges the hits of all runs segment by segment; of each digest the best row stays, ties going to the smallest identifier.
 * Verification: the normalised texts of the hits are compared byte for byte (smallest against largest per digest,
   combined before the shuffle, so a hot group ships one pair per task). Digests whose texts differ are grouped by
   the texts themselves instead.
 
-Filters are Spark bitmaps of 32,768 bits keyed by bucket number. A filter has at most ``FILTER_BITS`` bits, so the one
-that verification broadcasts stays within 8 MB at any input size; when it fills up, more rows are compared, never fewer.
+Which texts verification has to look at is told by one more filter, a broadcast of at most ``FILTER_BITS`` bits (8 MB);
+when that one fills up, more rows are compared, never fewer.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, drop_shared, materialize
+from tidemark.llm.common import SPACE, bucketed, drop_bucketed, materialize
 
 FILTER_BITS = 1 << 26
 BUCKET_BITS = 32_768
+#: Keys of a run in a segment, about: sixteen bits of a bitmap each.
+SEGMENT_KEYS = BUCKET_BITS // 16
 
 
 def normalised(text: Column) -> Column:
@@ -46,14 +50,18 @@ def build_filter(digests: DataFrame, bits: int, *by: str) -> DataFrame:
     return slots.groupBy(*by, F.bitmap_bucket_number("_slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("bitmap"))
 
 
-def passes(bitmap: Column, digest: Column, bits: int) -> Column:
-    """Whether the digest's bit is set in the bitmap of its bucket; false without one."""
-    place = F.bitmap_bit_position(_slot(digest, bits))
+def bit_set(bitmap: Column, place: Column) -> Column:
+    """Whether the bit at a place from 0 is set in the bitmap; false without one."""
     byte = F.conv(F.hex(F.substring(bitmap, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     bit = F.get(F.array(*[F.shiftright(byte, i).bitwiseAND(F.lit(1)) for i in range(8)]), F.pmod(place, F.lit(8)).cast("int"))
     return F.coalesce(bit == 1, F.lit(False))
 
 
+def passes(bitmap: Column, digest: Column, bits: int) -> Column:
+    """Whether the digest's bit is set in the bitmap of its bucket; false without one."""
+    return bit_set(bitmap, F.bitmap_bit_position(_slot(digest, bits)))
+
+
 def filter_bits(rows: int) -> int:
     """16 bits a key in whole buckets, within the bound."""
     return min(FILTER_BITS, BUCKET_BITS * max(1, -(-rows * 16 // BUCKET_BITS)))
@@ -85,34 +93,34 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     """
     norm = normalised(F.col("text"))
     entries = docs.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), digest(norm).alias("digest"), F.sha2(norm, 256).alias("text_sha256"),
-                          F.pmod(F.xxhash64("doc_id"), F.lit(runs)).alias("run"))
+                          F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"))
     entries = materialize(entries, "lsm-entries")
-    bits = filter_bits(entries.count())
+    # segments: ranges of the digest's leading 28 bits that hold about SEGMENT_KEYS keys of a run
+    segments = max(1, -(-entries.count() // (runs * SEGMENT_KEYS)))
+    lead = F.coalesce(F.conv(F.substring(F.hex("digest"), 1, 7), 16, 10).cast("long"), F.lit(0))
+    segment = F.floor(lead * segments / (1 << 28)).cast("long")
 
     best = F.max(F.struct("chars", F.negative("doc_id").alias("neg_id"), "entry"))
     memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best.alias("best"))
-    flushed = materialize(memtables.repartitionByRange("run", "digest").sortWithinPartitions("run", "digest"), "lsm-runs")
-    filters = materialize(build_filter(flushed, bits, "run"), "lsm-filters")
-
-    # a probe of all runs' filters at once: bitmaps of one bucket are side by side
-    bucket = F.bitmap_bucket_number(_slot(F.col("digest"), bits))
-    wide = filters.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("run", "bitmap"))).alias("bitmaps"))
-    probed = flushed.withColumn("bucket", bucket).join(wide, "bucket", "left")
-    elsewhere = [F.when(F.col("run") != r, passes(F.element_at("bitmaps", F.lit(r).cast("bigint")), F.col("digest"), bits)).otherwise(F.lit(False)) for r in range(runs)]
+    flushed = bucketed(memtables.withColumn("segment", segment), "lsm_runs", "segment", ["segment", "digest"])
+
+    # every segment's filters side by side, probed by the digests of that segment
+    place = F.pmod(F.xxhash64("digest"), F.lit(BUCKET_BITS))
+    filters = flushed.groupBy("segment", "run").agg(F.bitmap_construct_agg(place).alias("bitmap"))
+    wide = filters.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("run", "bitmap"))).alias("bitmaps"))  # one entry a run
     hit = F.col("rows") > 1
-    for other in elsewhere:
-        hit = hit | other
-    hits = materialize(probed.filter(hit).select("digest", "rows", "best"), "lsm-hits")
-    compacted = hits.groupBy("digest").agg(F.sum("rows").alias("group_size"), F.max("best").alias("best")).filter("group_size > 1")
-    compacted = materialize(compacted, "lsm-compacted")
+    for r in range(runs):
+        hit = hit | ((F.col("run") != r) & bit_set(F.element_at("bitmaps", F.lit(r)), place))
+    hits = flushed.join(wide, "segment").filter(hit)
+    compacted = hits.groupBy("segment", "digest").agg(F.sum("rows").alias("group_size"), F.max("best").alias("best")).filter("group_size > 1")
+    compacted = materialize(compacted.drop("segment"), "lsm-compacted")
+    drop_bucketed(flushed)
 
     # byte verification of all texts whose digest passes the filter of the hits
     texts = probably_in(docs.select(norm.alias("norm")).withColumn("digest", digest(F.col("norm"))), "digest", compacted.select("digest"))
     ends = texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     false_hits = materialize(ends.filter(F.col("low") != F.col("high")).select("digest"), "lsm-false")
 
-    for table in (flushed, filters, hits):  # nothing reads them any more
-        drop_shared(table)
     groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"), F.col("best.entry").alias("keep_entry"))
     out = entries.join(groups, "digest", "left")
     if false_hits.isEmpty():
