@@ -32,12 +32,12 @@ def _vote(bad: bool, good: bool) -> int:
 
 
 def vote_symbols(t: Text) -> int:
-    n = t.n_symbols()
+    n = t.n_symbols
     return _vote(10 * n > 3 * t.n_words, 100 * n < 2 * t.n_words)
 
 
 def vote_repeats(t: Text) -> int:
-    n = t.n_repeat_words()
+    n = t.n_repeat_words
     return _vote(100 * n > 30 * t.n_words, n == 0 and t.n_words >= 20)
 
 
@@ -52,7 +52,7 @@ def vote_stutter(t: Text) -> int:
 
 def vote_letters(t: Text) -> int:
     letters = sum(map(str.isalpha, t.text))
-    return _vote(4 * letters < 3 * t.word_chars(), 10 * letters > 9 * t.word_chars())
+    return _vote(4 * letters < 3 * t.word_chars, 10 * letters > 9 * t.word_chars)
 
 
 def vote_plain(t: Text) -> int:
@@ -150,18 +150,26 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 8.
 
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, labellers=LABELLERS) -> dict:
-    """Labeller tables from all rows, scorer from a hashed sample of about ``train_rows`` rows."""
+    """Labeller tables from all rows of (doc_id, text), scorer from a sample of at most ``train_rows`` rows.
+
+    The sample takes the rows with the smallest hashes, so it is the same at every run. Null, empty and blank texts vote bad;
+    repeated rows count one by one and, if they repeat the id too, are sampled together; ids may be missing; ties go by the text. An empty table gives a scorer
+    that knows nothing but the prior. Further columns are ignored.
+    """
     patterns = count_patterns(docs, labellers)
     prior, tables = expectation_maximisation(patterns, len(labellers))
-    keep_one_in = max(1, -(-int(patterns["n"].sum()) // train_rows))
+    rows, parts = int(patterns["n"].sum()), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(votes_of(text, labellers), features(text).astype(np.float32).tobytes()) for text in batch["text"]]
-            yield pd.DataFrame(rows, columns=["votes", "features"])
-
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(keep_one_in)) == 0).select("text")
-    got = chosen.mapInPandas(sample, "votes string, features binary").limit(2 * train_rows).toPandas()
+            out = [(votes_of(text, labellers), features(text).astype(np.float32).tobytes()) for text in batch["text"]]
+            yield pd.DataFrame(out, columns=["votes", "features"])
+
+    # about twice as many as needed by a bound on the hash, then the smallest of them
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
+    bound = min((1 << 63) - 1, int(2.0 * train_rows / max(rows, 1) * (1 << 64)) - (1 << 63))
+    chosen = hashed.filter(F.col("h") <= F.lit(bound)).orderBy("h", "text").limit(train_rows)
+    got = chosen.select("text").repartition(parts).mapInPandas(sample, "votes string, features binary").orderBy("votes", "features").toPandas()
     x = np.frombuffer(b"".join(got["features"]), dtype=np.float32).reshape(len(got), BUCKETS)
     votes = np.array([["-0+".index(c) for c in v] for v in got["votes"]], dtype=int).reshape(-1, len(labellers))
     weights = fit_scorer(x, posterior(votes, prior, tables))
@@ -172,7 +180,8 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, labellers=LABELLERS) ->
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score (chance of good, by the scorer) and kept (score of a half or more) for every row.
 
-    Texts without words score 0. Every row is judged by itself; an empty table gives an empty result.
+    Null texts and texts without words score 0. Every row is judged by itself, so repeated rows get equal scores and ids
+    may be missing or repeat; an empty table gives an empty result; further columns, whatever their names, are ignored.
     """
     ship(docs.sparkSession)
     weights = model["weights"]

@@ -1,8 +1,8 @@
 """Quality rules in a short-circuit cascade.
 
-A first pass over a sample of the rows times every rule and counts what it rejects; the rules then run in the
-order of rejections per second, and a text meets a rule only if all rules before it let it pass. The order changes the
-cost alone: the verdict is that of all rules together.
+A first pass over a sample of the rows that pass the base rule times every rule, on top of the figures that each text has
+anyway, and counts what it rejects; the rules then run in the order of rejections per second, and a text meets a rule
+only if all rules before it let it pass. The order changes the cost alone: the verdict is that of all rules together.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ from tidemark.llm.common import map_carried, ship
 
 #: Rows that the cost estimate looks at, about.
 SAMPLE_ROWS = 2000
+#: Words of a window that counts as repeated; a power of two.
+WINDOW = 8
 _BLANKS, _SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -32,27 +35,33 @@ class Text:
         self.raw = self.text.encode("utf-8", "surrogatepass")
         self.words = self.raw.split()  # bytes split at exactly the blanks \x09-\x0D and \x20
         self.n_words = len(self.words)
-        self._ids = None
 
-    @property
+    @cached_property
     def ids(self) -> np.ndarray:
-        if self._ids is None:
-            seen: dict[bytes, int] = {}
-            self._ids = np.fromiter((seen.setdefault(w, len(seen)) for w in self.words), dtype=np.int64, count=self.n_words)
-        return self._ids
+        seen: dict[bytes, int] = {}
+        return np.fromiter((seen.setdefault(w, len(seen)) for w in self.words), dtype=np.int64, count=self.n_words)
 
+    @cached_property
+    def lines(self) -> list[bytes]:
+        """Lines with a word."""
+        return [line for line in self.raw.split(b"\n") if line.strip()]
+
+    @cached_property
     def word_chars(self) -> int:
         return len(self.text) - sum(self.text.count(c) for c in _BLANKS)
 
+    @cached_property
     def n_symbols(self) -> int:
         return sum(self.raw.count(c.encode()) for c in _SYMBOLS)
 
+    @cached_property
     def n_dup_lines(self) -> int:
-        lines = [line for line in self.raw.split(b"\n") if line.strip()]
-        return len(lines) - len(set(lines))
+        return len(self.lines) - len(set(self.lines))
 
-    def n_repeat_words(self, width: int = 8) -> int:
-        """Words inside windows of ``width`` words (a power of two) that the text holds twice or more."""
+    @cached_property
+    def n_repeat_words(self) -> int:
+        """Words inside windows of ``WINDOW`` words that the text holds twice or more."""
+        width = WINDOW
         if self.n_words <= width:
             return 0
         names, reach = self.ids, 1
@@ -71,14 +80,12 @@ class Text:
 
 
 def too_many_symbols(t: Text) -> bool:
-    return 10 * t.n_symbols() > 3 * t.n_words
+    return 10 * t.n_symbols > 3 * t.n_words
 
 
 def repeated_lines(t: Text) -> bool:
     """More than half of the lines, and four at least, repeat an earlier one."""
-    lines = [line for line in t.raw.split(b"\n") if line.strip()]
-    again = len(lines) - len(set(lines))
-    return again >= 4 and 2 * again > len(lines)
+    return t.n_dup_lines >= 4 and 2 * t.n_dup_lines > len(t.lines)
 
 
 def stuttering(t: Text) -> bool:
@@ -87,7 +94,7 @@ def stuttering(t: Text) -> bool:
 
 
 def odd_word_length(t: Text) -> bool:
-    return not 2 * t.n_words <= t.word_chars() <= 15 * t.n_words
+    return not 2 * t.n_words <= t.word_chars <= 15 * t.n_words
 
 
 def shouting(t: Text) -> bool:
@@ -112,35 +119,42 @@ def one_word(t: Text) -> bool:
 
 def cut_off_lines(t: Text) -> bool:
     """More than three lines in ten end in an ellipsis."""
-    lines = [line.rstrip() for line in t.raw.split(b"\n") if line.strip()]
-    return 10 * sum(line.endswith((b"...", "…".encode())) for line in lines) > 3 * len(lines)
+    return 10 * sum(line.rstrip().endswith((b"...", "…".encode())) for line in t.lines) > 3 * len(t.lines)
 
 
 RULES: dict[str, Callable[[Text], bool]] = {f.__name__: f for f in (too_many_symbols, repeated_lines, odd_word_length, shouting, few_letters, one_word, stuttering, cut_off_lines)}
 
 
-def base_failed(t: Text, repeats: int) -> bool:
-    return t.n_words < 20 or 100 * repeats > 30 * t.n_words
+def figures(t: Text) -> tuple:
+    """What every text is asked, whatever its fate; the last one is whether the base rule fails."""
+    return t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, t.n_words < 20 or 100 * t.n_repeat_words > 30 * t.n_words
 
 
 def estimate(docs: DataFrame, rules: dict[str, Callable] = RULES, sample_rows: int = SAMPLE_ROWS) -> pd.DataFrame:
-    """Per rule: rows tried, rows rejected and seconds, over a hashed sample of about ``sample_rows`` rows."""
+    """Per rule: rows tried, rows rejected and seconds, over the rows of a hashed sample of about ``sample_rows`` that pass the base rule.
+
+    A rule's cost is what it adds to the base figures. What several rules share is charged to the first one, so the first
+    rule changes from row to row.
+    """
     ship(docs.sparkSession)
     keep_one_in = max(1, docs.count() // sample_rows)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seconds, rejected, rows = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0
+        seconds, rejected, rows, names = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0, list(rules)
         for batch in batches:
             for text in batch["text"]:
+                t = Text(text)
+                if figures(t)[-1]:
+                    continue
                 rows += 1
-                for name, rule in rules.items():
-                    t = Text(text)
+                for name in names[rows % len(names) :] + names[: rows % len(names)]:
+                    rule = rules[name]
                     began = time.perf_counter()
                     rejected[name] += bool(rule(t))
                     seconds[name] += time.perf_counter() - began
         yield pd.DataFrame({"rule": list(rules), "tried": rows, "rejected": list(rejected.values()), "seconds": list(seconds.values())})
 
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(keep_one_in)) == 0).select("text")
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(keep_one_in)) == 0).select("text")
     sums = sample.mapInPandas(measure, "rule string, tried long, rejected long, seconds double").groupBy("rule")
     return sums.agg(*[F.sum(c).alias(c) for c in ("tried", "rejected", "seconds")]).toPandas()  # a row per rule
 
@@ -166,10 +180,8 @@ def judge(docs: DataFrame, order: list[str] | None = None, rules: dict[str, Call
 
     def decide(text: str | None) -> tuple:
         t = Text(text)
-        repeats = t.n_repeat_words()
-        failed = base_failed(t, repeats)
-        kept = not failed and not any(rule(t) for rule in cascade)
-        return t.n_words, t.word_chars(), t.n_symbols(), t.n_dup_lines(), repeats, failed, kept
+        known = figures(t)
+        return *known, not known[-1] and not any(rule(t) for rule in cascade)
 
     result = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
     return map_carried(docs, ["doc_id"], ["text"], lambda: lambda texts: (None, list(zip(*map(decide, texts), strict=True)) or [[]] * 7), result)
