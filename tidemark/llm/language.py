@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_carried, ship
+from tidemark.llm.common import drop_shared, map_carried, materialize, ship
 
 BUCKETS = 1 << 13
 #: A trigram counts for a tenth of its log-odds, since neighbours overlap; score margin below which a row is ambiguous.
 DAMPING, MARGIN = 0.1, 0.2
+#: Languages learned at most.
+MOST_LANGS = 200
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -52,25 +54,40 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
     return best[:, np.abs(best.sum(axis=0)) < n]  # a bit that all share says nothing
 
 
-def fit(labelled: DataFrame) -> dict:
-    """Train on all rows of (text, lang) with a language and a letter; no rows give a model that predicts ``und`` only."""
+def fit(labelled: DataFrame, most_langs: int = MOST_LANGS) -> dict:
+    """Train on all rows of (text, lang) with a language and a letter; no rows give a model that predicts ``und`` only.
+
+    The ``most_langs`` languages with most trigrams are learned (ties by name), which bounds the model: what reaches the
+    driver is as many rows as languages times ``BUCKETS``. Tasks hand on their counts before they hold more languages than that.
+    Nulls in either column are left out, repeated rows count one by one, further columns are ignored.
+    """
     ship(labelled.sparkSession)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
+
+        def flush() -> Iterator[pd.DataFrame]:
+            for lang, c in sums.items():
+                at = np.flatnonzero(c)
+                yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "n": c[at].astype(np.int64)})
+            sums.clear()
+
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 if (c := trigram_counts(text)) is not None:
                     if lang in sums:
                         sums[lang] += c
-                    else:
-                        sums[lang] = c
-        for lang, c in sums.items():
-            at = np.flatnonzero(c)
-            yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "n": c[at].astype(np.int64)})
+                        continue
+                    if len(sums) >= most_langs:
+                        yield from flush()
+                    sums[lang] = c
+        yield from flush()
 
     counted = labelled.select("text", "lang").filter("text is not null and lang is not null").mapInPandas(count, "lang string, bucket int, n long")
-    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    table = materialize(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+    learned = table.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.col("all").desc(), "lang").limit(most_langs).select("lang")
+    rows = table.join(F.broadcast(learned), "lang").toPandas()
+    drop_shared(table)
     langs = sorted(rows["lang"].unique())
     counts = np.zeros((len(langs), BUCKETS))
     if langs:
