@@ -1,7 +1,8 @@
 """Five stages from raw documents to packed sequences; each works on what its predecessor kept, and as a table of its own.
 
 A stage gets (spark, docs, sf_dir) and returns a DataFrame with the columns of ``documents``; the last one returns pieces.
-Stages decide row by row: a doc_id may be null or repeat, with one text or several.
+Stages decide row by row: a doc_id may be null or repeat, with one text or several. Further columns, whatever their
+names, are passed on as they are; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -10,38 +11,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language, minhash, mixing, packing
-from tidemark.llm.common import materialize, row_keyed
+from tidemark.llm.common import fresh, materialize, row_keyed
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; those without a letter, and near ties between languages, go."""
+    """Documents in a language that can be told; those without a letter (null and empty texts too), and near ties between languages, go.
+
+    Rows are judged one by one, so repeated rows stay or go together.
+    """
     model = language.fit(language.training_rows(docs))
     return language.accepted(docs, model)
 
 
-def _without(keyed: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    return keyed.join(materialize(dropped.select("_row"), name), "_row", "left_anti").drop("_row")
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, in a column whose name the documents do not have."""
+    key = fresh(docs, "_row")
+    return row_keyed(docs, name, key), key
+
+
+def _without(keyed: DataFrame, key: str, dropped: DataFrame, name: str) -> DataFrame:
+    return keyed.join(materialize(dropped.select(key), name), key, "left_anti").drop(key)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
-    keyed = row_keyed(docs, "exact-rows")
-    return _without(keyed, exact_dedup.exact_dedup(keyed, carry=["_row"]).filter(~F.col("kept")), "exact-dropped")
+    """One row of each group of equal texts (null, empty and blank ones are equal): the longest original, then the smallest doc_id, a missing one last."""
+    keyed, key = _keyed(docs, "exact-rows")
+    return _without(keyed, key, exact_dedup.exact_dedup(keyed, carry=[key]).filter(~F.col("kept")), "exact-dropped")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group linked by a similarity of 0.8 or more on five-word shingles, that of the smallest doc_id; wordless texts stay."""
-    keyed = row_keyed(docs, "near-rows")
-    found = minhash.near_rows(keyed, width=5, percent=80)
+    """One row of each group linked by a similarity of 0.8 or more on five-word shingles, that of the smallest doc_id, a missing one last; wordless texts stay."""
+    keyed, key = _keyed(docs, "near-rows")
+    found = minhash.near_rows(keyed.select(F.col(key).alias("_row"), "doc_id", "text"), width=5, percent=80)
     linked = materialize(found.filter("shared").select(F.col("group_row").alias("_group"), "_row", "doc_id"), "near-linked")
     best = linked.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("best"))
-    return _without(keyed, linked.join(best, "_group").filter("_row <> best._row"), "near-dropped")
+    return _without(keyed, key, linked.join(best, "_group").filter("_row <> best._row").select(F.col("_row").alias(key)), "near-dropped")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them."""
-    keyed = row_keyed(docs, "mix-rows")
-    return mixing.repeated(keyed, mixing.mix(keyed, carry=["_row"]), by="_row").drop("_row")
+    """Rows as often as the mix takes them, those without an id too; rows without words are only part of whole copies of their source."""
+    keyed, key = _keyed(docs, "mix-rows")
+    return mixing.repeated(keyed, mixing.mix(keyed, carry=[key]), by=key).drop(key)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
