@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import consolidated as con
 from tidemark.operators import series as ser
 from tidemark.plans.bed import Bed
 from tidemark.plans.registry import CARRIED, HI, LO, START
@@ -11,16 +12,36 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_operating_balances_shuffle_once(spark, sf_dir):
-    b = Bed(spark, sf_dir)
+def literal(spark, b):
+    """The inputs of the flagship operators without what makes the test bed."""
     rows = b.closing.select("id_operation", "rubro", "date", *CARRIED, "amount_mo", "amount_mn")
-    table = spark.createDataFrame(rows.limit(5).collect(), rows.schema)  # without what makes the test bed
-    calendar = spark.createDataFrame(b.calendar.collect(), b.calendar.schema)
+    table = spark.createDataFrame(rows.limit(5).collect(), rows.schema)
+    return table, spark.createDataFrame(b.calendar.collect(), b.calendar.schema)
+
+
+def test_operating_balances_deal_rows_once(spark, sf_dir):
+    table, calendar = literal(spark, Bed(spark, sf_dir))
     text = plan(ser.operating_balances(table, calendar, LO, HI, START))
-    assert text.count("Exchange hashpartitioning(id_operation") == 1
+    assert text.count("Exchange hashpartitioning(") - text.count("Exchange hashpartitioning(cod_calendar") == 2  # of rows that are combined before, and of their copies
     assert "SortMergeJoin" not in text and "CartesianProduct" not in text and "Python" not in text
 
 
+def test_consolidated_table_deals_rows_once(spark, sf_dir):
+    b = Bed(spark, sf_dir)
+    _, calendar = literal(spark, b)
+    rows = b.sdc.select("date", *con.LONG, *con.MEASURES)
+    table = spark.createDataFrame(rows.limit(5).collect(), rows.schema)
+    text = plan(con.daily_consolidated(table, calendar, HI, 400))
+    assert text.count("Exchange hashpartitioning(company") == 1 and "SortMergeJoin" not in text and "CartesianProduct" not in text and "Python" not in text
+
+
+def test_closing_balances_read_their_source_once(spark, sf_dir):
+    b = Bed(spark, sf_dir)
+    _, calendar = literal(spark, b)
+    rows = b.raw.withColumnRenamed("ship", "date").drop("id_operation", "id_balance", "id_cross")
+    assert plan(ser.closing_balances(rows, calendar, START, HI)).count("FileScan parquet") == 2  # lines and orders
+
+
 def test_series_queries_use_no_python(spark, sf_dir):
     from __spark_entry__ import registry
 

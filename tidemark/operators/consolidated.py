@@ -119,9 +119,73 @@ def daily_consolidated(rows: DataFrame, calendar: DataFrame, day: date, days: in
     """The whole table of the ``days`` up to ``day`` and the days carried on, from rows of 30 days more."""
     read_from, write_from = consolidated_window(day, days)
     base = rows.filter(F.col("date").between(F.lit(read_from), F.lit(day)))
-    base = base.unionByName(copy_non_business(base, calendar, read_from, day)).unionByName(project_forward(base, calendar, day))
-    base = base.groupBy("date", *LONG).agg(*[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])
-    filled = fill_all(base, calendar, day, chained)
-    figures = averages(monthly_change(filled), exact=exact)
-    written = materialize(figures.filter(F.col("date") >= F.lit(write_from)), "consolidated")
-    return written.unionByName(copy_non_business(written, calendar, write_from, day, LONG))
+    if not chained:
+        base = base.unionByName(copy_non_business(base, calendar, read_from, day)).unionByName(project_forward(base, calendar, day))
+        base = base.groupBy("date", *LONG).agg(*[F.sum(m).cast(MONEY).alias(m) for m in MEASURES])
+        figures = averages(monthly_change(fill_all(base, calendar, day, chained=False)), exact=exact)
+        written = materialize(figures.filter(F.col("date") >= F.lit(write_from)), "consolidated")
+        return written.unionByName(copy_non_business(written, calendar, write_from, day, LONG))
+    complete = _complete(base, calendar, read_from, day)
+    # figures by windows within a long key: the value at the end of the month before, and the mean of the month so far
+    number = F.year("date") * 12 + F.month("date")
+    before = Window.partitionBy(*LONG).orderBy("_number").rangeBetween(-1, -1)
+    ends = [F.sum(F.when(F.col("date") == F.last_day("date"), F.col(m))).over(before).alias(f"_{m}") for m in MEASURES]
+    changed = complete.withColumn("_number", number).select("*", *ends)
+    base_of = lambda m: F.when(F.month("date") == 1, 0).otherwise(F.coalesce(F.col(f"_{m}"), F.lit(0)))
+    changed = changed.select("date", *LONG, *MEASURES, *[(F.col(m) - base_of(m)).cast(MONEY).alias(f"change_{m}") for m in MEASURES])
+    written = averages(changed, exact=exact).filter(F.col("date") >= F.lit(write_from))
+    # copies of computed rows, where the long key has none that day
+    copied = _spread(written, business_day_asof(calendar, inclusive=False).filter((F.col("is_business") == "N") & F.col("day").between(F.lit(write_from), F.lit(day))).select("origin", "day"))
+    return _own_first(copied, LONG)
+
+
+def _spread(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows on their own date (``_own``) and on every ``day`` whose ``origin`` it is; a row a day, so the map may be broadcast."""
+    extra = days.filter(F.col("origin").isNotNull()).groupBy(F.col("origin").alias("date")).agg(F.collect_list("day").alias("_days"))
+    joined = rows.join(F.broadcast(extra), "date", "left")
+    all_days = F.concat(F.array(F.struct(F.col("date").alias("day"), F.lit(True).alias("own"))), F.transform(F.coalesce("_days", F.array().cast("array<date>")), lambda d: F.struct(d.alias("day"), F.lit(False).alias("own"))))
+    grown = joined.select(*[c for c in rows.columns if c != "date"], F.explode(all_days).alias("_d"))
+    return grown.select(F.col("_d.day").alias("date"), *[c for c in rows.columns if c != "date"], F.col("_d.own").alias("_own"))
+
+
+def _own_first(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a key and day that are its own; copies only where there is none."""
+    own = F.max("_own").over(Window.partitionBy(*keys, "date"))
+    return rows.withColumn("_any", own).filter("_own or not _any").drop("_own", "_any")
+
+
+def _complete(base: DataFrame, calendar: DataFrame, read_from: date, day: date) -> DataFrame:
+    """The base with copies, projection and the three chained fills, after one shuffle by short key.
+
+    A long key has rows in the months of its base rows, and in the business days of the month after one that it ended with a
+    balance. In a month of its own it has its base days and all business days; the representative of a short key's last
+    day goes on to the month's end. So the days of a long key's month are one set, told by the short key's last day.
+    """
+    upcoming = next_business_day(calendar).filter(F.col("day") == F.lit(day)).select("next_business")
+    ahead = calendar.crossJoin(F.broadcast(upcoming)).filter((F.col("day") > F.lit(day)) & (F.col("day") < F.col("next_business"))).select(F.lit(day).alias("origin"), "day")  # one row
+    holidays = business_day_asof(calendar, inclusive=False).filter((F.col("is_business") == "N") & F.col("day").between(F.lit(read_from), F.lit(day))).select("origin", "day")
+    spread = _spread(base.select("date", *LONG, *MEASURES), holidays.unionByName(ahead)).repartition(*SHORT)
+    # days ahead of the processing day take copies whatever there is; before it, own rows of the short key come first
+    own = F.max("_own").over(Window.partitionBy(*SHORT, "date"))
+    daily = spread.withColumn("_any", own).filter((F.col("date") > F.lit(day)) | F.col("_own") | ~F.col("_any"))
+    daily = daily.groupBy(*LONG, "date").agg(*[F.sum(m).cast(MONEY).alias(m) for m in MEASURES]).withColumn("_month", _month())
+    of_short = Window.partitionBy(*SHORT, "_month")
+    attributes = F.struct(*ATTRIBUTES)
+    daily = daily.withColumn("_last", F.max(F.when(F.col("rubro") != "0", F.col("date"))).over(of_short))
+    daily = daily.withColumn("_chosen", F.min(F.when(F.col("date") == F.col("_last"), attributes)).over(of_short))
+    ended = F.max(F.when((F.col("date") == F.last_day("date")) & (F.col("mo") != 0), F.lit(True)))
+    months = daily.groupBy(*LONG, "_month").agg(F.map_from_entries(F.collect_list(F.struct("date", F.struct(*MEASURES)))).alias("_there"), F.max("_last").alias("_last"),
+                                                F.max(F.col("_chosen") == attributes).alias("_chosen"), ended.alias("_ended"))
+    following = F.lead("_month").over(Window.partitionBy(*LONG).orderBy("_month"))
+    carried = F.coalesce(F.col("_ended"), F.lit(False)) & ~F.coalesce(following == F.add_months("_month", 1), F.lit(False))
+    business = calendar.filter((F.col("is_business") == "S") & (F.col("day") <= F.lit(day))).groupBy(_month("day").alias("_month")).agg(F.collect_list("day").alias("_business"))
+    last = business.select(F.add_months("_month", -1).alias("_month"), F.col("_business").alias("_coming"))
+    months = months.withColumn("_carried", carried).join(F.broadcast(business), "_month", "left").join(F.broadcast(last), "_month", "left")  # a row a month
+    none = F.array().cast("array<date>")
+    end = F.least(F.last_day("_month"), F.lit(day))
+    tail = F.when(F.col("_chosen") & (F.col("_last") < end), F.sequence(F.date_add("_last", 1), end))
+    days = F.array_union(F.array_union(F.map_keys("_there"), F.coalesce("_business", none)), F.coalesce(tail, none))
+    days = F.concat(days, F.when(F.col("_carried"), F.coalesce("_coming", none)).otherwise(none))
+    grown = months.select(*LONG, "_there", F.explode(days).alias("date"))
+    found = F.element_at("_there", F.col("date"))
+    return grown.select("date", *LONG, *[F.coalesce(found[m], F.lit(0)).cast(MONEY).alias(m) for m in MEASURES])

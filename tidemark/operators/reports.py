@@ -38,47 +38,71 @@ def _detail(rows: DataFrame, chart: DataFrame) -> DataFrame:
     return rows.join(chart, rows.rubro == chart.code).drop("code").withColumn("account_currency", F.substring("rubro", 3, 1))
 
 
-def _levelled(rows: DataFrame, one: str, two: Column, three: Column, sign: int = 1) -> DataFrame:
-    amounts = [(F.col(a) * sign).cast("decimal(18,2)").alias(a) for a in AMOUNTS]
-    return rows.select("date", F.lit(one).alias("level_1"), two.alias("level_2"), three.alias("level_3"), "rubro", "currency", "account_currency", *amounts)
+def _any(conditions) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _level(one: str, two: str | Column, three: Column, sign: int = 1) -> Column:
+    """Levels and sign of a row, null where the third level has no name."""
+    two = F.lit(two) if isinstance(two, str) else two
+    return F.when(three.isNotNull(), F.struct(F.lit(one).alias("level_1"), two.alias("level_2"), three.alias("level_3"), F.lit(sign).alias("sign")))
+
+
+def _loans() -> Column:
+    """By the column loan_module and the group; asset balances change sign."""
+    names = {name: (F.col("loan_module") == module) & F.col("grp").isin(*groups) for (module, groups), name in LOAN_GROUPS.items()}
+    names |= {name: F.col("loan_module").isin(*[m for m, n in LOANS.items() if n == name]) for name in dict.fromkeys(LOANS.values())}
+    return _level("CARTERA", "CARTERA", F.when(_any(_matches(p) for p in LOAN_STATES), _first(names)), sign=-1)
+
+
+def _deposits() -> Column:
+    names = _first({name: _any(_matches(p) for p in patterns) for name, patterns in DEPOSITS.items()})
+    return _level("PRODUCTOS PASIVOS", F.when(F.col("dig2") == "21", PUBLIC).otherwise(FINANCIAL), names)
+
+
+def _borrowings() -> Column:
+    return _level("ADEUDADOS", "ADEUDADOS", _first({n: _matches(p) for n, p in BORROWINGS.items()}))
+
+
+def _repos() -> Column:
+    """By full code; other codes of the family have no name but stay."""
+    names = _first({n: F.col("rubro").isin(*codes) for n, codes in REPOS.items()})
+    named = F.struct(F.lit("REPOS").alias("level_1"), F.lit("REPOS").alias("level_2"), names.alias("level_3"), F.lit(1).alias("sign"))
+    return F.when(_matches("25_4110101"), named)
+
+
+def _with_modules(rows: DataFrame, modules: DataFrame) -> DataFrame:
+    """Add loan_module: the modules of loan accounts (module, rubro) in the chart of products, a row for each."""
+    return rows.join(modules.filter(F.col("rubro").startswith("14")).select(F.col("module").alias("loan_module"), "rubro").distinct(), "rubro", "left")
+
+
+def _levelled(rows: DataFrame, levels: Column) -> DataFrame:
+    amounts = [(F.col(a) * F.col("_level.sign")).cast("decimal(18,2)").alias(a) for a in AMOUNTS]
+    return rows.withColumn("_level", levels).filter("_level is not null").select("date", "_level.level_1", "_level.level_2", "_level.level_3", "rubro", "currency", "account_currency", *amounts)
 
 
 def report_loans(rows: DataFrame, chart: DataFrame, modules: DataFrame) -> DataFrame:
     """Loans by module (module, rubro) and group; asset balances change sign."""
-    names = {}
-    joined = _detail(rows.drop("module"), chart).join(modules.filter(F.col("rubro").startswith("14")).select("module", "rubro").distinct(), "rubro")
-    for (module, groups), name in LOAN_GROUPS.items():
-        names[name] = (F.col("module") == module) & F.col("grp").isin(*groups)
-    for name in dict.fromkeys(LOANS.values()):
-        names[name] = F.col("module").isin(*[m for m, n in LOANS.items() if n == name])
-    named = joined.withColumn("_name", _first(names)).filter(F.col("_name").isNotNull())
-    state = reduce(lambda a, b: a | b, [_matches(p) for p in LOAN_STATES])
-    return _levelled(named.filter(state), "CARTERA", F.lit("CARTERA"), F.col("_name"), sign=-1)
+    return _levelled(_with_modules(_detail(rows, chart), modules), _loans())
 
 
 def report_deposits(rows: DataFrame, chart: DataFrame) -> DataFrame:
-    cases = {name: reduce(lambda a, b: a | b, [_matches(p) for p in patterns]) for name, patterns in DEPOSITS.items()}
-    named = _detail(rows, chart).withColumn("_name", _first(cases)).filter(F.col("_name").isNotNull())
-    two = F.when(F.col("dig2") == "21", PUBLIC).otherwise(FINANCIAL)
-    return _levelled(named, "PRODUCTOS PASIVOS", two, F.col("_name"))
+    return _levelled(_detail(rows, chart), _deposits())
 
 
 def report_borrowings(rows: DataFrame, chart: DataFrame) -> DataFrame:
-    named = _detail(rows, chart).withColumn("_name", _first({n: _matches(p) for n, p in BORROWINGS.items()})).filter(F.col("_name").isNotNull())
-    return _levelled(named, "ADEUDADOS", F.lit("ADEUDADOS"), F.col("_name"))
+    return _levelled(_detail(rows, chart), _borrowings())
 
 
 def report_repos(rows: DataFrame, chart: DataFrame) -> DataFrame:
     """Repos by full code; other codes of the family have no name but stay."""
-    named = _detail(rows, chart).filter(_matches("25_4110101"))
-    return _levelled(named, "REPOS", F.lit("REPOS"), _first({n: F.col("rubro").isin(*codes) for n, codes in REPOS.items()}))
+    return _levelled(_detail(rows, chart), _repos())
 
 
 def report_product_detail(rows: DataFrame, chart: DataFrame, modules: DataFrame, start) -> DataFrame:
-    """Loans, deposits, borrowings and repos from ``start`` (a date) on."""
-    recent = rows.filter(F.col("date") >= start)
-    parts = [report_loans(recent, chart, modules), report_deposits(recent, chart), report_borrowings(recent, chart), report_repos(recent, chart)]
-    return reduce(DataFrame.unionByName, parts)
+    """Loans, deposits, borrowings and repos from ``start`` (a date) on, in one pass: their account patterns exclude each other."""
+    recent = _with_modules(_detail(rows.filter(F.col("date") >= start), chart), modules)
+    return _levelled(recent, F.coalesce(_loans(), _deposits(), _borrowings(), _repos()))
 
 
 def report_fx_position(balance: DataFrame, results: DataFrame) -> DataFrame:

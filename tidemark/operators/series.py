@@ -46,13 +46,16 @@ def fill_month(df: DataFrame, calendar: DataFrame, keys: Sequence[str], end: dat
     The anchor is the last row up to the day, else the first ORIGINAL one after it; days without an anchor get no row.
     ``strict_anchor`` takes ORIGINAL rows alone on either side. ``origin_kind`` of an added row is RELLENO. Keys and days
     must be unique. Every row brings the days up to the next one, and the first row of a month those before it, so
-    one sort within (keys, month) does it and there is no spine to join; the calendar is only looked up.
+    one sort within (keys, month) does it and there is no spine to join; the calendar is only looked up. A column
+    ``_month`` (first day of the date's month) is made use of and kept, so that rows dealt by it need not be dealt again.
     """
-    others = [c for c in df.columns if c not in (*keys, "date", *measures)]
+    others = [c for c in df.columns if c not in (*keys, "date", "_month", *measures)]
+    kept = ["_month"] if "_month" in df.columns else []
     span = Window.partitionBy(*keys, "_month").orderBy("date")
     row = F.struct(*[F.col(c) for c in others])
     original = F.when(F.col("origin_kind") == ORIGINAL, row)
-    rows = df.filter(F.col("date") <= F.lit(end)).withColumn("_month", _month())
+    rows = df.filter(F.col("date") <= F.lit(end))
+    rows = rows if kept else rows.withColumn("_month", _month())
     rows = rows.withColumns({
         "_row": row, "_next": F.lead("date").over(span), "_first": F.row_number().over(span) == 1,
         "_before": F.last(original, ignorenulls=True).over(span.rowsBetween(Window.unboundedPreceding, 0)) if strict_anchor else row,
@@ -68,7 +71,7 @@ def fill_month(df: DataFrame, calendar: DataFrame, keys: Sequence[str], end: dat
     known = F.broadcast(calendar.filter(F.col("day") <= F.lit(end)).select(F.col("day").alias("_day")))  # one row a day
     filled = [F.when(there, F.col(m)).otherwise(F.lit(0)).cast(MONEY).alias(m) for m in measures]
     kind = F.when(there, F.col("origin_kind")).otherwise("RELLENO").alias("origin_kind")
-    return grown.join(known, "_day", "left_semi").select(*keys, F.col("_day").alias("date"), *[F.col(f"_anchor.{c}").alias(c) for c in others if c != "origin_kind"], kind, *filled)
+    return grown.join(known, "_day", "left_semi").select(*keys, *kept, F.col("_day").alias("date"), *[F.col(f"_anchor.{c}").alias(c) for c in others if c != "origin_kind"], kind, *filled)
 
 
 def daily_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -77,13 +80,14 @@ def daily_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) ->
     return sums.withColumns({"day_number": F.dayofmonth("date"), "month_days": F.dayofmonth(F.last_day("date"))})
 
 
-def running_month_average(df: DataFrame, keys: Sequence[str], measures: Sequence[str], zero_override: bool = False, business_only: bool = False, exact: bool = False) -> DataFrame:
+def running_month_average(df: DataFrame, keys: Sequence[str], measures: Sequence[str], zero_override: bool = False, business_only: bool = False, exact: bool = False, month: Column | None = None) -> DataFrame:
     """Add avg_<measure>: the running sum of the month over the day's number.
 
     ``zero_override`` divides by the rows so far instead, and gives 0 where today's value is 0. ``business_only``
     counts days with is_business = 'S' alone. ``exact`` gives doubles, otherwise decimals with four places.
+    ``month`` is a column with the date's month, if there is one.
     """
-    span = Window.partitionBy(*keys, _month()).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    span = Window.partitionBy(*keys, _month() if month is None else month).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     business = F.col("is_business") == "S" if business_only else F.lit(True)
     added = {}
     for m in measures:
@@ -102,17 +106,22 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
     Reads days from ``lo``, completes up to ``hi``, returns days from ``write_from`` on. Attributes of an operation and day are
     those of its latest load, then lowest account code. With ``accounts`` (account, executive) each row gets its executive.
     """
-    # one shuffle: every step below works within an operation
-    daily = propagate_business_days(balances, calendar, lo, hi).repartition("id_operation")
+    if mode not in ("sum", "best"):
+        raise ValueError("mode must be sum or best")
     keys = ["id_operation", "rubro"]
-    single = dedup_day(daily, [*keys, "date"], [F.col("load_seq").desc()], measures, mode)
-    full = fill_month(single, calendar, keys, hi, measures)
+    best = [c for c in balances.columns if c not in (*keys, "date") and (mode == "best" or c not in measures)]
+    sums = [F.sum(m).cast(MONEY).alias(m) for m in measures if mode == "sum"]
+    # rows of a key and day become one before they are shuffled, and before days are copied
+    single = balances.groupBy(*keys, "date").agg(*sums, F.max_by(F.struct(*best), "load_seq").alias("_best")).select(*keys, "date", "_best.*", *(measures if sums else ()))
+    # every step below works within an operation's month, so the copies are dealt once
+    daily = propagate_business_days(single, calendar, lo, hi).withColumn("_month", _month()).repartition("id_operation", "_month")
+    full = fill_month(daily, calendar, keys, hi, measures)
     split = credit_buckets(classify_universe(full), amounts=tuple(measures))
     columns = [*measures, *[c for c in split.columns if any(c.endswith(f"_{m}") for m in measures) and c not in full.columns]]
     picked = F.struct("rubro", "module", "currency", "account", "load_seq", "origin_kind")
     attributes = F.min_by(picked, F.struct(F.negative("load_seq"), "rubro")).alias("_picked")
-    totals = split.groupBy("id_operation", "date").agg(*[F.sum(m).cast(MONEY).alias(m) for m in columns], attributes)
-    averaged = running_month_average(totals, ["id_operation"], columns, exact=exact)
+    totals = split.groupBy("id_operation", "_month", "date").agg(*[F.sum(m).cast(MONEY).alias(m) for m in columns], attributes)
+    averaged = running_month_average(totals, ["id_operation"], columns, exact=exact, month=F.col("_month")).drop("_month")
     averaged = averaged.withColumns({"day_number": F.dayofmonth("date"), "month_days": F.dayofmonth(F.last_day("date"))})
     out = averaged.select("*", "_picked.*").drop("_picked").filter(F.col("date") >= F.lit(write_from))
     return out if accounts is None else out.join(account_executive(accounts), "account", "left")
@@ -121,9 +130,11 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
 def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, hi: date, measures: Sequence[str]) -> DataFrame:
     """Every key on every day of the range: sums of its rows or 0, attributes of its latest row."""
     days = calendar.filter(F.col("day").between(F.lit(lo), F.lit(hi))).select(F.col("day").alias("date"))
-    latest = balances.groupBy(key).agg(F.max_by(F.struct("account", "currency", "module"), F.struct("date", "load_seq")).alias("_last"))
+    # one pass over the balances; the attributes come from what is left of them
+    sums = balances.groupBy(key, "date").agg(*[F.sum(m).alias(m) for m in measures], F.max(F.struct("load_seq", "account", "currency", "module")).alias("_row"))
+    latest = sums.groupBy(key).agg(F.max_by("_row", "date").alias("_last")).select(key, F.struct("_last.account", "_last.currency", "_last.module").alias("_last"))
     grid = latest.crossJoin(F.broadcast(days))  # the range bounds the days
-    sums = balances.groupBy(key, "date").agg(*[F.sum(m).alias(m) for m in measures])
+    sums = sums.drop("_row")
     return grid.join(sums, [key, "date"], "left").select(key, "date", "_last.*", *[F.coalesce(F.col(m), F.lit(0)).cast(MONEY).alias(m) for m in measures])
 
 
@@ -163,16 +174,22 @@ def closed_month(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank")
 
 
+def closing_days(calendar: DataFrame, lo: date, close: date) -> DataFrame:
+    """(origin, day, origin_kind): every day of the window takes its own rows; a day that is no business day takes those of
+    the business day before too; days after ``close`` up to the next business day take those of ``close``."""
+    own = calendar.filter(F.col("day").between(F.lit(lo), F.lit(close))).select(F.col("day").alias("origin"), "day", F.lit(ORIGINAL).alias("origin_kind"))
+    copies = business_day_asof(calendar, inclusive=False).filter((F.col("is_business") == "N") & F.col("day").between(F.lit(lo), F.lit(close)) & F.col("origin").isNotNull())
+    upcoming = next_business_day(calendar).filter(F.col("day") == F.lit(close)).select("next_business")
+    ahead = calendar.crossJoin(F.broadcast(upcoming)).filter((F.col("day") > F.lit(close)) & (F.col("day") < F.col("next_business")))  # one row
+    return own.unionByName(copies.select("origin", "day", F.lit(COPY).alias("origin_kind"))).unionByName(ahead.select(F.lit(close).alias("origin"), "day", F.lit("PROYECTADO").alias("origin_kind")))
+
+
 def closing_balances(ods: DataFrame, calendar: DataFrame, lo: date, close: date) -> DataFrame:
     """Closing table: rows of the window, copies on days that are not business days, and the closing day carried to the next one.
 
     Columns: those of ``ods`` (date and key parts), keys, module_product (the module until it is resolved), origin_kind.
+    One pass: the days that a row goes to are looked up in a small map.
     """
-    rows = ods.filter(F.col("date").between(F.lit(lo), F.lit(close))).withColumn("origin_kind", F.lit(ORIGINAL))
-    copies = business_day_asof(calendar, inclusive=False).filter((F.col("is_business") == "N") & F.col("day").between(F.lit(lo), F.lit(close))).select("day", "origin")
-    copied = ods.join(F.broadcast(copies), F.col("date") == F.col("origin")).drop("date", "origin").withColumnRenamed("day", "date").withColumn("origin_kind", F.lit(COPY))
-    upcoming = next_business_day(calendar).filter(F.col("day") == F.lit(close)).select("next_business")
-    ahead = calendar.crossJoin(F.broadcast(upcoming)).filter((F.col("day") > F.lit(close)) & (F.col("day") < F.col("next_business"))).select("day")
-    carried = ods.filter(F.col("date") == F.lit(close)).crossJoin(F.broadcast(ahead)).drop("date").withColumnRenamed("day", "date").withColumn("origin_kind", F.lit("PROYECTADO"))
-    out = rows.unionByName(copied).unionByName(carried)
-    return operation_keys(out).withColumn("module_product", F.col("module"))
+    days = F.broadcast(closing_days(calendar, lo, close))  # a row or two a day
+    rows = ods.join(days, F.col("date") == F.col("origin")).drop("date", "origin").withColumnRenamed("day", "date")
+    return operation_keys(rows).withColumn("module_product", F.col("module"))

@@ -32,8 +32,8 @@ class Bed:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        ends = self.table("lineitem").agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("z"))
-        days = ends.select(F.explode(F.sequence(F.trunc("a", "YEAR"), F.date_sub(F.add_months(F.trunc("z", "YEAR"), 12), 1))).alias("day"))
+        first, last = self.table("lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()  # read once, not wherever the calendar is used
+        days = self.spark.range(1).select(F.explode(F.sequence(F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last), F.lit(12), F.lit(31)))).alias("day"))
         rest = F.dayofweek("day").isin(1, 7) | F.date_format("day", "MM-dd").isin(*FEASTS)
         return days.select(F.lit(1).alias("cod_calendar"), "day", F.when(rest, "N").otherwise("S").alias("is_business"))
 
