@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_shared, map_carried, materialize, row_keyed
+from tidemark.llm.common import drop_shared, join_small, map_carried, materialize, row_keyed
 from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import among, probably_in
 
@@ -263,9 +263,9 @@ def near_dups(docs: DataFrame, width: int = 5, percent: int = 80, seed: int = 1,
     """
     rows = materialize(near_rows(row_keyed(docs, "minhash-docs", columns=["doc_id", "text"]), width, percent, seed, block), "minhash-rows")
     found = rows.filter("shared")
-    classes = found.groupBy("class_row").agg(F.min("doc_id").alias("class_id"))
-    groups = found.groupBy("group_row").agg(F.min("doc_id").alias("component_id"))
-    named = rows.join(classes, "class_row", "left").join(groups, "group_row", "left")
+    classes = materialize(found.groupBy("class_row").agg(F.min("doc_id").alias("class_id")), "minhash-names")
+    groups = materialize(found.groupBy("group_row").agg(F.min("doc_id").alias("component_id")), "minhash-names")
+    named = join_small(join_small(rows, classes, "class_row"), groups, "group_row")  # else Spark splits what a large group holds
     own = lambda c: F.when(F.col("shared"), F.col(c)).otherwise(F.col("doc_id")).alias(c)
     named = named.select("doc_id", "n_shingles", own("class_id"), own("component_id"))
     return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
