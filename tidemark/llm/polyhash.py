@@ -142,7 +142,7 @@ class Suffixes:
     def verified(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the first ``width`` bytes of each pair are the same, byte by byte."""
         same = np.ones(len(a), dtype=bool)
-        for at in range(0, len(a), 1 << 16):
-            x, y, reach = a[at : at + (1 << 16)], b[at : at + (1 << 16)], np.arange(self.width)
-            same[at : at + (1 << 16)] = (self.data[x[:, None] + reach] == self.data[y[:, None] + reach]).all(axis=1)
+        for at in range(0, len(a), 1 << 13):
+            x, y, reach = a[at : at + (1 << 13)], b[at : at + (1 << 13)], np.arange(self.width)
+            same[at : at + (1 << 13)] = (self.data[x[:, None] + reach] == self.data[y[:, None] + reach]).all(axis=1)
         return same

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import drop_shared, map_carried, materialize, order_keyed, ship
 from tidemark.llm.polyhash import Common, Suffixes, anchors, mixed, prefix_hashes, window_hashes
 
-GRAM, HOT, BUCKET_ROWS = 40, 20_000, 4096
+GRAM, HOT, BUCKET_ROWS = 40, 8192, 4096
 #: Windows of a text hashed at a time.
 STRETCH = 1 << 22
 #: Texts, about, that the search for common anchors looks at, and the share of all runs from which one is common; it bounds their number.
