@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language, minhash, mixing, packing
-from tidemark.llm.common import fresh, materialize, row_keyed
+from tidemark.llm.common import fresh, join_small, materialize, row_keyed
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash.near_rows(keyed.select(F.col(key).alias("_row"), "doc_id", "text"), width=5, percent=80)
     linked = materialize(found.filter("shared").select(F.col("group_row").alias("_group"), "_row", "doc_id"), "near-linked")
     best = linked.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("best"))
-    return _without(keyed, key, linked.join(best, "_group").filter("_row <> best._row").select(F.col("_row").alias(key)), "near-dropped")
+    return _without(keyed, key, join_small(linked, materialize(best, "near-best"), "_group").filter("_row <> best._row").select(F.col("_row").alias(key)), "near-dropped")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
