@@ -1,6 +1,7 @@
 """Banking views of the TPC-H-like tables: the same definitions for Spark (class Bed) and for DuckDB (BED_SQL).
 
-Balances are all lines of all orders. Keys are coarse, so that series have gaps instead of single days.
+Balances are all lines of all orders. Keys are coarse (20 accounts, 3 operations), so that series have gaps instead of
+single days; ``customer`` is the key that grows with the tables.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ class Bed:
         rubro = F.when(F.col("module") == 65, F.concat(F.lit("14"), F.col("currency").cast("string"), loan)).otherwise(F.concat(F.lit("21"), F.col("currency").cast("string"), deposit))
         rows = both.select(
             "ship", F.lit(1).alias("company"), "module", F.lit(1).alias("branch"), "currency", F.lit(0).alias("paper"),
-            (F.col("o_custkey") % 20).cast("int").alias("account"), (F.col("l_suppkey") % 3).cast("int").alias("operation"), F.lit(0).alias("sub_operation"), F.lit(0).alias("operation_type"),
+            (F.col("o_custkey") % 20).cast("int").alias("account"), (F.col("l_suppkey") % 3).cast("int").alias("operation"), F.lit(0).alias("sub_operation"), F.lit(0).alias("operation_type"), F.col("o_custkey").alias("customer"),
             rubro.alias("rubro"), pick("l_partkey", *LEDGER).alias("code"), (F.col("l_partkey") % 31).cast("int").alias("origin_type"),
             F.col("l_extendedprice").cast("decimal(17,2)").alias("amount_mn"), (F.round("l_quantity").cast("int") * 10).cast("decimal(17,2)").alias("amount_mo"),
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("load_seq"),
@@ -137,7 +138,7 @@ WITH RECURSIVE calendar AS (SELECT 1 AS cod_calendar, CAST(d AS DATE) AS day,
     CASE WHEN dayofweek(d) IN (0, 6) OR strftime(d, '%m-%d') IN {FEASTS} THEN 'N' ELSE 'S' END AS is_business
     FROM (SELECT unnest(generate_series(date_trunc('year', (SELECT CAST(min(l_shipdate) AS TIMESTAMP) FROM lineitem)), CAST(make_date(CAST(year((SELECT max(l_shipdate) FROM lineitem)) AS INTEGER), 12, 31) AS TIMESTAMP), INTERVAL 1 DAY)) AS d)),
 lines AS (SELECT CAST(l_shipdate AS DATE) AS ship, 1 AS company, {_pick("l_linenumber", 20, 21, 120, 65)} AS module, 1 AS branch, CAST(1 + l_orderkey % 2 AS INTEGER) AS currency, 0 AS paper,
-    CAST(o_custkey % 20 AS INTEGER) AS account, CAST(l_suppkey % 3 AS INTEGER) AS operation, 0 AS sub_operation, 0 AS operation_type,
+    CAST(o_custkey % 20 AS INTEGER) AS account, CAST(l_suppkey % 3 AS INTEGER) AS operation, 0 AS sub_operation, 0 AS operation_type, o_custkey AS customer,
     {_pick("l_partkey", *LEDGER)} AS code, CAST(l_partkey % 31 AS INTEGER) AS origin_type, CAST(l_extendedprice AS DECIMAL(17,2)) AS amount_mn, CAST(CAST(round(l_quantity) AS INTEGER) * 10 AS DECIMAL(17,2)) AS amount_mo,
     l_orderkey * 8 + l_linenumber AS load_seq, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS title, CASE l_linestatus WHEN 'O' THEN 1 ELSE 2 END AS chapter, l_partkey
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey),

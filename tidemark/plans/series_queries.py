@@ -102,6 +102,9 @@ def _running(base: str, keys: list[str]) -> str:
 add("b7_rubro_average", lambda b: ser.rubro_average(b.closing, [*_ACC, "rubro"], "amount_mn", exact=True), _running(f"SELECT {', '.join(_ACC)}, rubro, date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS amount_mn FROM closing GROUP BY ALL", [*_ACC, "rubro"]))
 _B8 = f"SELECT {', '.join(_ACC)}, date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS amount_mn, count(DISTINCT rubro) AS codes FROM closing GROUP BY ALL"
 add("b8_account_average", lambda b: ser.account_average(b.closing, _ACC, "rubro", "amount_mn", exact=True), _running(_B8, _ACC))
+# The same by a key that grows with the tables.
+_CUSTOMER = ["company", "customer", "currency"]
+add("b8_customer_average", lambda b: ser.account_average(b.closing, _CUSTOMER, "rubro", "amount_mn", exact=True), _running(f"SELECT {', '.join(_CUSTOMER)}, date, CAST(sum(amount_mn) AS DECIMAL(18,2)) AS amount_mn, count(DISTINCT rubro) AS codes FROM closing GROUP BY ALL", _CUSTOMER))
 add("b9_closed_month", lambda b: ser.closed_month(ser.account_average(b.closing, _ACC, "rubro", "amount_mn", exact=True), _ACC), _running(_B8, _ACC) + f" s WHERE date = (SELECT max(x.date) FROM base x WHERE {' AND '.join(f'x.{k} = s.{k}' for k in _ACC)} AND date_trunc('month', x.date) = date_trunc('month', s.date))")
 
 
