@@ -169,7 +169,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, labellers=LABELLERS) ->
     hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
     bound = min((1 << 63) - 1, int(2.0 * train_rows / max(rows, 1) * (1 << 64)) - (1 << 63))
     chosen = hashed.filter(F.col("h") <= F.lit(bound)).orderBy("h", "text").limit(train_rows)
-    got = chosen.select("text").repartition(parts).mapInPandas(sample, "votes string, features binary").orderBy("votes", "features").toPandas()
+    got = chosen.select("text").repartition(parts).mapInPandas(sample, "votes string, features binary").toPandas().sort_values(["votes", "features"])
     x = np.frombuffer(b"".join(got["features"]), dtype=np.float32).reshape(len(got), BUCKETS)
     votes = np.array([["-0+".index(c) for c in v] for v in got["votes"]], dtype=int).reshape(-1, len(labellers))
     weights = fit_scorer(x, posterior(votes, prior, tables))
