@@ -235,7 +235,7 @@ def test_repair_of_odd_tables(spark):
     assert got[BIG + 1].audit == "D" and got[BIG + 1].blank == 1 and got[BIG + 1].repaired_sha256 == hashlib.sha256(b"").hexdigest() and got[BIG + 3].audit == "D"
     assert conversations.repair(table.limit(0)).count() == 0 and conversations.repair(conversations.damage(table.limit(0)), "present").count() == 0
     con = duckdb.connect()
-    frame = table.select("conv_id", "turn", "role", "text").filter("conv_id is null or conv_id <> 3").toPandas().astype({"conv_id": "Int64", "turn": "Int64"})  # noqa: F841
+    frame = table.select("conv_id", "turn", "role", "text").filter("conv_id is null or conv_id <> 3").toArrow()  # noqa: F841
     con.execute("CREATE VIEW conversations AS SELECT * FROM frame")
     damaged = conversations.repair(conversations.damage(table.filter("conv_id is null or conv_id <> 3")), "present")
     assert rows_of(damaged.toPandas()) == rows_of(con.execute(conversations.OP13_SQL).df())
