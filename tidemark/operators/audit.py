@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.calendar import latest_before
+from tidemark.operators.quality import apply_expectations, observe_expectations
+from tidemark.sources.dated import Conflict, DatedTable
+from tidemark.tables import observed
+
+LOG = "table_name string, batch_id string, state string, n_rows long, seconds double, message string, broken map<string, long>"
+
 
 def audit_rows(df: DataFrame, table: str, batch: str, seconds: int, error: str | None = None) -> DataFrame:
     """One log row for a load of ``df``: state by its rows or error, the error cut to 4000 characters."""
@@ -15,6 +24,30 @@ def audit_rows(df: DataFrame, table: str, batch: str, seconds: int, error: str |
     return df.agg(F.count("*").alias("n_rows")).select(F.lit(table).alias("table_name"), F.lit(batch).alias("batch_id"), state.alias("state"), "n_rows", F.lit(seconds).alias("seconds"), F.lit((error or "")[:4000] or None).cast("string").alias("message"))
 
 
+def load_audited(store: DatedTable, rows: DataFrame, table: str, batch: str, rules: dict[str, tuple[Column, str]] | None = None) -> DataFrame:
+    """Replace the content of ``store`` by ``rows`` and return the log row of this load, all figures from the pass that writes.
+
+    Rules (condition, severity) are counted on the rows as they come; ``drop`` rules remove rows and ``fail`` rules stop the load. Without rows nothing is committed and the state is SIN_DATOS;
+    an error or another writer leaves the store as it was, and its text is cut to 4000 characters.
+    """
+    rules, began = rules or {}, time.monotonic()
+    seen = store.version()
+    watched, told = observe_expectations(rows, rules)
+    written, kept = observe_expectations(apply_expectations(watched, rules), {})
+    state, error, figures, n = "TERMINADO", None, {}, 0
+    try:
+        added = store.write(written)
+        figures, n = observed(told), observed(kept).get("n_rows", 0)
+        if n:
+            store.commit(seen, lambda listed: listed, added, f"load {batch}")
+        else:
+            state = "SIN_DATOS"
+    except (PySparkException, Conflict) as problem:
+        state, error, figures, n = "ERROR", str(problem)[:4000], {}, 0
+    broken = {name: int(figures.get(f"rule_{name}") or 0) for name in rules} if state != "ERROR" else None
+    return rows.sparkSession.createDataFrame([(table, batch, state, int(n), time.monotonic() - began, error, broken)], LOG)
+
+
 def latest_batch(extracted: DataFrame, loaded: DataFrame) -> DataFrame:
     """Tables of the latest batch extracted, with rows extracted and loaded (null where nothing was loaded)."""
     last = extracted.agg(F.max("batch_id").alias("batch_id"))
@@ -95,13 +128,10 @@ def reconcile_catalog(a: DataFrame, b: DataFrame, key: str, attribute: str) -> D
 def scaling_curve(runs: DataFrame, marks: DataFrame, group: Sequence[str] = ("table_name",)) -> DataFrame:
     """Rows per second of each run (run, n_rows, seconds, at), the cores of the latest mark (at, cores) up to it, and efficiency.
 
-    Efficiency is the speed against that of the group's first run, scaled by cores.
+    Efficiency is the speed against that of the group's first run with known cores, scaled by cores.
     """
-    kinds = F.lit(None).cast(marks.schema["cores"].dataType)
-    both = runs.withColumns({"cores": kinds, "_run": F.lit(1)}).unionByName(marks.withColumn("_run", F.lit(0)), allowMissingColumns=True)
-    line = Window.partitionBy(*group).orderBy("at", "_run").rowsBetween(Window.unboundedPreceding, 0)
-    held = both.withColumn("cores", F.last("cores", ignorenulls=True).over(line)).filter("_run = 1").drop("_run")
+    held = latest_before(runs, marks, group, "at", "cores")
     speed = held.withColumn("speed", F.try_divide(F.col("n_rows").cast("double"), F.col("seconds").cast("double")))
-    order = Window.partitionBy(*group).orderBy("at", "run")
-    per_core = F.first(F.col("speed") / F.col("cores"), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return speed.withColumn("efficiency", F.try_divide(F.col("speed"), per_core * F.col("cores")))
+    per_core = F.col("speed") / F.col("cores")
+    first = speed.filter(per_core.isNotNull()).groupBy(*group).agg(F.min_by(per_core, F.struct("at", "run")).alias("_first"))  # a row a group, combined before the shuffle
+    return speed.join(first, list(group), "left").withColumn("efficiency", F.try_divide(F.col("speed"), F.col("_first") * F.col("cores"))).drop("_first")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.tables import materialize
+
 
 def business() -> Column:
     return F.col("is_business") == "S"
@@ -70,3 +74,22 @@ def operating_window(calendar: DataFrame, end: date, days: int, balances: DataFr
         none = F.col("newest").isNull() | (F.col("newest") < F.col("read_from"))
         out = out.crossJoin(F.broadcast(inside)).withColumn("read_from", F.when(none, fail("there are no balances in the range")).otherwise(F.col("read_from")))
     return out.select("end", "read_from", F.trunc("read_from", "MM").alias("write_from"))
+
+
+def latest_before(rows: DataFrame, marks: DataFrame, group: Sequence[str], at: str, value: str) -> DataFrame:
+    """Add to each row the ``value`` of the latest mark of its ``group`` whose ``at`` is not after the row's; null without one. Null values are no marks.
+
+    Rows and marks are dealt together by ranges of (group, time), so that a group of any size is spread over tasks in the order of time. Within a range the
+    latest mark is found by a window; what a range's rows have to take from earlier ones is one mark for each group and range, worked out from a table
+    of a row a group and range.
+    """
+    both = rows.withColumns({value: F.lit(None).cast(marks.schema[value].dataType), "_row": F.lit(1)}).unionByName(marks.filter(F.col(value).isNotNull()).withColumn("_row", F.lit(0)), allowMissingColumns=True)
+    dealt = materialize(both.repartitionByRange(*group, at, "_row").withColumn("_range", F.spark_partition_id()), "latest-before")
+    here = Window.partitionBy("_range", *group).orderBy(at, "_row").rowsBetween(Window.unboundedPreceding, 0)
+    found = dealt.withColumn(value, F.last(value, ignorenulls=True).over(here)).filter("_row = 1").drop("_row")
+    ends = dealt.groupBy("_range", *group).agg(F.max_by(value, F.when(F.col("_row") == 0, F.col(at))).alias("_end"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    carried = ends.select("_range", *group, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    same = [found[c].eqNullSafe(carried[c]) for c in ("_range", *group)]
+    joined = found.join(carried, reduce(lambda a, b: a & b, same), "left")
+    return joined.select(*[F.coalesce(found[c], F.col("_carried")).alias(c) if c == value else found[c] for c in [*rows.columns, value]])

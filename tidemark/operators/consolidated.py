@@ -100,6 +100,15 @@ def monthly_change(rows: DataFrame, keys: Sequence[str] = LONG, measures: Sequen
     return joined.select(*rows.columns, *[(F.col(m) - base(m)).cast(MONEY).alias(f"change_{m}") for m in measures])
 
 
+def changes(rows: DataFrame) -> DataFrame:
+    """:func:`monthly_change` of consolidated rows by a window within a long key, which needs no join: the balance at the end of the month before, summed where a day has several rows."""
+    before = Window.partitionBy(*LONG).orderBy("_number").rangeBetween(-1, -1)
+    ends = [F.sum(F.when(F.col("date") == F.last_day("date"), F.col(m))).over(before).alias(f"_{m}") for m in MEASURES]
+    found = rows.withColumn("_number", F.year("date") * 12 + F.month("date")).select("*", *ends)
+    base_of = lambda m: F.when(F.month("date") == 1, 0).otherwise(F.coalesce(F.col(f"_{m}"), F.lit(0)))
+    return found.select("date", *LONG, *MEASURES, *[(F.col(m) - base_of(m)).cast(MONEY).alias(f"change_{m}") for m in MEASURES])
+
+
 def averages(rows: DataFrame, keys: Sequence[str] = LONG, measures: Sequence[str] = MEASURES, exact: bool = False) -> DataFrame:
     """Add avg_<measure>, the mean of the rows of the month so far; 0 where today's balance is 0."""
     span = Window.partitionBy(*keys, _month()).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
@@ -125,15 +134,7 @@ def daily_consolidated(rows: DataFrame, calendar: DataFrame, day: date, days: in
         figures = averages(monthly_change(fill_all(base, calendar, day, chained=False)), exact=exact)
         written = materialize(figures.filter(F.col("date") >= F.lit(write_from)), "consolidated")
         return written.unionByName(copy_non_business(written, calendar, write_from, day, LONG))
-    complete = _complete(base, calendar, read_from, day)
-    # figures by windows within a long key: the value at the end of the month before, and the mean of the month so far
-    number = F.year("date") * 12 + F.month("date")
-    before = Window.partitionBy(*LONG).orderBy("_number").rangeBetween(-1, -1)
-    ends = [F.sum(F.when(F.col("date") == F.last_day("date"), F.col(m))).over(before).alias(f"_{m}") for m in MEASURES]
-    changed = complete.withColumn("_number", number).select("*", *ends)
-    base_of = lambda m: F.when(F.month("date") == 1, 0).otherwise(F.coalesce(F.col(f"_{m}"), F.lit(0)))
-    changed = changed.select("date", *LONG, *MEASURES, *[(F.col(m) - base_of(m)).cast(MONEY).alias(f"change_{m}") for m in MEASURES])
-    written = averages(changed, exact=exact).filter(F.col("date") >= F.lit(write_from))
+    written = averages(changes(complete(base, calendar, read_from, day)), exact=exact).filter(F.col("date") >= F.lit(write_from))
     # copies of computed rows, where the long key has none that day
     copied = _spread(written, business_day_asof(calendar, inclusive=False).filter((F.col("is_business") == "N") & F.col("day").between(F.lit(write_from), F.lit(day))).select("origin", "day"))
     return _own_first(copied, LONG)
@@ -154,7 +155,7 @@ def _own_first(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumn("_any", own).filter("_own or not _any").drop("_own", "_any")
 
 
-def _complete(base: DataFrame, calendar: DataFrame, read_from: date, day: date) -> DataFrame:
+def complete(base: DataFrame, calendar: DataFrame, read_from: date, day: date) -> DataFrame:
     """The base with copies, projection and the three chained fills, after one shuffle by short key.
 
     A long key has rows in the months of its base rows, and in the business days of the month after one that it ended with a

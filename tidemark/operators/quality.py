@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.tables import materialize
+
 MONEY = "decimal(18,2)"
 
 
@@ -86,14 +88,62 @@ def compare_daily(before: DataFrame, after: DataFrame, measures: Sequence[str])
     return joined.filter(differs)
 
 
-def compare_keys(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that one side lacks: MISSING in the new version, or EXTRA."""
-    a, b = before.select(*keys).distinct(), after.select(*keys).distinct()
+#: Ranges of key hashes whose digests are compared, coarse ones first. A digest is a row a range: these numbers bound what is broadcast.
+LEVELS = (256, 65_536)
+
+
+def range_digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = (), levels: Sequence[int] = LEVELS) -> DataFrame:
+    """Per finest range of the keys' hashes: rows, and two 64-bit digests of keys and columns that do not depend on the order of rows.
+
+    Combined within tasks, so at most a row a range and task is shuffled.
+    """
+    words = [F.col(c) for c in (*keys, *columns)]
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in (*keys, *columns)])  # the hash passes over nulls
+    one, two = F.xxhash64(nulls, *words), F.xxhash64(F.lit("second"), *words, nulls)
+    return df.groupBy(_key_range(keys, levels[-1]).alias("range")).agg(F.count("*").alias("n"), F.bit_xor(one).alias("one"), F.sum(two.cast("decimal(20,0)")).alias("two"))
+
+
+def _key_range(keys: Sequence[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
+    """The finest ranges whose digests differ, found level by level: ranges of the next level are compared only below those that differ.
+
+    Two ranges of other rows look equal with a chance of about 2^-128.
+    """
+    left, right = materialize(a, "digests"), materialize(b, "digests")  # a row a range
+    figures = lambda df, n: df.groupBy(F.pmod("range", F.lit(n)).alias("at")).agg(F.sum("n").alias("n"), F.bit_xor("one").alias("one"), F.sum("two").alias("two"))
+    differing, before = None, 0
+    for n in levels:  # each number divides the next one
+        if differing is not None:
+            left, right = (df.join(F.broadcast(differing), F.pmod("range", F.lit(before)) == F.col("at"), "left_semi") for df in (left, right))  # at most a row a range of the level before
+        x, y = figures(left, n), figures(right, n).select("at", *[F.col(c).alias(f"_{c}") for c in ("n", "one", "two")])
+        joined = x.join(y, "at", "full_outer")
+        differing = materialize(joined.filter(~(F.col("n").eqNullSafe(F.col("_n")) & F.col("one").eqNullSafe(F.col("_one")) & F.col("two").eqNullSafe(F.col("_two")))).select("at"), "differing")
+        before = n
+    return differing
+
+
+def within_ranges(df: DataFrame, keys: Sequence[str], ranges: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
+    """The rows whose keys fall in the finest ranges ``ranges``; nothing is shuffled."""
+    return df.join(F.broadcast(ranges), _key_range(keys, levels[-1]) == F.col("at"), "left_semi")
+
+
+def compare_keys(before: DataFrame, after: DataFrame, keys: Sequence[str], levels: Sequence[int] = LEVELS) -> DataFrame:
+    """Keys that one side lacks: MISSING in the new version, or EXTRA. Only ranges of keys whose digests differ are joined."""
+    ranges = differing_ranges(range_digests(before, keys, levels=levels), range_digests(after, keys, levels=levels), levels)
+    a, b = (within_ranges(df.select(*keys), keys, ranges, levels).distinct() for df in (before, after))
     return a.join(b, list(keys), "left_anti").withColumn("status", F.lit("MISSING")).unionByName(b.join(a, list(keys), "left_anti").withColumn("status", F.lit("EXTRA")))
 
 
-def compare_rows(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows of both sides that differ, with the names of the differing columns; nulls are equal to each other."""
+def compare_rows(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str], levels: Sequence[int] = LEVELS) -> DataFrame:
+    """Rows of both sides that differ, with the names of the differing columns; nulls are equal to each other. Keys are unique on each side.
+
+    Only ranges of keys whose digests differ are joined, so equal versions cost two scans and no shuffle of rows.
+    """
+    ranges = differing_ranges(range_digests(before, keys, columns, levels), range_digests(after, keys, columns, levels), levels)
+    before, after = (within_ranges(df, keys, ranges, levels) for df in (before, after))
     b = after.select(*keys, *[F.col(c).alias(f"after_{c}") for c in columns])
     joined = before.select(*keys, *columns).join(b, list(keys))
     names = F.concat_ws(",", *[F.when(~F.col(c).eqNullSafe(F.col(f"after_{c}")), c) for c in columns])
@@ -115,7 +165,10 @@ def quality_summary(checks: dict[str, DataFrame]) -> DataFrame:
 
 def month_breakdown(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per month: days present, keys, rows, and the rows that complete keys would have."""
-    months = df.groupBy(F.trunc("date", "MM").alias("month")).agg(F.count_distinct("date").alias("days"), F.count_distinct(*keys).alias("n_keys"), F.count("*").alias("n_rows"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    day = F.expr("shiftleft(1, dayofmonth(date) - 1)")  # the days of a month are the bits of an integer
+    of_key = df.groupBy(F.trunc("date", "MM").alias("month"), *keys).agg(F.bit_or(day).alias("_days"), F.count("*").alias("_n"))
+    months = of_key.groupBy("month").agg(F.coalesce(F.bit_count(F.bit_or("_days")), F.lit(0)).cast("long").alias("days"), F.count_if(whole).alias("n_keys"), F.sum("_n").alias("n_rows"))
     return months.withColumn("expected_rows", F.col("n_keys") * F.dayofmonth(F.last_day("month")))
 
 
@@ -126,6 +179,14 @@ def expectation_counts(df: DataFrame, rules: dict[str, tuple[Column, str]]) -> D
     return broken.select(pairs.alias("r")).select("r.*")
 
 
+def observe_expectations(df: DataFrame, rules: dict[str, tuple[Column, str]], **figures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with the counts of rows (``n_rows``) and of rows that break each rule told by whatever action reads it, and the observation that
+    holds them after that action. Further ``figures`` are aggregates of the same pass."""
+    told = Observation()
+    counts = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"rule_{name}") for name, (rule, _) in rules.items()]
+    return df.observe(told, F.count(F.lit(1)).alias("n_rows"), *counts, *[c.alias(n) for n, c in figures.items()]), told
+
+
 def apply_expectations(df: DataFrame, rules: dict[str, tuple[Column, str]]) -> DataFrame:
     """Rows that pass: ``drop`` rules remove rows, ``fail`` rules stop the job, ``warn`` rules change nothing."""
     out = df

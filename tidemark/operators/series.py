@@ -128,7 +128,11 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
 
 
 def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, hi: date, measures: Sequence[str]) -> DataFrame:
-    """Every key on every day of the range: sums of its rows or 0, attributes of its latest row."""
+    """Every key on every day of the range: sums of its rows or 0, attributes of its latest row.
+
+    The calendar must have each day of the range once (a check of one row); then a key has each day once, since keys are grouped and sums are one a key and day.
+    """
+    assert_days(calendar, lo, hi)
     days = calendar.filter(F.col("day").between(F.lit(lo), F.lit(hi))).select(F.col("day").alias("date"))
     # one pass over the balances; the attributes come from what is left of them
     sums = balances.groupBy(key, "date").agg(*[F.sum(m).alias(m) for m in measures], F.max(F.struct("load_seq", "account", "currency", "module")).alias("_row"))
@@ -138,6 +142,16 @@ def balance_grid(balances: DataFrame, calendar: DataFrame, key: str, lo: date, h
     return grid.join(sums, [key, "date"], "left").select(key, "date", "_last.*", *[F.coalesce(F.col(m), F.lit(0)).cast(MONEY).alias(m) for m in measures])
 
 
+def assert_days(calendar: DataFrame, lo: date, hi: date) -> DataFrame:
+    """Refuse a calendar that lacks a day of the range or has one twice."""
+    there = calendar.filter(F.col("day").between(F.lit(lo), F.lit(hi))).agg(F.count("*").alias("rows"), F.count_distinct("day").alias("days")).first()
+    if there["rows"] != there["days"]:
+        raise ValueError("the calendar has a day twice")
+    if there["days"] != (hi - lo).days + 1:
+        raise ValueError("the calendar lacks days of the range")
+    return calendar
+
+
 def assert_grid(grid: DataFrame, key: str, lo: date, hi: date) -> DataFrame:
     """Refuse a (materialized) grid in which a key has two rows on a day or lacks a day of the range."""
     wrong = grid.filter(F.col("date").between(F.lit(lo), F.lit(hi))).groupBy(key).agg(F.count("*").alias("rows"), F.count_distinct("date").alias("days"))

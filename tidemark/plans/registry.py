@@ -13,6 +13,8 @@ from tidemark.plans.bed import BED_SQL, Bed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The part of a query's SQL that follows the views.
+SELECTS: dict[str, str] = {}
 #: All years of the tables, and the day from which results are written.
 LO, HI, START = date(1995, 1, 1), date(2001, 12, 31), date(1995, 2, 1)
 D_LO, D_HI, D_START = (f"DATE '{d}'" for d in (LO, HI, START))
@@ -53,4 +55,5 @@ def add(name: str, build: Callable[[Bed], DataFrame], sql: str | None, series: b
     """Register a query. ``sql`` is a SELECT, or further CTEs (starting with a comma) and a SELECT."""
     QUERIES[name] = lambda spark, sf_dir: doubles(build(Bed(spark, sf_dir)))
     if sql:
+        SELECTS[name] = sql
         ORACLES[name] = BED_SQL + (SERIES_SQL if series else "") + sql

@@ -85,7 +85,7 @@ def operating(b: Bed) -> DataFrame:
 
 add("b5_operating_balances", operating, f""", pick AS (SELECT id_operation, date, {', '.join(f'arg_max({c}, (load_seq, 1e9 - CAST(rubro AS BIGINT))) AS {c}' for c in ('rubro', 'module', 'account', 'load_seq', 'origin_kind'))} FROM bucketed GROUP BY id_operation, date)
 SELECT {', '.join(_B5)}, (SELECT max(executive) FROM accounts a WHERE a.account = pick.account) AS executive FROM averaged JOIN pick USING (id_operation, date) WHERE date >= {D_START}""", series=True)
-add("b6_balance_grid", lambda b: ser.assert_grid(materialize(ser.balance_grid(b.closing, b.calendar, "id_operation", START, HI, AMOUNTS), "grid"), "id_operation", START, HI), f"""
+add("b6_balance_grid", lambda b: ser.balance_grid(b.closing, b.calendar, "id_operation", START, HI, AMOUNTS), f"""
 SELECT k.id_operation, c.day AS date, k.account, k.currency, k.module, coalesce((SELECT CAST(sum(amount_mo) AS DOUBLE) FROM closing x WHERE x.id_operation = k.id_operation AND x.date = c.day), 0) AS amount_mo,
     coalesce((SELECT CAST(sum(amount_mn) AS DOUBLE) FROM closing x WHERE x.id_operation = k.id_operation AND x.date = c.day), 0) AS amount_mn
 FROM (SELECT id_operation, arg_max(account, (date, load_seq)) AS account, arg_max(currency, (date, load_seq)) AS currency, arg_max(module, (date, load_seq)) AS module FROM closing GROUP BY id_operation) k CROSS JOIN (SELECT day FROM calendar WHERE day BETWEEN {D_START} AND {D_HI}) c""")
@@ -154,11 +154,12 @@ def _source(b: Bed) -> DataFrame:
     return b.sdc.filter(F.col("date").between(F.lit(READ), F.lit(DAY))).select("date", *con.LONG, "mo", "mn")
 
 
-def _base(b: Bed) -> DataFrame:
-    rows = _source(b)
+def _base(b: Bed, lo: date = READ) -> DataFrame:
+    """The consolidated rows from ``lo`` on; ten days before are read, of which days without business are copies."""
+    rows = _source(b).filter(F.col("date") >= F.date_sub(F.lit(lo), 10))
     rows = rows.unionByName(con.copy_non_business(rows, b.calendar, READ, DAY)).unionByName(con.project_forward(rows, b.calendar, DAY))
     sums = rows.groupBy("date", *con.LONG).agg(F.sum("mo").cast("decimal(18,2)").alias("mo"), F.sum("mn").cast("decimal(18,2)").alias("mn"))
-    return materialize(sums, "consolidated-base")
+    return materialize(sums.filter(F.col("date") >= F.lit(lo)), "consolidated-base")
 
 
 def _with_a(b: Bed) -> DataFrame:
@@ -178,8 +179,8 @@ add("c5_fill_next_month", lambda b: con.fill_next_month(_with_a(b), b.calendar,
 add("c6_fill_intra_month", lambda b: con.fill_intra_month(_with_b(b), b.calendar, DAY), CON_SQL + _two + "fill_c")
 add("c7_representative", lambda b: con.representative(_base(b)), CON_SQL + f"SELECT DISTINCT ON (date, {_SHORT}) date, {_LONG}, CAST(mo AS DOUBLE) AS mo, CAST(mn AS DOUBLE) AS mn FROM base ORDER BY date, {_SHORT}, title, branch, chapter, term, grp")
 _figures = f"SELECT date, {_LONG}, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('mo', 'mn', 'change_mo', 'change_mn'))}"
-add("c8_monthly_change", lambda b: con.monthly_change(con.fill_all(_base(b), b.calendar, DAY)), CON_SQL + _figures + " FROM changed")
-add("c9_zero_override_average", lambda b: con.averages(con.fill_all(_base(b), b.calendar, DAY), exact=True), CON_SQL + f"SELECT date, {_LONG}, CAST(mo AS DOUBLE) AS mo, CAST(mn AS DOUBLE) AS mn, avg_mo, avg_mn FROM figures")
+add("c8_monthly_change", lambda b: con.changes(con.complete(_source(b), b.calendar, READ, DAY)), CON_SQL + _figures + " FROM changed")
+add("c9_zero_override_average", lambda b: con.averages(con.complete(_source(b), b.calendar, READ, DAY), exact=True), CON_SQL + f"SELECT date, {_LONG}, CAST(mo AS DOUBLE) AS mo, CAST(mn AS DOUBLE) AS mn, avg_mo, avg_mn FROM figures")
 add("c10_copy_computed", lambda b: con.daily_consolidated(_source(b), b.calendar, DAY, DAYS, exact=True).join(F.broadcast(b.calendar.filter("is_business = 'N'").select(F.col("day").alias("date"))), "date").select("date", *con.LONG, "mo", "mn"),
     CON_SQL + f"SELECT s.* FROM ({_two} written UNION ALL {_two} again) s JOIN calendar c ON c.day = s.date AND c.is_business = 'N'")
 add("c11_daily_consolidated", lambda b: con.daily_consolidated(_source(b), b.calendar, DAY, DAYS, exact=True), CON_SQL + f"{_figures}, avg_mo, avg_mn FROM (SELECT * FROM written UNION ALL SELECT * FROM again)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,7 +22,7 @@ from tidemark.operators import reports as re
 from tidemark.operators import series as ser
 from tidemark.plans.bed import Bed
 from tidemark.plans.registry import D_HI, D_START, HI, START, add
-from tidemark.plans.series_queries import _ACC, CON_SQL, DAY, READ, _base, filled, totals
+from tidemark.plans.series_queries import _ACC, CON_SQL, DAY, READ, _base, _source, filled, totals
 from tidemark.sources import loads as ld
 from tidemark.sources import partitioning as pt
 from tidemark.tables import materialize, shared_dir
@@ -282,14 +282,18 @@ add("r3_report_borrowings", lambda b: _report(b, re.report_borrowings), _show("b
 add("r4_report_repos", lambda b: _report(b, re.report_repos), _show("repos"))
 
 
-def _recent_report(b: Bed) -> DataFrame:
-    base = _base(b)
-    start = cal.report_start(base).first()["start"]
-    # changes need the month before the horizon
-    rows = materialize(_report_rows(b, base.filter(F.col("date") >= F.add_months(F.lit(start), -1))), "report-rows")
+def _report_since(b: Bed, start: date) -> DataFrame:
+    """The product report from ``start`` on: only its months and the one before, which changes need, are read and built."""
+    base = _base(b, (start.replace(day=1) - timedelta(days=1)).replace(day=1))
+    rows = materialize(_report_rows(b, base), "report-rows")
     return re.report_product_detail(_regrouped(rows), _chart_of(rows), _modules_of(rows), F.lit(start))
 
 
+def _recent_report(b: Bed) -> DataFrame:
+    tail = _source(b).agg(F.date_sub(F.max("date"), 10)).first()[0]
+    return _report_since(b, cal.report_start(_base(b, tail)).first()["start"])
+
+
 add("r5_report_product_detail", _recent_report, _show("(SELECT * FROM loans UNION ALL SELECT * FROM deposits UNION ALL SELECT * FROM borrowings UNION ALL SELECT * FROM repos) WHERE date >= (SELECT date_trunc('month', max(date) - INTERVAL 60 DAY) FROM base)"))
 
 

@@ -1,6 +1,7 @@
 """Load modes as functions from tables to the next version of a table, and their form on Parquet paths.
 
-A path is never overwritten while it is read: a new version is written beside it and returned.
+A path is never overwritten while it is read: a new version is written beside it and returned. Tables of dated files, of which a load rewrites only
+some, are in ``tidemark.sources.dated``.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.dated import Conflict, names, put_if_absent, read_text
+
 
 def guard_non_empty(df: DataFrame) -> DataFrame:
     """An empty source must not empty its target."""
@@ -87,52 +90,63 @@ def write_batch(df: DataFrame, path: str, files: int) -> str:
     return "TERMINADO"
 
 
+def write_even(df: DataFrame, path: str) -> str:
+    """Write Parquet files of about spark.sql.adaptive.advisoryPartitionSizeInBytes each, as many as the rows need: small partitions are
+    joined and large ones split when their sizes are known. Without rows nothing is written. Returns TERMINADO or SIN_DATOS."""
+    if df.isEmpty():
+        return "SIN_DATOS"
+    df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return "TERMINADO"
+
+
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("anio", "mes")) -> None:
-    """Overwrite only the partitions that ``df`` has; one shuffle by partition keeps files few."""
-    df.repartition(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    """Overwrite only the partitions that ``df`` has. One shuffle by partition keeps files few; a partition of many rows is split between tasks, and so has several files."""
+    df.hint("rebalance", *[F.col(c) for c in columns]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
 def read_batch(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def _folder(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Numbers of the committed versions of a table below ``base``, oldest first."""
-    store, place = _folder(spark, base)
-    found = [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
-    return sorted(int(name[2:]) for name in found if name.startswith("v-"))
+    return [int(name[2:]) for name in names(spark, base) if name.startswith("v-")]
 
 
-def version_path(base: str, number: int) -> str:
-    return f"{base.rstrip('/')}/v-{number:012d}"
+def version_path(spark: SparkSession, base: str, number: int) -> str:
+    """The folder of a version, which its file names."""
+    return f"{base.rstrip('/')}/{read_text(spark, f'{base}/v-{number:012d}')}"
 
 
-def commit_version(df: DataFrame, base: str, number: int | None = None) -> int:
+def commit_version(df: DataFrame, base: str, number: int | None = None, after: int | None = None) -> int:
     """Write the next version of a table below ``base`` (or the one of this number) and return its number.
 
-    It is written aside and renamed when whole, so readers see the old version or the new one, never part of it; a
-    number that is there already is left as it is.
+    Rows go to a folder of their own; the version is there once a small file names that folder, which is put in place whole and only if no
+    other has that number. So readers see the old version or the new one, and no writer's rows are lost unseen: a
+    number that was there before is left as it is (a batch that comes again), but one that another writer takes meanwhile fails
+    with :class:`Conflict`. With ``after`` it fails if the latest version is another one, by then or at the commit; without number and ``after`` the next
+    free number is taken.
     """
-    spark = df.sparkSession
+    spark, base = df.sparkSession, base.rstrip("/")
     there = versions(spark, base)
-    number = (there[-1] + 1 if there else 0) if number is None else number
-    if number not in there:
-        aside = f"{base.rstrip('/')}/_new-{uuid.uuid4().hex}"
-        df.write.parquet(aside)
-        store, place = _folder(spark, aside)
-        if not store.rename(place, _folder(spark, version_path(base, number))[1]) and number not in versions(spark, base):
-            raise OSError(f"version {number} could not be committed")
-    return number
+    latest = there[-1] if there else -1
+    if number is not None and number in there:
+        return number
+    if after is not None and latest != after:
+        raise Conflict(f"version {latest} has come after version {after}")
+    folder = f"rows-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{folder}")
+    place = latest + 1 if number is None else number
+    while not put_if_absent(spark, f"{base}/v-{place:012d}", folder):
+        if number is not None or after is not None:
+            raise Conflict(f"another writer has committed version {place}")
+        place += 1
+    return place
 
 
 def read_version(spark: SparkSession, base: str, number: int | None = None, schema=None) -> DataFrame:
     """A version of the table below ``base``, by default the latest."""
-    return read_batch(spark, version_path(base, versions(spark, base)[-1] if number is None else number), schema)
+    return read_batch(spark, version_path(spark, base, versions(spark, base)[-1] if number is None else number), schema)
 
 
 def generate_rows(ids: DataFrame, today: date) -> DataFrame:

@@ -93,3 +93,24 @@ def predicate_partitions(df: DataFrame, predicates: Sequence[str]) -> DataFrame:
 def range_profile(df: DataFrame, column: str, lo, hi, n: int) -> DataFrame:
     """Per equal-width range: rows, nulls, smallest and largest value."""
     return assign_range_partition(df, column, lo, hi, n).groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col(column).isNull()).alias("nulls"), F.min(column).alias("low"), F.max(column).alias("high"))
+
+
+def deal_parts(df: DataFrame, part: str, n: int) -> DataFrame:
+    """Rows dealt to ``n`` tasks by the numbers 0 to n - 1 in the column ``part``: a number is one task, and one file when written.
+
+    A missing number (a row that no predicate takes) would vanish in the first task unseen, and one outside of the range would share
+    another's: both fail the job.
+    """
+    number = F.when(F.col(part).between(0, n - 1), F.col(part).cast("int")).otherwise(F.raise_error(F.concat(F.lit("no task for part "), F.coalesce(F.col(part).cast("string"), F.lit("null")))).cast("int"))
+    return df.repartitionById(n, number)
+
+
+def extract_parts(df: DataFrame, part: str, n: int, path: str) -> DataFrame:
+    """Write the rows of each number by a task of its own, one file a number that has rows, and read them back with the file's name."""
+    deal_parts(df, part, n).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).withColumn("file", F.col("_metadata.file_name"))
+
+
+def predicate_number(predicates: Sequence[str]) -> Column:
+    """Number of the predicate that a row meets; rows that meet none get the number after the last, so that nothing is lost."""
+    return F.coalesce(*[F.when(F.expr(p), i) for i, p in enumerate(predicates)], F.lit(len(predicates)))

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -67,3 +68,13 @@ def drop_shared(df: DataFrame) -> None:
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def observed(told: Observation) -> dict:
+    """The figures of an observation after its action; none at all if the optimizer found the rows to be empty and left the observation out."""
+    try:
+        return told.get
+    except Py4JJavaError as error:
+        if "AssertionError" in error.java_exception.getClass().getName():
+            return {}
+        raise
