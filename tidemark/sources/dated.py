@@ -90,6 +90,8 @@ class DatedTable:
     def __init__(self, spark: SparkSession, base: str, schema: StructType, day: str | None = None, key: str | None = None, files: int | None = None, unit: str = "day"):
         self.spark, self.base, self.day, self.key, self.files, self.unit = spark, base.rstrip("/"), day, key, files, unit
         self.schema = StructType([StructField(f.name, f.dataType) for f in schema])
+        if "_metadata" in (n.lower() for n in self.schema.names):
+            raise ValueError("a column called _metadata would hide the names of files")
         kind = self.schema[key].dataType if key else StringType()
         self.listed = StructType([*StructType.fromDDL("part string, file string, rows long").fields, StructField("low", kind), StructField("high", kind)])
 
