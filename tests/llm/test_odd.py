@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_corpus import brute_components, brute_repeats
 
 import corpus_pipeline
-from tidemark.llm import classifier, common, exact_dedup, language, minhash, mixing, packing, quality, sharding, suffix_dedup, warc
+from tidemark.llm import classifier, common, exact_dedup, harmonic, language, minhash, mixing, packing, quality, resampling, sharding, suffix_dedup, warc
 
 BIG = 1 << 60
 WORDS = "river stone light garden winter paper silver morning quiet forest window bridge letter summer market island yellow number".split()
@@ -138,11 +138,70 @@ def test_decoding_is_that_of_a_plain_search(spark):
         assert got[0] == model["langs"][best] and got[1] == pytest.approx(shares[best] / sum(shares), rel=1e-6)
 
 
-def test_learned_languages_are_bounded(spark):
-    rows = [(f"l{i:02d}", "abc def ghi " * (i + 1)) for i in range(12)]
+def test_every_language_is_learned(spark):
+    """300 languages of other letters each, held by tasks a few at a time: every one is predicted; 900 give a model as well."""
+    rng = np.random.default_rng(21)
+    words = [["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(12)] for _ in range(900)]
+    text = lambda i: " ".join(words[i][k] for k in np.random.default_rng(i).integers(0, 12, 60))
+    rows = [(f"l{i:03d}", text(i)) for i in range(300)]
     docs = spark.createDataFrame(rows, "lang string, text string")
-    assert language.fit(docs, most_langs=3)["langs"] == ["l09", "l10", "l11"]
-    assert len(language.fit(docs)["langs"]) == 12
+    few, many = language.fit(docs, held=7), language.fit(docs)
+    assert few["langs"] == many["langs"] == [r[0] for r in rows] and np.allclose(few["weights"], many["weights"])
+    assert all(language.decide(t, many)[0] == lang for lang, t in rows)
+    large = language.fit(spark.createDataFrame([(f"l{i:03d}", text(i)) for i in range(900)], "lang string, text string"))
+    assert len(large["langs"]) == 900 == len({w.tobytes() for w in large["code"]})
+
+
+def test_sums_by_bit_are_those_of_whole_tables(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.lang, r.text) for r in language.training_rows(docs).select("lang", "text").collect()]
+    model = language.fit(language.training_rows(docs))
+    counts = {lang: np.zeros(language.BUCKETS) for lang in model["langs"]}
+    for lang, text in rows:
+        if (c := language.trigram_counts(text)) is not None:
+            counts[lang] += c
+    share = np.array([(counts[lang] + 0.5) / (counts[lang] + 0.5).sum() for lang in model["langs"]])
+    for bit, word in enumerate(model["code"].T):
+        assert np.allclose(model["weights"][:, bit], np.log(share[word > 0].mean(axis=0) / share[word < 0].mean(axis=0)), atol=1e-7)
+
+
+def test_columns_called_metadata_and_smallest_ids(spark):
+    """A column that hides the place of rows in files, an id without a negative, through operators and stages."""
+    low = -(1 << 63)
+    rows = [(low, prose(1), "en", "s", 1, "x"), (low + 1, prose(1), "en", "s", 1, "x"), (None, prose(1), "en", "s", 1, "x"), (3, prose(2), "en", "s", 1, "y"), (low, prose(3), "en", "s", 1, "z"), (7, None, "en", None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `_Metadata` string"
+    path = common.shared_dir(spark, "metadata")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    keyed = common.row_keyed(docs, "m")
+    assert keyed.columns == [*docs.columns, "_row"] and keyed.select("_row").distinct().count() == 6 and {r[5] for r in keyed.collect()} == {"x", "y", "z", None}
+    got = {(r.doc_id, r.text_sha256): r for r in exact_dedup.exact_dedup(docs).collect()}
+    assert len(got) == 6 and {r.keep_id for r in got.values() if r.group_size == 3} == {low} and sum(r.kept for r in got.values()) == 4
+    want = ids_of(docs)
+    for out in (quality.judge(docs), language.predict(docs, language.fit(docs)), classifier.score(docs, classifier.train(docs)), suffix_dedup.remove_repeats(docs), mixing.mix(docs), minhash.near_dups(docs), sharding.shard(docs, 3), resampling.resample(docs, docs)):
+        assert ids_of(out) == want
+    assert ids_of(packing.pack_documents(docs, *packing.vocabulary())) == want == ids_of(harmonic.pack_harmonic(docs, *packing.vocabulary()).filter("start = 0"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.materialize(stage(spark, docs, ""), "metadata")
+        assert docs.columns[-1] == "_Metadata"
+    assert {r.doc_id for r in docs.collect()} <= {low, 3} and docs.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= docs.count()
+
+
+def test_rows_without_an_id_are_dealt_apart(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.col("id").alias("size"))
+    out = sharding.shard(common.materialize(docs, "no-ids"), 7)
+    assert out.select("shard", "slot").distinct().count() == 4000
+    mean = out.groupBy("shard").agg(F.avg("size").alias("m")).agg(F.min("m"), F.max("m")).first()
+    assert 1800 < mean[0] <= mean[1] < 2200
+
+
+def test_rows_without_keys(spark):
+    rows = common.materialize(spark.range(3000).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("text")), "rows")
+    keys = common.materialize(spark.range(0, 3000, 7).toDF("k"), "keys")
+    got = exact_dedup.without(rows, "k", keys)
+    assert {r.k for r in got.collect()} == set(range(3000)) - set(range(0, 3000, 7)) and got.columns == rows.columns
+    assert exact_dedup.without(rows, "k", keys.limit(0)).count() == 3000 and exact_dedup.without(rows.limit(0), "k", keys).count() == 0
 
 
 def test_expectation_maximisation_finds_planted_accuracies():

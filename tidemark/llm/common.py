@@ -68,9 +68,15 @@ def fresh(df: DataFrame, name: str) -> str:
 def row_keyed(docs: DataFrame, name: str, key: str = "_row", columns: Sequence[str] | None = None) -> DataFrame:
     """The ``columns`` of ``docs`` (all by default) and a column ``key``, a number of its own for each row, whatever the columns hold, and the same at every read.
 
-    It is the place of the row in its Parquet file below the file's number. Anything but a plain scan is written first.
+    It is the place of the row in its Parquet file below the file's number. Anything but a plain scan is written first, and so is a table with a
+    column called _metadata, which would hide that place.
     """
     columns = list(docs.columns if columns is None else columns)
+    hidden = [c for c in docs.columns if c.lower() == "_metadata"]
+    if hidden:
+        other = {c: fresh(docs, "_meta") for c in hidden}
+        named = docs.select(*[docs[f"`{c}`"].alias(other.get(c, c)) for c in columns])
+        return row_keyed(named, name, key).select(*[F.col(other.get(c, c)).alias(c) for c in columns], key)
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         docs = materialize(docs.select(*columns), name)
     files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())

@@ -75,6 +75,19 @@ def probably_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return placed.filter(passes(F.col("_bitmap"), F.col(column), bits)).drop("_bucket", "_bitmap")
 
 
+def without(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` (read twice) whose column is not null and none of ``keys`` (a materialized table of this column).
+
+    Rows that the filter tells apart from all keys stay where they are; only the others, as many as there are keys and few more, are
+    shuffled for the comparison. Beyond some millions of keys the filter tells nothing, and all rows are.
+    """
+    bits = filter_bits(keys.count())
+    maps = build_filter(keys.toDF("digest"), bits).select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap"))
+    placed = df.withColumn("_bucket", F.bitmap_bucket_number(_slot(F.col(column), bits))).join(F.broadcast(maps), "_bucket", "left")
+    flagged = placed.withColumn("_flag", passes(F.col("_bitmap"), F.col(column), bits)).drop("_bucket", "_bitmap")
+    return flagged.filter("not _flag").drop("_flag").unionByName(flagged.filter("_flag").drop("_flag").join(keys, column, "left_anti"))
+
+
 def among(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose column is one of ``keys`` (a materialized table of this column, each value once).
 
@@ -100,7 +113,7 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     lead = F.coalesce(F.conv(F.substring(F.hex("digest"), 1, 7), 16, 10).cast("long"), F.lit(0))
     segment = F.floor(lead * segments / (1 << 28)).cast("long")
 
-    best = F.max(F.struct("chars", F.negative("doc_id").alias("neg_id"), "entry"))
+    best = F.min(F.struct(F.negative("chars").alias("less"), F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("keep_id"), "entry"))  # most characters, then the smallest id
     memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best.alias("best"))
     flushed = bucketed(memtables.withColumn("segment", segment), "lsm_runs", "segment", ["segment", "digest"])
 
@@ -112,7 +125,7 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     for r in range(runs):
         hit = hit | ((F.col("run") != r) & bit_set(F.element_at("bitmaps", F.lit(r)), place))
     hits = flushed.join(wide, "segment").filter(hit)
-    compacted = hits.groupBy("segment", "digest").agg(F.sum("rows").alias("group_size"), F.max("best").alias("best")).filter("group_size > 1")
+    compacted = hits.groupBy("segment", "digest").agg(F.sum("rows").alias("group_size"), F.min("best").alias("best")).filter("group_size > 1")
     compacted = materialize(compacted.drop("segment"), "lsm-compacted")
     drop_bucketed(flushed)
 
@@ -121,14 +134,14 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     ends = texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     false_hits = materialize(ends.filter(F.col("low") != F.col("high")).select("digest"), "lsm-false")
 
-    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"), F.col("best.entry").alias("keep_entry"))
+    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.col("best.keep_id").alias("keep_id"), F.col("best.entry").alias("keep_entry"))
     out = entries.join(groups, "digest", "left")
     if false_hits.isEmpty():
         return _result(out, carry)
     apart = docs.withColumn("norm", norm).withColumn("digest", digest(F.col("norm"))).join(false_hits, "digest", "left_semi")
     apart = apart.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "norm", F.sha2("norm", 256).alias("text_sha256"))
     apart = materialize(apart, "lsm-apart")
-    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.negative(F.col("best.neg_id")).alias("keep_id"), F.col("best.entry").alias("keep_entry"))
+    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.col("best.keep_id").alias("keep_id"), F.col("best.entry").alias("keep_entry"))
     return _result(out.join(false_hits, "digest", "left_anti"), carry).unionByName(_result(apart.join(by_text, "norm"), carry))
 
 

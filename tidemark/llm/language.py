@@ -2,7 +2,7 @@
 
 Every language has a codeword; each bit is predicted by a linear classifier of its own, the log-odds of the
 trigram distributions of the languages with that bit against those without. Training is one distributed count over
-all labelled rows (languages x ``BUCKETS`` sums are all that reaches the driver). Decoding takes the codeword with
+all labelled rows, summed up to one row a bucket with a column a bit (``BUCKETS`` rows and a row a language are all that reaches the driver). Decoding takes the codeword with
 the least logistic loss over the bits, weighted by how far apart a bit's two sides are; near ties are flagged.
 """
 
@@ -21,8 +21,8 @@ from tidemark.llm.common import drop_shared, map_carried, materialize, ship
 BUCKETS = 1 << 13
 #: A trigram counts for a tenth of its log-odds, since neighbours overlap; score margin below which a row is ambiguous.
 DAMPING, MARGIN = 0.1, 0.2
-#: Languages learned at most.
-MOST_LANGS = 200
+#: Languages whose counts a task holds before it hands them on.
+HELD = 200
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -48,18 +48,19 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
         columns = [[1 if l == 0 or not (k >> (l - 1)) & 1 else -1 for l in range(n)] for k in range(1, 1 << max(n - 1, 0))]
         return np.array(columns, dtype=np.int8).reshape(-1, n).T
     bits, rng = 15 * int(np.ceil(np.log2(n))), np.random.default_rng(seed)
+    if n > 512:  # so many random words of so many bits are far apart as they come
+        return rng.choice(np.array([-1, 1], dtype=np.int8), size=(n, bits))
     tries = [rng.choice(np.array([-1, 1], dtype=np.int8), size=(n, bits)) for _ in range(32)]
     apart = lambda c: ((bits - c.astype(int) @ c.T.astype(int)) // 2 + bits * np.eye(n, dtype=int)).min()
     best = max(tries, key=apart)
     return best[:, np.abs(best.sum(axis=0)) < n]  # a bit that all share says nothing
 
 
-def fit(labelled: DataFrame, most_langs: int = MOST_LANGS) -> dict:
+def fit(labelled: DataFrame, held: int = HELD) -> dict:
     """Train on all rows of (text, lang) with a language and a letter; no rows give a model that predicts ``und`` only.
 
-    The ``most_langs`` languages with most trigrams are learned (ties by name), which bounds the model: what reaches the
-    driver is as many rows as languages times ``BUCKETS``. Tasks hand on their counts before they hold more languages than that.
-    Nulls in either column are left out, repeated rows count one by one, further columns are ignored.
+    Every language is learned, however many there are: tasks hand on their counts before they hold more than ``held`` of them, and the shares of
+    the languages of either side of a bit are summed up in Spark. Nulls in either column are left out, repeated rows count one by one, further columns are ignored.
     """
     ship(labelled.sparkSession)
 
@@ -78,27 +79,32 @@ def fit(labelled: DataFrame, most_langs: int = MOST_LANGS) -> dict:
                     if lang in sums:
                         sums[lang] += c
                         continue
-                    if len(sums) >= most_langs:
+                    if len(sums) >= held:
                         yield from flush()
                     sums[lang] = c
         yield from flush()
 
     counted = labelled.select("text", "lang").filter("text is not null and lang is not null").mapInPandas(count, "lang string, bucket int, n long")
     table = materialize(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
-    learned = table.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.col("all").desc(), "lang").limit(most_langs).select("lang")
-    rows = table.join(F.broadcast(learned), "lang").toPandas()
-    drop_shared(table)
-    langs = sorted(rows["lang"].unique())
-    counts = np.zeros((len(langs), BUCKETS))
-    if langs:
-        counts[np.searchsorted(langs, rows["lang"]), rows["bucket"].to_numpy()] = rows["n"]
-    share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True) if langs else counts
+    totals = {r["lang"]: r["n"] + 0.5 * BUCKETS for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row a language
+    langs = sorted(totals)
     code = codewords(len(langs))
-    weights, reliability = np.zeros((BUCKETS, code.shape[1] if langs else 0)), np.zeros(code.shape[1] if langs else 0)
-    for bit in range(weights.shape[1]):
-        on, off = share[code[:, bit] > 0].mean(axis=0), share[code[:, bit] < 0].mean(axis=0)
-        weights[:, bit] = np.log(on / off)
-        reliability[bit] = ((on - off) * weights[:, bit]).sum()  # symmetric divergence of the two sides
+    n_bits = code.shape[1] if langs else 0
+    whole = np.array([totals[lang] for lang in langs])
+    on = np.full((BUCKETS, n_bits), 0.5) * ((code > 0) / whole[:, None]).sum(axis=0) if n_bits else np.zeros((BUCKETS, 0))
+    off = np.full((BUCKETS, n_bits), 0.5) * ((code < 0) / whole[:, None]).sum(axis=0) if n_bits else np.zeros((BUCKETS, 0))
+    if n_bits:
+        words = table.sparkSession.createDataFrame([(lang, float(totals[lang]), word.tolist()) for lang, word in zip(langs, code, strict=True)], "lang string, _all double, _word array<int>")
+        share = F.col("n") / F.col("_all")
+        sides = [F.sum(F.when(F.col("_word")[bit] > 0, share).otherwise(0.0)).alias(f"b{bit}") for bit in range(n_bits)]
+        for row in table.join(words, "lang").groupBy("bucket").agg(F.sum(share).alias("every"), *sides).toLocalIterator():  # a row a bucket
+            plus = np.array(row[2:])
+            on[row["bucket"]] += plus
+            off[row["bucket"]] += row["every"] - plus
+    drop_shared(table)
+    on, off = on / np.maximum((code > 0).sum(axis=0), 1), off / np.maximum((code < 0).sum(axis=0), 1)
+    weights = np.round(np.log(on / off), 9)  # sums may differ in their last digits from run to run
+    reliability = ((on - off) * weights).sum(axis=0)  # symmetric divergence of the two sides
     if len(reliability):
         reliability = reliability / reliability.sum() if reliability.sum() > 0 else np.full(len(reliability), 1 / len(reliability))
     return {"langs": langs, "code": code.astype(np.float64), "weights": weights, "reliability": reliability}

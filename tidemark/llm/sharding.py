@@ -19,10 +19,14 @@ def shard(docs: DataFrame, shards: int, seed: str = "shard", stratum: str = "sou
     Law: row counts of shards are at most one apart, and each holds its share of every stratum to within a row or
     two. Null is a stratum of its own. Rows with one id are ranked next to each other (tied rows in either order, but
     each keeps a slot of its own). With fewer rows than shards some shards are empty; an empty table gives none.
+    Rows without an id are ranked by a hash of their other plain columns, so that many of them are dealt like others; equal ones are next to each other.
     Carry only the columns needed: all of them are shuffled twice. Columns of the table that are called shard or slot give way to the new ones.
     """
     names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    base = docs.select(F.struct(*names).alias("doc"), F.col(stratum).alias("stratum"), F.col(id_col).alias("id"), hashed_unit(id_col, seed).alias("u"))
+    plain = [F.col(f.name) for f in docs.schema if f.name in names and f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    other = (F.pmod(F.xxhash64(*plain), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    unit = F.when(F.col(id_col).isNull(), other).otherwise(hashed_unit(id_col, seed))
+    base = docs.select(F.struct(*names).alias("doc"), F.col(stratum).alias("stratum"), F.col(id_col).alias("id"), unit.alias("u"))
     first = positioned(base, ["stratum", "u", "id"], "at", "shard-ranks")
     sources = materialize(first.groupBy("stratum").agg(F.count("*").alias("rows"), F.min("at").alias("start")), "shard-sources")
     ranked = join_small(first, sources, "stratum")
