@@ -30,7 +30,7 @@ def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def _without(keyed: DataFrame, key: str, dropped: DataFrame, name: str) -> DataFrame:
-    return keyed.join(materialize(dropped.select(key), name), key, "left_anti").drop(key)
+    return exact_dedup.without(keyed, key, materialize(dropped.select(key), name)).drop(key)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
