@@ -112,7 +112,7 @@ def differing_ranges(a: DataFrame, b: DataFrame, levels: Sequence[int] = LEVELS)
 
     Two ranges of other rows look equal with a chance of about 2^-128.
     """
-    left, right = materialize(a, "digests"), materialize(b, "digests")  # a row a range
+    left, right = materialize(a, "digests"), materialize(b, "digests")  # a row a range; else every level would read the tables again
     figures = lambda df, n: df.groupBy(F.pmod("range", F.lit(n)).alias("at")).agg(F.sum("n").alias("n"), F.bit_xor("one").alias("one"), F.sum("two").alias("two"))
     differing, before = None, 0
     for n in levels:  # each number divides the next one
@@ -120,9 +120,8 @@ def differing_ranges(a: DataFrame, b: DataFrame, levels: Sequence[int] = LEVELS)
             left, right = (df.join(F.broadcast(differing), F.pmod("range", F.lit(before)) == F.col("at"), "left_semi") for df in (left, right))  # at most a row a range of the level before
         x, y = figures(left, n), figures(right, n).select("at", *[F.col(c).alias(f"_{c}") for c in ("n", "one", "two")])
         joined = x.join(y, "at", "full_outer")
-        differing = materialize(joined.filter(~(F.col("n").eqNullSafe(F.col("_n")) & F.col("one").eqNullSafe(F.col("_one")) & F.col("two").eqNullSafe(F.col("_two")))).select("at"), "differing")
-        before = n
-    return differing
+        differing, before = joined.filter(~(F.col("n").eqNullSafe(F.col("_n")) & F.col("one").eqNullSafe(F.col("_one")) & F.col("two").eqNullSafe(F.col("_two")))).select("at"), n
+    return materialize(differing, "differing")
 
 
 def within_ranges(df: DataFrame, keys: Sequence[str], ranges: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
