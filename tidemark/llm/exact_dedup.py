@@ -113,7 +113,7 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     lead = F.coalesce(F.conv(F.substring(F.hex("digest"), 1, 7), 16, 10).cast("long"), F.lit(0))
     segment = F.floor(lead * segments / (1 << 28)).cast("long")
 
-    best = F.min(F.struct(F.negative("chars").alias("less"), F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("keep_id"), "entry"))  # most characters, then the smallest id
+    best = F.min(F.struct(F.negative("chars").alias("less"), F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("keep_id"), F.negative("entry").alias("later")))  # most characters, the smallest id, of repeated rows the last
     memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best.alias("best"))
     flushed = bucketed(memtables.withColumn("segment", segment), "lsm_runs", "segment", ["segment", "digest"])
 
@@ -134,14 +134,14 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     ends = texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     false_hits = materialize(ends.filter(F.col("low") != F.col("high")).select("digest"), "lsm-false")
 
-    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.col("best.keep_id").alias("keep_id"), F.col("best.entry").alias("keep_entry"))
+    groups = compacted.join(false_hits, "digest", "left_anti").select("digest", "group_size", F.col("best.keep_id").alias("keep_id"), F.negative(F.col("best.later")).alias("keep_entry"))
     out = entries.join(groups, "digest", "left")
     if false_hits.isEmpty():
         return _result(out, carry)
     apart = docs.withColumn("norm", norm).withColumn("digest", digest(F.col("norm"))).join(false_hits, "digest", "left_semi")
     apart = apart.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "norm", F.sha2("norm", 256).alias("text_sha256"))
     apart = materialize(apart, "lsm-apart")
-    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.col("best.keep_id").alias("keep_id"), F.col("best.entry").alias("keep_entry"))
+    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.col("best.keep_id").alias("keep_id"), F.negative(F.col("best.later")).alias("keep_entry"))
     return _result(out.join(false_hits, "digest", "left_anti"), carry).unionByName(_result(apart.join(by_text, "norm"), carry))
 
 
