@@ -267,3 +267,25 @@ def test_pipeline_of_wild_rows(spark, wild):
     assert (str(None), prose(3)) not in exact_kept and (str(BIG + 7), prose(3)) in exact_kept and (str(None), prose(6)) in near_kept
     assert set(mixed) <= set(near_kept)
     assert ids_of(corpus_pipeline.STAGES[-1][1](spark, docs, "").filter("piece = 0")) == ids_of(docs)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_compaction_merges_runs_in_their_order(spark, sf_dir, broadcast):
+    """Runs are shuffled when they are written, and neither shuffled nor sorted again when they are merged."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("entry"), F.length("text").alias("chars"), exact_dedup.sha256(F.col("text")).alias("digest"), F.pmod("doc_id", F.lit(4)).alias("run"))
+    memtables = rows.groupBy("run", "digest").agg(F.count("*").alias("rows"), exact_dedup.best_row().alias("best"))
+    flushed = common.bucketed(memtables.withColumn("segment", F.ascii(F.hex("digest")).cast("long")), "test_runs", "segment", ["segment", "digest"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        with common.sorted_scans(spark):
+            merged = exact_dedup.compaction(flushed, 4)
+            got = {bytes(r.digest): r.group_size for r in merged.collect()}
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        common.drop_bucketed(flushed)
+    want = rows.groupBy("digest").count().filter("count > 1").collect()
+    assert want and got == {bytes(r.digest): r["count"] for r in want}
+    assert "Sort [" not in plan and "Exchange hashpartitioning" not in plan and "SortAggregate" in plan

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,18 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS))
 
 
+@contextmanager
+def sorted_scans(spark: SparkSession) -> Iterator[None]:
+    """What is planned within knows the order of a table that :func:`bucketed` wrote, whose buckets are one file each."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_carried(df: DataFrame, carry: Sequence[str], inputs: Sequence[str], work: Callable, result: str) -> DataFrame:
     """The columns ``carry`` and those that Python works out from the columns ``inputs``.
 

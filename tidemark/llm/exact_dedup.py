@@ -2,7 +2,7 @@
 
 * Memtable: the rows of some input partitions, aggregated by digest before anything is shuffled.
 * Run: a flushed memtable, one row per digest. All runs are cut into the same segments, ranges of digests, and stored
-  together: bucketed by segment and sorted by digest, so that what follows merges them in place, without a shuffle.
+  together: bucketed by segment and sorted by digest, so that what follows merges them in place, without a shuffle or a sort.
 * Filter: a bit map for every run and segment, sized by the keys of a segment, so filters grow with the runs.
 * Hits: digests that a run holds more than once or that pass the filter of another run. All other digests are known
   to be single, and neither compaction nor the final join sees them.
@@ -22,7 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, bucketed, drop_bucketed, materialize
+from tidemark.llm.common import SPACE, bucketed, drop_bucketed, materialize, sorted_scans
 
 FILTER_BITS = 1 << 26
 BUCKET_BITS = 32_768
@@ -35,6 +35,11 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), " \t\n\x0b\f\r", "")
 
 
+def best_row() -> Column:
+    """The row that stays: most characters, the smallest id, of repeated rows the last."""
+    return F.min(F.struct(F.negative("chars").alias("less"), F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("keep_id"), F.negative("entry").alias("later")))
+
+
 def sha256(norm: Column) -> Column:
     return F.unhex(F.sha2(norm, 256))
 
@@ -96,6 +101,22 @@ def among(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return probably_in(df, column, keys).join(keys, column)
 
 
+def compaction(flushed: DataFrame, runs: int) -> DataFrame:
+    """(segment, digest, group_size, best) of the digests that runs hold more than once, merged in the order in which ``flushed`` is stored.
+
+    Under :func:`sorted_scans` the scan gives its order away: the filters of a segment come from a hash table of their bucket (two bytes a
+    key), which leaves the order of the runs as it is, and equal digests are neighbours.
+    """
+    # every segment's filters side by side, probed by the digests of that segment
+    place = F.pmod(F.xxhash64("digest"), F.lit(BUCKET_BITS))
+    wide = flushed.groupBy("segment").agg(*[F.bitmap_construct_agg(F.when(F.col("run") == r, place)).alias(f"_bitmap{r}") for r in range(runs)])
+    hit = F.col("rows") > 1
+    for r in range(runs):
+        hit = hit | ((F.col("run") != r) & bit_set(F.col(f"_bitmap{r}"), place))
+    hits = flushed.join(wide.hint("shuffle_hash"), "segment").filter(hit)
+    return hits.groupBy("segment", "digest").agg(F.sum("rows").alias("group_size"), F.min("best").alias("best")).filter("group_size > 1")
+
+
 def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Column] = sha256, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carry``.
 
@@ -113,21 +134,13 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     lead = F.coalesce(F.conv(F.substring(F.hex("digest"), 1, 7), 16, 10).cast("long"), F.lit(0))
     segment = F.floor(lead * segments / (1 << 28)).cast("long")
 
-    best = F.min(F.struct(F.negative("chars").alias("less"), F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("keep_id"), F.negative("entry").alias("later")))  # most characters, the smallest id, of repeated rows the last
-    memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best.alias("best"))
+    memtables = entries.groupBy("run", "digest").agg(F.count("*").alias("rows"), best_row().alias("best"))
     flushed = bucketed(memtables.withColumn("segment", segment), "lsm_runs", "segment", ["segment", "digest"])
-
-    # every segment's filters side by side, probed by the digests of that segment
-    place = F.pmod(F.xxhash64("digest"), F.lit(BUCKET_BITS))
-    filters = flushed.groupBy("segment", "run").agg(F.bitmap_construct_agg(place).alias("bitmap"))
-    wide = filters.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("run", "bitmap"))).alias("bitmaps"))  # one entry a run
-    hit = F.col("rows") > 1
-    for r in range(runs):
-        hit = hit | ((F.col("run") != r) & bit_set(F.element_at("bitmaps", F.lit(r)), place))
-    hits = flushed.join(wide, "segment").filter(hit)
-    compacted = hits.groupBy("segment", "digest").agg(F.sum("rows").alias("group_size"), F.min("best").alias("best")).filter("group_size > 1")
-    compacted = materialize(compacted.drop("segment"), "lsm-compacted")
-    drop_bucketed(flushed)
+    try:
+        with sorted_scans(docs.sparkSession):
+            compacted = materialize(compaction(flushed, runs).drop("segment"), "lsm-compacted")
+    finally:
+        drop_bucketed(flushed)
 
     # byte verification of all texts whose digest passes the filter of the hits
     texts = probably_in(docs.select(norm.alias("norm")).withColumn("digest", digest(F.col("norm"))), "digest", compacted.select("digest"))
@@ -141,7 +154,7 @@ def exact_dedup(docs: DataFrame, runs: int = 8, digest: Callable[[Column], Colum
     apart = docs.withColumn("norm", norm).withColumn("digest", digest(F.col("norm"))).join(false_hits, "digest", "left_semi")
     apart = apart.select("doc_id", *carry, F.monotonically_increasing_id().alias("entry"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "norm", F.sha2("norm", 256).alias("text_sha256"))
     apart = materialize(apart, "lsm-apart")
-    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best.alias("best")).select("norm", "group_size", F.col("best.keep_id").alias("keep_id"), F.negative(F.col("best.later")).alias("keep_entry"))
+    by_text = apart.groupBy("norm").agg(F.count("*").alias("group_size"), best_row().alias("best")).select("norm", "group_size", F.col("best.keep_id").alias("keep_id"), F.negative(F.col("best.later")).alias("keep_entry"))
     return _result(out.join(false_hits, "digest", "left_anti"), carry).unionByName(_result(apart.join(by_text, "norm"), carry))
 
 
