@@ -73,6 +73,19 @@ def test_dedup_modes(spark):
         ser.dedup_day(rows, ["key"], [], [], "any")
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_rows_of_one_load_have_an_order(spark, calendar, turn):
+    """Of rows of the same load those with the largest measures or attributes are taken, in whatever order they come."""
+    rows = [("A", "1", D(2026, 6, 3), 7, a, b) for a, b in ((10, 2), (30, 1), (30, 4), (20, 9))] + [("A", "1", D(2026, 6, 3), 6, 99, 99)]
+    df = spark.createDataFrame(rows[::turn], "id_operation string, rubro string, date date, load_seq int, mo int, mn int").coalesce(1)
+    best = ser.dedup_day(df, ["id_operation", "date"], [F.col("load_seq").desc()], ["mo", "mn"], "best").first()
+    assert (best.load_seq, best.mo, best.mn) == (7, 30, 4)
+    attributes = {"module": 20, "currency": 1, "account": 1}
+    whole = df.withColumns({k: F.lit(v) for k, v in attributes.items()}).withColumns({m: F.col(m).cast("decimal(18,2)") for m in ("mo", "mn")})
+    day = ser.operating_balances(whole, calendar, D(2026, 6, 3), D(2026, 6, 3), D(2026, 6, 3), measures=("mo", "mn"), mode="best").first()
+    assert (day.load_seq, day.mo, day.mn) == (7, 30, 4)
+
+
 def test_consolidated_keys_stay_unique_when_fills_are_chained(spark, calendar):
     key = dict.fromkeys(("company", "branch", "module", "currency", "paper"), 1)
     rows = [(d, *key.values(), "2111", 1, 1, 0, g, 5.0, 5.0) for g, span in ((0, days(D(2026, 5, 4), D(2026, 5, 15))), (1, [D(2026, 5, 29), D(2026, 5, 31), D(2026, 6, 3)])) for d in span]

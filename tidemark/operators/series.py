@@ -30,10 +30,13 @@ def propagate_business_days(balances: DataFrame, calendar: DataFrame, lo: date,
 
 
 def dedup_day(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: Sequence[str], mode: str = "sum") -> DataFrame:
-    """One row per key: attributes of the first row in ``order`` (a total order), measures summed or of that row (``best``)."""
+    """One row per key: attributes of the first row in ``order``, measures summed or of that row (``best``).
+
+    Of rows that ``order`` leaves equal the one with the largest measures is first, compared in turn.
+    """
     if mode not in ("sum", "best"):
         raise ValueError("mode must be sum or best")
-    rank = Window.partitionBy(*keys).orderBy(*order)
+    rank = Window.partitionBy(*keys).orderBy(*order, *[F.col(m).desc() for m in measures])
     rows = df.withColumn("_rank", F.row_number().over(rank))
     if mode == "sum":
         rows = rows.withColumns({m: F.sum(m).over(Window.partitionBy(*keys)).cast(MONEY) for m in measures})
@@ -104,7 +107,7 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
     """Dense daily balances per operation with credit states and month averages, from sparse closing balances.
 
     Reads days from ``lo``, completes up to ``hi``, returns days from ``write_from`` on. Attributes of an operation and day are
-    those of its latest load, then lowest account code. With ``accounts`` (account, executive) each row gets its executive.
+    those of its latest load, then lowest account code; ``best`` takes the largest measures of several rows of that load. With ``accounts`` (account, executive) each row gets its executive.
     """
     if mode not in ("sum", "best"):
         raise ValueError("mode must be sum or best")
@@ -112,7 +115,7 @@ def operating_balances(balances: DataFrame, calendar: DataFrame, lo: date, hi: d
     best = [c for c in balances.columns if c not in (*keys, "date") and (mode == "best" or c not in measures)]
     sums = [F.sum(m).cast(MONEY).alias(m) for m in measures if mode == "sum"]
     # rows of a key and day become one before they are shuffled, and before days are copied
-    single = balances.groupBy(*keys, "date").agg(*sums, F.max_by(F.struct(*best), "load_seq").alias("_best")).select(*keys, "date", "_best.*", *(measures if sums else ()))
+    single = balances.groupBy(*keys, "date").agg(*sums, F.max_by(F.struct(*best), F.struct("load_seq", *(measures if mode == "best" else ()))).alias("_best")).select(*keys, "date", "_best.*", *(measures if sums else ()))
     # every step below works within an operation's month, so the copies are dealt once
     daily = propagate_business_days(single, calendar, lo, hi).withColumn("_month", _month()).repartition("id_operation", "_month")
     full = fill_month(daily, calendar, keys, hi, measures)

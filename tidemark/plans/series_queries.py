@@ -59,7 +59,7 @@ add("p23_resolve_range", _range, "SELECT load_seq, date FROM closing WHERE strft
 # Series
 add("b1_propagate_business_days", lambda b: daily(b).select("date", "load_seq", "origin_kind", "amount_mn"), "SELECT date, load_seq, origin_kind, CAST(amount_mn AS DOUBLE) AS amount_mn FROM daily", series=True)
 add("b1d_dedup_day_sum", single, f"SELECT id_operation, rubro, date, {', '.join(CARRIED)}, origin_kind, CAST(amount_mo AS DOUBLE) AS amount_mo, CAST(amount_mn AS DOUBLE) AS amount_mn FROM single", series=True)
-add("b1d_dedup_day_best", lambda b: single(b, "best").select(*KEYS, "date", "load_seq", *AMOUNTS), "SELECT id_operation, rubro, date, max(load_seq) AS load_seq, CAST(arg_max(amount_mo, load_seq) AS DOUBLE) AS amount_mo, CAST(arg_max(amount_mn, load_seq) AS DOUBLE) AS amount_mn FROM daily GROUP BY id_operation, rubro, date", series=True)
+add("b1d_dedup_day_best", lambda b: single(b, "best").select(*KEYS, "date", "load_seq", *AMOUNTS), "SELECT id_operation, rubro, date, max(load_seq) AS load_seq, CAST(arg_max(amount_mo, (load_seq, amount_mo, amount_mn)) AS DOUBLE) AS amount_mo, CAST(arg_max(amount_mn, (load_seq, amount_mo, amount_mn)) AS DOUBLE) AS amount_mn FROM daily GROUP BY id_operation, rubro, date", series=True)
 _FILLED = f"SELECT id_operation, rubro, date, {', '.join(CARRIED)}, origin_kind, CAST(amount_mo AS DOUBLE) AS amount_mo, CAST(amount_mn AS DOUBLE) AS amount_mn FROM filled"
 add("b2_fill_month", filled, _FILLED, series=True)
 add("b2a_fill_month_strict", lambda b: ser.fill_month(single(b), b.calendar, KEYS, HI, AMOUNTS, strict_anchor=True).select(*KEYS, "date", "load_seq", "origin_kind"), """,
