@@ -11,6 +11,7 @@ from tidemark.functions import typing_ as ty
 from tidemark.operators import audit as au
 from tidemark.operators import calendar as cal
 from tidemark.operators import consolidated as con
+from tidemark.operators import joins as jo
 from tidemark.operators import quality as qu
 from tidemark.operators import series as ser
 from tidemark.operators import variation as var
@@ -79,7 +80,8 @@ def test_rows_of_one_load_have_an_order(spark, calendar, turn):
     rows = [("A", "1", D(2026, 6, 3), 7, a, b) for a, b in ((10, 2), (30, 1), (30, 4), (20, 9))] + [("A", "1", D(2026, 6, 3), 6, 99, 99)]
     df = spark.createDataFrame(rows[::turn], "id_operation string, rubro string, date date, load_seq int, mo int, mn int").coalesce(1)
     best = ser.dedup_day(df, ["id_operation", "date"], [F.col("load_seq").desc()], ["mo", "mn"], "best").first()
-    assert (best.load_seq, best.mo, best.mn) == (7, 30, 4)
+    found = jo.attribute_by_day(df.select("id_operation", "date").distinct(), df, ["id_operation", "date"], ["mo", "mn"]).first()
+    assert (best.load_seq, best.mo, best.mn) == (7, 30, 4) and (found.mo, found.mn) == (30, 4)
     attributes = {"module": 20, "currency": 1, "account": 1}
     whole = df.withColumns({k: F.lit(v) for k, v in attributes.items()}).withColumns({m: F.col(m).cast("decimal(18,2)") for m in ("mo", "mn")})
     day = ser.operating_balances(whole, calendar, D(2026, 6, 3), D(2026, 6, 3), D(2026, 6, 3), measures=("mo", "mn"), mode="best").first()

@@ -25,8 +25,12 @@ def days_to_month_end(rows: DataFrame, calendar: DataFrame, column: str = "date"
 
 
 def attribute_by_day(rows: DataFrame, balances: DataFrame, keys: Sequence[str], attributes: Sequence[str], order: str = "load_seq") -> DataFrame:
-    """Add the attributes of the balance row of the same key, that of the largest ``order`` where there are several: rows are never multiplied."""
-    best = balances.groupBy(*keys).agg(F.max_by(F.struct(*attributes), order).alias("_best"))
+    """Add the attributes of the balance row of the same key, that of the largest ``order`` where there are several: rows are never multiplied.
+
+    Of several rows of that ``order`` the one with the largest attributes is taken, compared in turn.
+    """
+    place = F.when(F.col(order).isNotNull(), F.struct(order, *attributes))
+    best = balances.groupBy(*keys).agg(F.max_by(F.struct(*attributes), place).alias("_best"))
     return rows.join(best, list(keys), "left").select(*rows.columns, "_best.*")
 
 

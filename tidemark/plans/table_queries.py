@@ -203,7 +203,7 @@ _LOOSE = f"""{_BASE_OPS}, loose AS (SELECT * FROM closing c WHERE company = 1 AN
     AND (module IN (SELECT module FROM operations) OR module IN (20, 21, 27, 63, 65, 45, 162, 321)) AND NOT EXISTS (SELECT 1 FROM base_ops o WHERE o.id_operation = c.id_operation))"""
 add("j7_balances_without_operation", lambda b: ma.balances_without_operation(b.closing, b.operations, _base_ops(b)).select("load_seq", "id_operation"), f"{_LOOSE} SELECT load_seq, id_operation FROM loose")
 add("j11_account_executive", lambda b: b.operations.join(ma.account_executive(b.accounts), "account", "left").select("id_operation", "executive"), "SELECT id_operation, (SELECT max(executive) FROM accounts a WHERE a.account = o.account) AS executive FROM operations o")
-add("j12_attribute_lookup", lambda b: jo.attribute_by_day(totals(b).select("id_operation", "date"), b.closing, ["id_operation", "date"], ["origin_type"]), "SELECT id_operation, date, (SELECT arg_max(origin_type, load_seq) FROM closing c WHERE c.id_operation = t.id_operation AND c.date = t.date) AS origin_type FROM totals t", series=True)
+add("j12_attribute_lookup", lambda b: jo.attribute_by_day(totals(b).select("id_operation", "date"), b.closing, ["id_operation", "date"], ["origin_type"]), "SELECT id_operation, date, (SELECT arg_max(origin_type, (load_seq, origin_type)) FROM closing c WHERE c.id_operation = t.id_operation AND c.date = t.date) AS origin_type FROM totals t", series=True)
 add("j14_resolve_product_module", lambda b: ma.resolve_product_module(b.closing, b.operations.filter("module > 20")).select("load_seq", "module_product"), ", ones AS (SELECT id_cross, max(module) AS m FROM operations WHERE module > 20 AND account <> 999999999 GROUP BY 1 HAVING count(DISTINCT module) = 1) SELECT load_seq, coalesce(m, module) AS module_product FROM closing LEFT JOIN ones USING (id_cross)")
 add("j17_reconcile_catalog", lambda b: au.reconcile_catalog(b.target, b.staged, "c_custkey", "segment"), "SELECT c_custkey, t.segment AS left_value, s.segment AS right_value, CASE WHEN s.c_custkey IS NULL THEN 'ONLY_LEFT' WHEN t.c_custkey IS NULL THEN 'ONLY_RIGHT' WHEN s.segment = t.segment THEN 'SAME' ELSE 'DIFFERENT' END AS status FROM target t FULL JOIN staged s USING (c_custkey)")
 add("j8_key_by_day", lambda b: jo.key_by_day(b.operations.select("id_operation"), b.calendar), "SELECT id_operation, day FROM operations, calendar")
