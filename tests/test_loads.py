@@ -171,6 +171,23 @@ def test_a_number_is_a_task_and_a_file(spark):
             pt.deal_parts(rows.withColumn("part", F.lit(bad).cast("int")), "part", 5).count()
 
 
+def test_a_large_number_is_split_between_tasks(spark):
+    """A number with nearly all rows has a folder of its own with several files, and no file has a large share; small ones have one file."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    parted = spark.range(0, 60_000, 1, 8).select("id", F.hash("id").alias("v"), F.when(F.col("id") < 10, F.col("id").cast("int") % 2).otherwise(2).alias("part"))
+    spark.conf.set(size, "64k")
+    try:
+        out = pt.extract_parts(parted, "part", 4, shared_dir(spark, "extract")).cache()
+    finally:
+        spark.conf.unset(size)
+    held = {r.part: (r.n, r.folders, r.files) for r in out.groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("folder").alias("folders"), F.count_distinct("file").alias("files")).collect()}
+    assert held[0] == held[1] == (5, 1, 1) and held[2][:2] == (59_990, 1) and held[2][2] > 3
+    assert max(r["count"] for r in out.groupBy("file").count().collect()) < 59_990 / 3 and out.select("id").distinct().count() == 60_000
+    assert out.groupBy("folder").agg(F.count_distinct("part").alias("n")).filter("n > 1").isEmpty()
+    with pytest.raises(Exception, match="no task for part"):
+        pt.extract_parts(parted.withColumn("part", F.col("part") + 2), "part", 4, shared_dir(spark, "extract"))
+
+
 def test_distinct_counts_in_stages(spark):
     rows = [(D(2026, 1, 1), "a", 1), (D(2026, 1, 31), "a", 1), (D(2026, 1, 31), "b", 1), (D(2026, 1, 2), None, 1), (D(2026, 2, 3), "a", 2), (None, "a", 3)]
     df = spark.createDataFrame(rows, "date date, x string, y int")

@@ -28,11 +28,11 @@ def _store(rows: DataFrame, name: str, **how) -> DatedTable:
     return store
 
 
-# Splits whose numbers are tasks
+# Splits whose numbers are written apart
 def _files_of(b: Bed, parted: DataFrame, n: int) -> DataFrame:
-    """Per number: its rows and the files that its task wrote."""
+    """Per number: its rows and the places (folders) that hold them; a place has as many files, each of a task, as its size needs."""
     out = pt.extract_parts(parted, "part", n, shared_dir(b.spark, "extract"))
-    return out.groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"), F.count_distinct("file").alias("files"))
+    return out.groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"), F.count_distinct("folder").alias("files"))
 
 
 _PER_PART = "SELECT part, count(*) AS n, count(*) - count(v) AS nulls, 1 AS files FROM {} GROUP BY part"

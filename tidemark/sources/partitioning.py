@@ -95,20 +95,33 @@ def range_profile(df: DataFrame, column: str, lo, hi, n: int) -> DataFrame:
     return assign_range_partition(df, column, lo, hi, n).groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col(column).isNull()).alias("nulls"), F.min(column).alias("low"), F.max(column).alias("high"))
 
 
+def _checked(part: str, n: int) -> Column:
+    """The number in the column ``part``; one that is missing or not from 0 to n - 1 fails the job."""
+    return F.when(F.col(part).between(0, n - 1), F.col(part).cast("int")).otherwise(F.raise_error(F.concat(F.lit("no task for part "), F.coalesce(F.col(part).cast("string"), F.lit("null")))).cast("int"))
+
+
 def deal_parts(df: DataFrame, part: str, n: int) -> DataFrame:
     """Rows dealt to ``n`` tasks by the numbers 0 to n - 1 in the column ``part``: a number is one task, and one file when written.
 
     A missing number (a row that no predicate takes) would vanish in the first task unseen, and one outside of the range would share
-    another's: both fail the job.
+    another's: both fail the job. The task of a number grows with its rows; :func:`extract_parts` has no such task.
     """
-    number = F.when(F.col(part).between(0, n - 1), F.col(part).cast("int")).otherwise(F.raise_error(F.concat(F.lit("no task for part "), F.coalesce(F.col(part).cast("string"), F.lit("null")))).cast("int"))
-    return df.repartitionById(n, number)
+    return df.repartitionById(n, _checked(part, n))
 
 
 def extract_parts(df: DataFrame, part: str, n: int, path: str) -> DataFrame:
-    """Write the rows of each number by a task of its own, one file a number that has rows, and read them back with the file's name."""
-    deal_parts(df, part, n).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    """Write the rows of each number to a folder of its own and read them back with that folder's name and the file's.
+
+    Files of a number are of about spark.sql.adaptive.advisoryPartitionSizeInBytes, each written by one task: numbers of many rows are
+    split between tasks. Numbers that are missing or out of range fail the job, as in :func:`deal_parts`.
+    """
+    name = "_number"
+    while name in df.columns:
+        name += "_"
+    df.withColumn(name, _checked(part, n)).hint("rebalance", F.col(name)).write.mode("overwrite").partitionBy(name).parquet(path)
+    steps = F.split("_metadata.file_path", "/")
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out.select(*df.columns, F.element_at(steps, -2).alias("folder"), F.concat_ws("/", F.element_at(steps, -2), F.element_at(steps, -1)).alias("file"))
 
 
 def predicate_number(predicates: Sequence[str]) -> Column:
