@@ -54,3 +54,12 @@ def test_calendar_joins_are_hash_joins(spark, sf_dir):
     b = Bed(spark, sf_dir)
     text = plan(ser.propagate_business_days(b.closing, b.calendar, LO, HI).filter(F.col("account") == 3))
     assert "BroadcastNestedLoopJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_balances_of_a_day_are_summed_once(spark, sf_dir):
+    """Consolidated queries and reports read their rows up to ten times; lines and orders are joined and summed for the first alone."""
+    from tidemark.plans.series_queries import _source
+
+    b = Bed(spark, sf_dir)
+    text = plan(_source(b).unionByName(_source(b)))
+    assert "l_orderkey" not in text and "Join" not in text and text.count("FileScan") == 2 and "/sdc-" in b.sdc.inputFiles()[0]

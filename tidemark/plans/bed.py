@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import operation_keys
 from tidemark.operators.calendar import business_day_asof
+from tidemark.tables import materialize
 
 FEASTS = ("01-01", "05-01", "12-25")
 # Account codes that the classification rules tell apart, dealt to rows by part key.
@@ -71,8 +72,9 @@ class Bed:
 
     @cached_property
     def sdc(self) -> DataFrame:
+        """Balances by day and long key: far fewer rows than lines. They are written once, since queries read them up to ten times."""
         keys = ["company", F.col("account").alias("branch"), "module", "currency", "paper", "rubro", "title", "chapter", F.lit(0).alias("term"), F.col("operation").alias("grp")]
-        return self.closing.groupBy("date", *keys).agg(F.sum("amount_mo").cast("decimal(18,2)").alias("mo"), F.sum("amount_mn").cast("decimal(18,2)").alias("mn"))
+        return materialize(self.closing.groupBy("date", *keys).agg(F.sum("amount_mo").cast("decimal(18,2)").alias("mo"), F.sum("amount_mn").cast("decimal(18,2)").alias("mn")), "sdc")
 
     @cached_property
     def operations(self) -> DataFrame:
